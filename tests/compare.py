@@ -1,0 +1,67 @@
+"""Run a registered query and its SQL on the same tables and compare the rows."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from decimal import Decimal
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, Decimal):
+        return str(value)
+    return value
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+# Spark type name -> type name the checker reports for the same values.
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE", "boolean": "BOOLEAN", "double": "DOUBLE",
+}
+
+
+def sql_type(spark_type: str) -> str:
+    return SQL_TYPES.get(spark_type, spark_type.upper())
+
+
+def compare(df, con, sql: str) -> list[str]:
+    """Differences between a Spark frame and a SQL result; empty when they agree."""
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    types = {d[0]: str(d[1]).replace(" ", "") for d in result.description}
+    expected = result.fetchall()
+    problems = []
+    if sorted(df.columns) != sorted(names):
+        return [f"columns {sorted(df.columns)} != {sorted(names)}"]
+    for name, spark_type in df.dtypes:
+        if sql_type(spark_type) != types[name]:
+            problems.append(f"type of {name}: {spark_type} != {types[name]}")
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    want = rows_of(names, expected)
+    if got != want:
+        problems.append(
+            f"rows {sum(got.values())} != {sum(want.values())}; "
+            f"only here {list((got - want).items())[:3]}; only there {list((want - got).items())[:3]}"
+        )
+    return problems

@@ -1,18 +1,26 @@
 """The reports.  Each is a pure plan over its inputs; the caller triggers it at a sink."""
 
 from .activity import terminal_activity
-from .agents import agent_snapshot, monthly_state, weekly_agent_activity
+from .agents import (
+    agent_snapshot,
+    monthly_state,
+    monthly_state_history,
+    weekly_agent_activity,
+    weekly_agent_activity_history,
+)
 from .loads import merchant_dimension, purchase_increment, service_increment
 from .roster import prepare_roster, sync_roster, terminal_roster
 from .settlement import clean_settlement
-from .terminals import daily_terminal, monthly_terminal
+from .terminals import daily_terminal, daily_terminal_history, monthly_terminal
 
 __all__ = [
     "agent_snapshot",
     "clean_settlement",
     "daily_terminal",
+    "daily_terminal_history",
     "merchant_dimension",
     "monthly_state",
+    "monthly_state_history",
     "monthly_terminal",
     "prepare_roster",
     "purchase_increment",
@@ -21,4 +29,5 @@ __all__ = [
     "terminal_activity",
     "terminal_roster",
     "weekly_agent_activity",
+    "weekly_agent_activity_history",
 ]

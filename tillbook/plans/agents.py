@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import parse_amount
-from ..functions.periods import Period, previous_month, previous_week
+from ..functions.periods import Period, day_of, previous_month, previous_week, week_of
 from ..functions.text import first_non_empty
 from ..operators.lookup import add_agent, add_state_by_name, prepare_agent_states
 from ..operators.rollups import daily_activity, state_rollup, wallet_totals
@@ -46,16 +46,26 @@ def weekly_agent_activity(txns: DataFrame, agents: DataFrame, as_of: date) -> Da
     wallet, terminal, category and day.
     """
     period = previous_week(as_of)
-    activity = daily_activity(in_period(txns, period)).withColumns(
-        {"bvn": F.lit(""), "phone_number": F.lit(""), "address": F.lit("")}
+    activity = daily_activity(in_period(txns, period))
+    return _identified(activity, agents).select(
+        *ACTIVITY_COLUMNS, F.lit(period.report_date).alias("report_date")
     )
-    return (
-        fill_agent_columns(activity, agents)
-        .select(*ACTIVITY_COLUMNS)
-        .withColumn("report_date", F.lit(period.report_date))
+
+
+def weekly_agent_activity_history(txns: DataFrame, agents: DataFrame) -> DataFrame:
+    """Every week's report in one pass: a day decides its week, so grouping is the same."""
+    parsed = txns.withColumn("amount", parse_amount(F.col("amount")))
+    sunday = F.date_add(week_of(F.col("day")), 6)
+    return _identified(daily_activity(parsed), agents).select(
+        *ACTIVITY_COLUMNS, sunday.cast("string").alias("report_date")
     )
 
 
+def _identified(activity: DataFrame, agents: DataFrame) -> DataFrame:
+    empty = {"bvn": F.lit(""), "phone_number": F.lit(""), "address": F.lit("")}
+    return fill_agent_columns(activity.withColumns(empty), agents)
+
+
 def rollup_states(
     totals: DataFrame, agents: DataFrame, states: DataFrame, *extra_keys: str
 ) -> DataFrame:
@@ -79,6 +89,19 @@ def monthly_state(
     )
 
 
+def monthly_state_history(
+    txns: DataFrame, agents: DataFrame, states: DataFrame
+) -> DataFrame:
+    """Every month's state rollup in one pass."""
+    parsed = txns.withColumns(
+        {
+            "amount": parse_amount(F.col("amount")),
+            "report_date": F.last_day(day_of(F.col("updated_at"))).cast("string"),
+        }
+    )
+    return rollup_states(wallet_totals(parsed, "report_date"), agents, states, "report_date")
+
+
 def agent_snapshot(agents: DataFrame) -> DataFrame:
     """The agent table as it is, for a replacing write."""
     return agents

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import DAILY_RATE_SCALE, MONTHLY_RATE_SCALE, parse_amount
-from ..functions.periods import lagged_day, month_of
+from ..functions.periods import day_of, lagged_day, month_of
 from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id, round_terminal_id
 from ..operators.lookup import add_bank, add_state_region, override_when
 from ..operators.merge import merge_upsert
@@ -72,6 +72,18 @@ def daily_terminal(
     return summarise_daily(day, current_terminals(terminals, roster), banks, states)
 
 
+def daily_terminal_history(
+    txns: DataFrame,
+    roster: DataFrame,
+    terminals: DataFrame | None,
+    banks: DataFrame,
+    states: DataFrame,
+) -> DataFrame:
+    """Every day's summary in one pass, against the current terminals."""
+    by_day = txns.withColumn("day", day_of(F.col("date")))
+    return summarise_daily(by_day, current_terminals(terminals, roster), banks, states, "day")
+
+
 def monthly_terminal(txns: DataFrame, banks: DataFrame, as_of: date) -> DataFrame:
     """Summary of the month of ``as_of``, ids rounded to five places."""
     month = txns.where(month_of(as_of).contains(F.col("date"))).withColumns(

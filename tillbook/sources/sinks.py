@@ -47,8 +47,10 @@ def write_report(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header in every part file."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header in every part file; outer spaces of values are kept."""
+    df.write.mode(mode).options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.money import TOTAL
+from ..functions.periods import day_of
 from ..operators.dedup import dedup
 
 BATCH = "batch_id"
@@ -43,7 +44,12 @@ def file_stream(
 
 def distinct_rows(stream: DataFrame, key: str, ts: str, lateness: str) -> DataFrame:
     """Drop repeats of a key that arrive within ``lateness`` of each other."""
-    return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
+    timed = stream.withColumn("__event_time", F.col(ts).cast("timestamp"))
+    return (
+        timed.withWatermark("__event_time", lateness)
+        .dropDuplicatesWithinWatermark([key])
+        .drop("__event_time")
+    )
 
 
 def last_activity_stream(activity: DataFrame) -> DataFrame:
@@ -55,17 +61,22 @@ def last_activity_stream(activity: DataFrame) -> DataFrame:
 
 
 def daily_activity_stream(txns: DataFrame, lateness: str) -> DataFrame:
-    """Running daily activity; a day's state is dropped once it is ``lateness`` old."""
+    """Running daily activity; a day's state is dropped once it is ``lateness`` old.
+
+    The event time is the calendar day itself rather than a window over the timestamp, so
+    days follow the data's own clock whatever the session time zone is.
+    """
     return (
-        txns.withWatermark("updated_at", lateness)
-        .groupBy("wallet", "terminal", "category", F.window("updated_at", "1 day"))
+        txns.withColumn("__event_day", day_of(F.col("updated_at")).cast("timestamp"))
+        .withWatermark("__event_day", lateness)
+        .groupBy("wallet", "terminal", "category", "__event_day")
         .agg(
             F.count(F.lit(1)).alias("volume"),
             F.sum("amount").cast(TOTAL).alias("value"),
             F.max("updated_at").alias("updated_at"),
         )
-        .withColumn("day", F.col("window.start").cast("date"))
-        .drop("window")
+        .withColumn("day", F.col("__event_day").cast("date"))
+        .drop("__event_day")
     )
 
 
