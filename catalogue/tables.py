@@ -290,7 +290,7 @@ def sink_partition_overwrite(spark, sf_dir):
         "txn_id", "wallet", "journal", F.lit("second").alias("load")
     )
     for part in (first, second):
-        write_report(part, path, mode="overwrite_partitions", partition_by=["journal"])
+        write_report(part, path, mode="overwrite_partitions", partition_by=["journal"], rebalance=True)
     return spark.read.parquet(path)
 
 

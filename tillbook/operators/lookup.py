@@ -48,14 +48,18 @@ def duplicate_guard(df: DataFrame, key: str, like: DataFrame) -> DataFrame:
     and leaves the join inputs as plain shuffles, which adaptive execution can split.
     """
     counts = (
-        df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
-            F.count(F.lit(1)).alias("__n")
-        )
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("__key"))
+        .agg(F.count(F.lit(1)).alias("__n"))
     )
     message = F.concat(F.lit(f"duplicate {key}: "), F.col("__key").cast("string"))
     repeated = F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(False)
+    # The key keeps its value: a constant null would let a later join drop the branch.
     return counts.where(repeated).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields]
+        *[
+            (F.col("__key") if f.name == key else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in like.schema.fields
+        ]
     )
 
 
@@ -135,13 +139,10 @@ def add_state_by_name(facts: DataFrame, states: DataFrame, state: str = "agent_s
     )
 
 
-def add_state_region(facts: DataFrame, terminals: DataFrame, states: DataFrame) -> DataFrame:
-    """Terminal to state initials to state and region."""
-    with_initials = lookup(
-        facts, terminals, F.col("terminal_id"), "terminal_id", {"state_initials": "state_initials"}
-    )
+def add_region(facts: DataFrame, states: DataFrame) -> DataFrame:
+    """State initials to state and region."""
     return lookup(
-        with_initials,
+        facts,
         states,
         F.col("state_initials"),
         "state_initials",
@@ -149,6 +150,14 @@ def add_state_region(facts: DataFrame, terminals: DataFrame, states: DataFrame)
     )
 
 
+def add_state_region(facts: DataFrame, terminals: DataFrame, states: DataFrame) -> DataFrame:
+    """Terminal to state initials to state and region."""
+    with_initials = lookup(
+        facts, terminals, F.col("terminal_id"), "terminal_id", {"state_initials": "state_initials"}
+    )
+    return add_region(with_initials, states)
+
+
 def add_bank(
     facts: DataFrame, banks: DataFrame, *, output: str = "bank", dotted: int = 5, plain: int = 4
 ) -> DataFrame:

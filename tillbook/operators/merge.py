@@ -23,26 +23,31 @@ def merge_upsert(
     source: DataFrame,
     key: str,
     update: Sequence[str] | None = None,
+    *,
+    source_unique: bool = False,
 ) -> DataFrame:
     """Update matched target rows, insert unmatched source rows, keep the rest.
 
     ``update`` names the columns a match overwrites (all non-key source columns if None);
     a null in the source overwrites too.  Target-only columns survive; inserted rows have
-    null there.  Without a target the result is the source.
+    null there.  Without a target the result is the source.  ``source_unique`` skips the
+    duplicate check for a source that was just aggregated by key.
     """
     if target is None:
         return source
     updated = [c for c in source.columns if c != key] if update is None else list(update)
-    return (
+    merged = (
         _overwritten(target, source, key, updated, keep_unmatched=True)
         .unionByName(target.where(F.col(key).isNull()))
         .unionByName(_unmatched(target, source, key), allowMissingColumns=True)
         .unionByName(source.where(F.col(key).isNull()), allowMissingColumns=True)
-        .unionByName(duplicate_guard(source, key, target))
     )
+    return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
 
 
-def merge_sync(target: DataFrame | None, source: DataFrame, key: str) -> DataFrame:
+def merge_sync(
+    target: DataFrame | None, source: DataFrame, key: str, *, source_unique: bool = False
+) -> DataFrame:
     """Upsert every column, then delete the rows whose key the source lacks.
 
     The delete also takes rows without a key, freshly inserted ones included.
@@ -50,11 +55,10 @@ def merge_sync(target: DataFrame | None, source: DataFrame, key: str) -> DataFra
     if target is None:
         return source
     updated = [c for c in source.columns if c != key]
-    return (
-        _overwritten(target, source, key, updated, keep_unmatched=False)
-        .unionByName(_unmatched(target, source, key), allowMissingColumns=True)
-        .unionByName(duplicate_guard(source, key, target))
+    merged = _overwritten(target, source, key, updated, keep_unmatched=False).unionByName(
+        _unmatched(target, source, key), allowMissingColumns=True
     )
+    return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
 
 
 def _overwritten(

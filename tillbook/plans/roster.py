@@ -47,4 +47,4 @@ def terminal_roster(
 
 def sync_roster(target: DataFrame | None, roster: DataFrame) -> DataFrame:
     """The roster table after a load: replaced at first, then kept in step."""
-    return merge_sync(target, roster, KEY)
+    return merge_sync(target, roster, KEY, source_unique=True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.money import DAILY_RATE_SCALE, MONTHLY_RATE_SCALE, parse_amount
 from ..functions.periods import day_of, lagged_day, month_of
 from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id, round_terminal_id
-from ..operators.lookup import add_bank, add_state_region, override_when
+from ..operators.lookup import add_bank, add_region, lookup, override_when
 from ..operators.merge import merge_upsert
 from ..operators.rollups import terminal_summary
 from .roster import prepare_roster
@@ -26,17 +26,41 @@ SUMMARY_COLUMNS = (
 
 def current_terminals(terminals: DataFrame | None, roster: DataFrame) -> DataFrame:
     """The terminal-to-state table after taking over the roster's states."""
-    return merge_upsert(terminals, prepare_roster(roster), "terminal_id", ["state_initials"])
+    # The prepared roster has one row per id, so the merge need not check that again.
+    return merge_upsert(
+        terminals, prepare_roster(roster), "terminal_id", ["state_initials"], source_unique=True
+    )
+
+
+def add_current_initials(
+    facts: DataFrame, terminals: DataFrame | None, roster: DataFrame
+) -> DataFrame:
+    """State initials as ``current_terminals`` would give them, without building it.
+
+    Two lookups by terminal id replace the merge and the read of its result.  They line up
+    with facts that were aggregated by terminal, so only the two tables are shuffled.
+    """
+    fresh = prepare_roster(roster).withColumn("listed", F.lit(True))
+    key = F.col("terminal_id")
+    joined = lookup(
+        facts, fresh, key, "terminal_id", {"__listed": "listed", "state_initials": "state_initials"}
+    )
+    if terminals is None:
+        return joined.drop("__listed")
+    joined = lookup(joined, terminals, key, "terminal_id", {"__known": "state_initials"})
+    initials = F.when(F.col("__listed"), F.col("state_initials")).otherwise(F.col("__known"))
+    return joined.withColumn("state_initials", initials).drop("__listed", "__known")
 
 
 def summarise_daily(
     txns: DataFrame,
-    terminals: DataFrame,
+    roster: DataFrame,
+    terminals: DataFrame | None,
     banks: DataFrame,
     states: DataFrame,
     *extra_keys: str,
 ) -> DataFrame:
-    """Terminal summary with bank, state and region; lookups follow the aggregation."""
+    """Terminal summary with state, region and bank; every lookup follows the aggregation."""
     cleaned = txns.withColumns(
         {
             "terminal_id": clean_terminal_id(F.col("terminal_id").cast("string"), SUMMARY_WIDTH),
@@ -44,15 +68,14 @@ def summarise_daily(
         }
     )
     summary = terminal_summary(cleaned, *extra_keys, rate_scale=DAILY_RATE_SCALE)
+    located = add_region(add_current_initials(summary, terminals, roster), states)
     with_bank = override_when(
-        add_bank(summary, banks),
+        add_bank(located, banks),
         "bank",
         F.col("merchant").startswith(OVERRIDE_PREFIX),
         OVERRIDE_BANK,
     )
-    return add_state_region(with_bank, terminals, states).select(
-        *extra_keys, *SUMMARY_COLUMNS, "state", "region"
-    )
+    return with_bank.select(*extra_keys, *SUMMARY_COLUMNS, "state", "region")
 
 
 def daily_terminal(
@@ -69,7 +92,7 @@ def daily_terminal(
     Write ``current_terminals`` next to it to keep the terminal table in step.
     """
     day = txns.where(lagged_day(as_of, lag).contains(F.col("date")))
-    return summarise_daily(day, current_terminals(terminals, roster), banks, states)
+    return summarise_daily(day, roster, terminals, banks, states)
 
 
 def daily_terminal_history(
@@ -81,7 +104,7 @@ def daily_terminal_history(
 ) -> DataFrame:
     """Every day's summary in one pass, against the current terminals."""
     by_day = txns.withColumn("day", day_of(F.col("date")))
-    return summarise_daily(by_day, current_terminals(terminals, roster), banks, states, "day")
+    return summarise_daily(by_day, roster, terminals, banks, states, "day")
 
 
 def monthly_terminal(txns: DataFrame, banks: DataFrame, as_of: date) -> DataFrame:

@@ -1,8 +1,8 @@
 """Sinks.
 
 A report is written by as many tasks as it has partitions; nothing is gathered into one
-file.  Partitioned targets are rebalanced first: adaptive execution then splits a hot
-partition over several tasks and packs small ones, so files have an even size.
+file.  ``rebalance`` evens out the files of a target with many partition values: adaptive
+execution splits a hot partition over several tasks and packs small ones.
 """
 
 from __future__ import annotations
@@ -22,18 +22,21 @@ def write_report(
     fmt: str = "parquet",
     mode: str = "append",
     partition_by: Sequence[str] = (),
+    rebalance: bool = False,
     **options: str,
 ) -> None:
     """Append to or replace a target, given as a path, a catalog table or sink options.
 
     ``mode="overwrite"`` replaces everything; ``mode="overwrite_partitions"`` replaces
     only the partitions present in ``df``, so a rerun of a period is idempotent.
+    ``rebalance`` costs a shuffle of the output; it pays when many tasks hold rows of many
+    partition values, as in a backfill.
     """
     if mode == "overwrite_partitions":
         if not partition_by:
             raise ValueError("overwrite_partitions needs partition_by")
         mode, options = "overwrite", {**options, "partitionOverwriteMode": "dynamic"}
-    if partition_by:
+    if rebalance and partition_by and _adaptive(df.sparkSession):
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
@@ -46,6 +49,11 @@ def write_report(
         writer.save()
 
 
+def _adaptive(spark: SparkSession) -> bool:
+    # Without adaptive execution the hint is a plain hash shuffle and a hot value one task.
+    return spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header in every part file; outer spaces of values are kept."""
     df.write.mode(mode).options(
