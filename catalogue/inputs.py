@@ -134,12 +134,25 @@ def derive(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(INPUTS[name], **tables)
 
 
+# Table folder -> folder holding its derived inputs, where ``store`` has written them.
+_STORED: dict[str, str] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived input over the driver tables."""
+    if sf_dir in _STORED:
+        return spark.read.parquet(f"{_STORED[sf_dir]}/{name}")
     used = [t for t in TABLES if "{" + t + "}" in INPUTS[name]]
     return derive(spark, name, **{t: table(spark, sf_dir, t) for t in used})
 
 
+def store(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write every derived input once, and let ``load`` read it as the stored table it is."""
+    for name in INPUTS:
+        load(spark, sf_dir, name).write.parquet(f"{path}/{name}")
+    _STORED[sf_dir] = path
+
+
 def normalised(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived input with its terminal id normalised, as a sheet is read."""
     return load(spark, sf_dir, name).withColumn(

@@ -18,9 +18,21 @@ DAILY_RATE_SCALE = 4
 MONTHLY_RATE_SCALE = 6
 
 
+# Every spelling of a number the cast accepts.
+_NUMBER = r"^[\x00-\x20]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[\x00-\x20]*$"
+
+
+def to_amount(value: Column) -> Column:
+    """A numeric column as ``decimal(18,2)``; what does not fit becomes null."""
+    return value.try_cast(AMOUNT)
+
+
 def parse_amount(text: Column) -> Column:
-    """Text to ``decimal(18,2)``; malformed text becomes null instead of an error."""
-    return text.try_cast(AMOUNT)
+    """Text as ``decimal(18,2)``; malformed text becomes null instead of an error.
+
+    The pattern keeps malformed text away from the cast, which throws once per bad row.
+    """
+    return F.when(text.rlike(_NUMBER), to_amount(text))
 
 
 def minor_to_major(text: Column) -> Column:
@@ -35,7 +47,7 @@ def fee_rate(scale: int, rate: Decimal = FEE_RATE, precision: int = 18) -> Colum
 
 def fee(amount: Column, scale: int, rate: Decimal = FEE_RATE) -> Column:
     """Fee on one amount: ``decimal(18,2)`` times the rate rounded to ``scale``."""
-    return amount.try_cast(AMOUNT) * fee_rate(scale, rate)
+    return to_amount(amount) * fee_rate(scale, rate)
 
 
 def total_fee(total: Column, scale: int, rate: Decimal = FEE_RATE) -> Column:

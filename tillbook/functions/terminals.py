@@ -18,25 +18,31 @@ ACTIVITY_WIDTH = 9
 
 def clean_terminal_id(tid: Column, width: int = SUMMARY_WIDTH) -> Column:
     """Keep the mantissa of a dotted id, padded with ``0`` (or cut) to ``width``."""
-    mantissa = F.split_part(tid, F.lit("E"), F.lit(1))
-    return F.when(tid.contains("."), F.rpad(mantissa, width, "0")).otherwise(tid)
+    return F.when(tid.contains("."), _mantissa(tid, width)).otherwise(tid)
 
 
 def normalise_terminal_id(
     tid: Column, width: int = SUMMARY_WIDTH, drop_fraction: bool = False
 ) -> Column:
-    """Drop spaces and leading zeros of a whole-number id, then clean it.
+    """Drop spaces and leading zeros of a whole-number id, and clean a dotted one.
 
     Text that is not a whole number (or overflows a bigint) is kept untrimmed.
     ``drop_fraction`` also treats ``2035.12`` as the whole number ``2035``.
     """
     text = tid.cast("string")
-    digits = F.replace(F.trim(text), F.lit(" "), F.lit(""))
+    digits = F.replace(text, F.lit(" "), F.lit(""))
+    # Only digit strings reach the cast: a failed one costs an exception per row.
     if drop_fraction:
         whole = F.regexp_extract(digits, r"^([+-]?[0-9]+)(\.[0-9]*)?$", 1)
-    else:
-        whole = F.regexp_extract(digits, r"^[+-]?[0-9]+$", 0)
-    return clean_terminal_id(F.coalesce(whole.try_cast("bigint").cast("string"), text), width)
+        number = F.when(whole != "", whole.try_cast("bigint").cast("string"))
+        return F.coalesce(number, clean_terminal_id(text, width))
+    number = F.when(digits.rlike("^[+-]?[0-9]+$"), digits.try_cast("bigint").cast("string"))
+    # A dotted id is never a whole number, so the cheap test comes first.
+    return F.when(text.contains("."), _mantissa(text, width)).otherwise(F.coalesce(number, text))
+
+
+def _mantissa(text: Column, width: int) -> Column:
+    return F.rpad(F.substring_index(text, "E", 1), width, "0")
 
 
 def round_terminal_id(tid: Column, places: int = 5) -> Column:

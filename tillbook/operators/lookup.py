@@ -66,7 +66,7 @@ def duplicate_guard(df: DataFrame, key: str, like: DataFrame) -> DataFrame:
 def heavy_keys(df: DataFrame, key: Column, share: float = 0.01) -> DataFrame:
     """Keys that hold at least ``share`` of the rows: at most ``1/share`` of them."""
     counts = df.groupBy(key.alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n"))
+    total = df.agg(F.count(F.lit(1)))
     return counts.where(
         F.col("__hot").isNotNull() & (F.col("__n") >= F.lit(share) * total.scalar())
     ).select("__hot")

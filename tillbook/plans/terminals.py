@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import DAILY_RATE_SCALE, MONTHLY_RATE_SCALE, parse_amount
+from ..functions.money import DAILY_RATE_SCALE, MONTHLY_RATE_SCALE, to_amount
 from ..functions.periods import day_of, lagged_day, month_of
 from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id, round_terminal_id
 from ..operators.lookup import add_bank, add_region, lookup, override_when
@@ -64,7 +64,7 @@ def summarise_daily(
     cleaned = txns.withColumns(
         {
             "terminal_id": clean_terminal_id(F.col("terminal_id").cast("string"), SUMMARY_WIDTH),
-            "amount": parse_amount(F.col("amount")),
+            "amount": to_amount(F.col("amount")),
         }
     )
     summary = terminal_summary(cleaned, *extra_keys, rate_scale=DAILY_RATE_SCALE)
@@ -112,7 +112,7 @@ def monthly_terminal(txns: DataFrame, banks: DataFrame, as_of: date) -> DataFram
     month = txns.where(month_of(as_of).contains(F.col("date"))).withColumns(
         {
             "terminal_id": round_terminal_id(F.col("terminal_id")),
-            "amount": parse_amount(F.col("amount")),
+            "amount": to_amount(F.col("amount")),
         }
     )
     summary = terminal_summary(month, rate_scale=MONTHLY_RATE_SCALE)
