@@ -96,10 +96,11 @@ def monthly_state_history(
     parsed = txns.withColumns(
         {
             "amount": parse_amount(F.col("amount")),
-            "report_date": F.last_day(day_of(F.col("updated_at"))).cast("string"),
+            "month_end": F.last_day(day_of(F.col("updated_at"))),
         }
     )
-    return rollup_states(wallet_totals(parsed, "report_date"), agents, states, "report_date")
+    rolled = rollup_states(wallet_totals(parsed, "month_end"), agents, states, "month_end")
+    return rolled.withColumn("report_date", F.col("month_end").cast("string")).drop("month_end")
 
 
 def agent_snapshot(agents: DataFrame) -> DataFrame:
