@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.functions.terminals import clean_terminal_id, normalise_terminal_id
-from tillbook.operators.dedup import latest_per_key
 
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
 
@@ -167,15 +166,6 @@ def cleaned(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
-def roster_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest update per normalised terminal id."""
-    journal = load(spark, sf_dir, "journal").select(
-        normalise_terminal_id(F.col("terminalId")).alias("terminal_id"),
-        F.col("updatedAt").alias("last_transaction_time"),
-    )
-    return latest_per_key(journal, "terminal_id", "last_transaction_time")
-
-
 def with_inputs(names: str, query: str) -> str:
     """SQL for the checker: ``query`` after the named derivations as CTEs."""
     plain = {t: t for t in TABLES}

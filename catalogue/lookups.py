@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tillbook.functions.terminals import ACTIVITY_WIDTH, clean_terminal_id
@@ -20,10 +22,10 @@ from tillbook.operators.lookup import (
     without_match,
 )
 from tillbook.plans.activity import prepare_devices
-from tillbook.plans.roster import prepare_roster
+from tillbook.plans.roster import prepare_roster, recent_activity
 
 from . import sql
-from .inputs import load, normalised, roster_activity, with_inputs
+from .inputs import load, normalised, with_inputs
 from .registry import register
 
 AGENT_SQL = """SELECT txn_id, wallet, a.bvn AS bvn, a.nin AS nin, a.address AS address
@@ -164,7 +166,8 @@ def join_membership_flags(spark, sf_dir):
 )
 def join_last_activity(spark, sf_dir):
     registered = normalised(spark, sf_dir, "registered").select("terminal_id", "merchant_name")
-    return add_last_activity(registered, roster_activity(spark, sf_dir))
+    activity = recent_activity(load(spark, sf_dir, "journal"), datetime(2024, 2, 1))
+    return add_last_activity(registered, activity)
 
 
 @register(

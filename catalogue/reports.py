@@ -11,7 +11,7 @@ from tillbook.plans.settlement import LEFT_OUT
 from tillbook.sources.sinks import shared_folder, write_report
 
 from . import sql
-from .inputs import load, normalised, roster_activity, with_inputs
+from .inputs import load, normalised, with_inputs
 from .lookups import membership_sql
 from .registry import register
 from .rollups import (
@@ -28,6 +28,7 @@ MONTHLY_AS_OF = date(1997, 2, 10)
 DAILY_AS_OF = date(1996, 9, 26)
 SUMMARY_MONTH = date(1998, 5, 15)
 SERVICE_AS_OF = datetime(2024, 2, 1)
+ACTIVITY_AS_OF = datetime(2024, 2, 1)
 
 
 def weekly_sql(where: str, report_date: str) -> str:
@@ -187,7 +188,9 @@ ROSTER_INPUTS = "registered connected active inactive journal"
 def roster(spark, sf_dir):
     sheets = [normalised(spark, sf_dir, n) for n in ("registered", "connected", "active", "inactive")]
     return plans.terminal_roster(
-        *sheets, roster_activity(spark, sf_dir), order=["merchant_name", "state"]
+        *sheets,
+        plans.recent_activity(load(spark, sf_dir, "journal"), ACTIVITY_AS_OF),
+        order=["merchant_name", "state"],
     )
 
 

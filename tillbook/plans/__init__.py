@@ -9,7 +9,7 @@ from .agents import (
     weekly_agent_activity_history,
 )
 from .loads import merchant_dimension, purchase_increment, service_increment
-from .roster import prepare_roster, sync_roster, terminal_roster
+from .roster import prepare_roster, recent_activity, sync_roster, terminal_roster
 from .settlement import clean_settlement
 from .terminals import daily_terminal, daily_terminal_history, monthly_terminal
 
@@ -24,6 +24,7 @@ __all__ = [
     "monthly_terminal",
     "prepare_roster",
     "purchase_increment",
+    "recent_activity",
     "service_increment",
     "sync_roster",
     "terminal_activity",

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id
-from ..operators.dedup import dedup
+from ..functions.periods import quarters_between, trailing_days
+from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id, normalise_terminal_id
+from ..operators.dedup import dedup, latest_per_key
 from ..operators.lookup import add_last_activity, flag_membership
 from ..operators.merge import merge_sync
 
@@ -25,6 +27,28 @@ def prepare_roster(
     return dedup(cleaned, [KEY], order).withColumnRenamed("state", "state_initials")
 
 
+def recent_activity(
+    journal: DataFrame,
+    as_of: datetime,
+    days: int = 120,
+    width: int = SUMMARY_WIDTH,
+    quarter_column: str | None = None,
+) -> DataFrame:
+    """Latest update per normalised terminal id among the last ``days`` days.
+
+    The window covers every quarter it overlaps; ``quarter_column`` names the partition
+    column holding the quarter key, so that the other quarters are not listed or read.
+    """
+    if quarter_column:
+        quarters = quarters_between(as_of - timedelta(days=days), as_of)
+        journal = journal.where(F.col(quarter_column).isin(*quarters))
+    recent = journal.where(trailing_days(F.col("transactionTime"), as_of, days)).select(
+        normalise_terminal_id(F.col("terminalId"), width).alias(KEY),
+        F.col("updatedAt").alias("last_transaction_time"),
+    )
+    return latest_per_key(recent, KEY, "last_transaction_time")
+
+
 def terminal_roster(
     registered: DataFrame,
     connected: DataFrame | None = None,

@@ -79,6 +79,11 @@ def read_table(
     return scan(spark, fmt, path, where=where, columns=columns, **options)
 
 
+def table_if_exists(spark: SparkSession, name: str) -> DataFrame | None:
+    """A catalog table, or None before its first load (the merges take None as target)."""
+    return spark.table(name) if spark.catalog.tableExists(name) else None
+
+
 def for_day(df: DataFrame, ts: str, day: date) -> DataFrame:
     """Rows of one calendar day, as a range on the raw column."""
     return df.where(single_day(day).contains(F.col(ts)))
