@@ -1,0 +1,210 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillbook.sources import columns as cols
+from tillbook.sources import scans, sinks
+
+
+def text_file(folder, name, content):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(content)
+
+
+# Headers and columns
+
+
+def test_snake_columns(frame):
+    df = frame([("1", "2", "3")], "`Terminal ID` STRING, merchantName STRING, `State-Code` STRING")
+    assert cols.snake_columns(df).columns == ["terminal_id", "merchant_name", "state_code"]
+
+
+def test_colliding_names_are_refused(frame):
+    df = frame([("1", "2")], "`Terminal ID` STRING, `terminal-id` STRING")
+    with pytest.raises(ValueError, match="collide"):
+        cols.snake_columns(df)
+
+
+def test_rename_positional_checks_the_count(frame):
+    df = frame([(1, 2)], "a INT, b INT")
+    assert cols.rename_positional(df, ["b", "a"]).columns == ["b", "a"]
+    with pytest.raises(ValueError):
+        cols.rename_positional(df, ["x"])
+
+
+def test_conform_header_swaps_and_keeps_the_rest(frame):
+    df = frame([(1, 2, 3)], "b INT, a INT, extra INT")
+    out = cols.conform_header(df, ["a", "b"])
+    assert out.columns == ["a", "b", "extra"] and tuple(out.first()) == (1, 2, 3)
+    assert cols.conform_header(df, ["w", "x", "y", "z"]).columns == ["w", "x", "y"]
+
+
+def test_column_rules(frame, rows):
+    df = frame([("a\x00b", 1, Decimal("1.50")), (None, None, None)], "`S.x` STRING, N INT, D DECIMAL(5,2)")
+    assert rows(cols.strip_nul(df)) == [(None, None, None), ("ab", 1, Decimal("1.50"))]
+    assert rows(cols.all_to_string(df.drop("S.x"))) == [(None, None), ("1", "1.50")]
+    assert cols.lower_columns(df).columns == ["s.x", "n", "d"]
+    assert cols.drop_columns(df, ["N", "absent"]).columns == ["S.x", "D"]
+    declared = cols.declared_columns(df, ["N", "absent"])
+    assert declared.dtypes == [("N", "int"), ("absent", "string")]
+    constants = cols.add_constants(df, {"z": 0, "e": "", "t": F.lit(None).cast("string")})
+    assert constants.dtypes[-3:] == [("z", "int"), ("e", "string"), ("t", "string")]
+
+
+def test_string_schema():
+    schema = cols.string_schema(["a", "b"])
+    assert schema.simpleString() == "struct<a:string,b:string>"
+
+
+# Scans
+
+
+def test_scan_pushes_filter_and_columns(spark, sf_dir):
+    df = scans.scan(
+        spark, "parquet", f"{sf_dir}/orders.parquet",
+        where=F.col("o_orderstatus") == "F", columns=["o_orderkey"],
+    )
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+
+
+def test_scan_with_declared_schema_never_infers(spark, tmp_path):
+    text_file(tmp_path, "a.json", '{"_id": 5, "amount": 1.5}\n{"_id": "x"}\n')
+    df = scans.scan(spark, "json", str(tmp_path), schema=cols.string_schema(["_id", "amount"]))
+    assert sorted(r["_id"] for r in df.collect()) == ["5", "x"]
+
+
+def test_day_scan_keeps_the_column_bare(spark, sf_dir):
+    day = scans.for_day(
+        spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_shipdate", date(1996, 9, 23)
+    )
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate,1996-09-23T00:00)" in plan
+    assert "LessThan(l_shipdate,1996-09-24T00:00)" in plan
+
+
+def test_table_options():
+    split = scans.Split("id", 0, 1000, 8)
+    options = scans.table_options(split, url="jdbc:x", dbtable="t")
+    assert options["partitionColumn"] == "id" and options["numPartitions"] == "8"
+    assert options["fetchsize"] == "10000"
+    assert scans.table_options(url="u", dbtable="t", fetchsize="5")["fetchsize"] == "5"
+    with pytest.raises(ValueError):
+        scans.table_options(split, url="u", query="SELECT 1")
+
+
+def test_table_if_exists(spark, frame):
+    assert scans.table_if_exists(spark, "no_such_table") is None
+    sinks.write_report(frame([(1,)], "a INT"), table="known_table", mode="overwrite")
+    assert scans.table_if_exists(spark, "known_table").count() == 1
+
+
+def test_sheets_of_every_workbook(spark, tmp_path, rows):
+    text_file(
+        tmp_path / "workbook=one" / "sheet=REGISTERED TERMINALS", "a.csv",
+        "Terminal ID,State-Code\n02035123,S1\n2.035123456E+10,S2\n",
+    )
+    text_file(
+        tmp_path / "workbook=two" / "sheet=REGISTERED TERMINALS", "a.csv",
+        "Terminal ID,State-Code\n 2035 9 ,S3\n",
+    )
+    text_file(tmp_path / "workbook=one" / "sheet=ACTIVE TERMINALS", "a.csv", "Terminal ID\n1\n")
+    df = scans.read_sheets(spark, str(tmp_path), "REGISTERED TERMINALS")
+    assert rows(df) == [("2.035123", "S2"), ("2035123", "S1"), ("20359", "S3")]
+    assert rows(scans.read_sheets(spark, str(tmp_path), "ACTIVE TERMINALS")) == [("1",)]
+
+
+def test_sheets_with_different_headers_fail(spark, tmp_path):
+    for book, header in (("one", "Terminal ID,State"), ("two", "State,Terminal ID")):
+        text_file(tmp_path / f"workbook={book}" / "sheet=S", "a.csv", f"{header}\na,b\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scans.read_sheets(spark, str(tmp_path), "S").collect()
+
+
+def test_typed_sheet_infers_and_nulls_empty_cells(spark, tmp_path):
+    text_file(
+        tmp_path / "workbook=one" / "sheet=POS_FAILED", "a.csv",
+        "RetrievalReferenceNo,Amount\n,1.5\nr1,2\n",
+    )
+    df = scans.read_typed_sheet(spark, str(tmp_path), "POS_FAILED")
+    assert df.dtypes == [("RetrievalReferenceNo", "string"), ("Amount", "double")]
+    assert {r[0] for r in df.collect()} == {None, "r1"}
+    declared = scans.read_typed_sheet(
+        spark, str(tmp_path), "POS_FAILED", schema="ref STRING, amount DECIMAL(18,2)"
+    )
+    assert declared.dtypes == [("ref", "string"), ("amount", "decimal(18,2)")]
+
+
+def test_drop_folder_skips_marked_files(spark, tmp_path, rows):
+    text_file(tmp_path, "pos_1.csv", "a,b\n1,x\n")
+    text_file(tmp_path, "pos_2.csv", "a,b\n2,y\n")
+    text_file(tmp_path, "RCA_3.csv", "a,b\n3,z\n")
+    text_file(tmp_path, "notes.txt", "a,b\n4,w\n")
+    df = scans.read_drop(
+        spark, str(tmp_path), skip="RCA", schema="a INT, b STRING", source_column="file"
+    )
+    assert rows(df) == [(1, "x", "pos_1.csv"), (2, "y", "pos_2.csv")]
+    assert scans.read_drop(spark, str(tmp_path)).count() == 3
+
+
+# Sinks
+
+
+def test_append_and_overwrite(frame, spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = frame([(1,), (2,)], "a INT")
+    sinks.write_report(df, path)
+    sinks.write_report(df, path)
+    assert spark.read.parquet(path).count() == 4
+    sinks.write_report(df, path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_partition_overwrite_is_idempotent(frame, spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    sinks.write_report(frame([(1, "a"), (2, "b")], "n INT, p STRING"), path, partition_by=["p"])
+    for _ in range(2):
+        sinks.write_report(
+            frame([(9, "b"), (8, "c")], "n INT, p STRING"), path,
+            mode="overwrite_partitions", partition_by=["p"], rebalance=True,
+        )
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (8, "c"), (9, "b")]
+    with pytest.raises(ValueError):
+        sinks.write_report(frame([(1,)], "n INT"), path, mode="overwrite_partitions")
+
+
+def test_rebalance_without_adaptive_execution_adds_no_shuffle(frame, spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = frame([(1, "a")], "n INT, p STRING")
+        sinks.write_report(df, str(tmp_path / "t"), partition_by=["p"], rebalance=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+def test_csv_keeps_values(frame, spark, tmp_path, rows):
+    path = str(tmp_path / "c")
+    data = [(" 20 35 ", Decimal("1.50"), datetime(2025, 1, 2, 3)), ('q"u,o', None, None), ("", None, None)]
+    schema = "id STRING, amount DECIMAL(18,2), ts TIMESTAMP_NTZ"
+    df = frame(data, schema)
+    sinks.write_csv(df, path)
+    expected = df.withColumn("id", F.nullif("id", F.lit("")))
+    assert rows(scans.read_csv(spark, path, schema=schema)) == rows(expected)
+
+
+def test_writing_an_empty_report(frame, spark, tmp_path):
+    path = str(tmp_path / "e")
+    sinks.write_report(frame([], "a INT"), path)
+    assert spark.read.parquet(path).isEmpty()
+
+
+def test_shared_folder_follows_the_session(spark):
+    first, second = sinks.shared_folder(spark, "x"), sinks.shared_folder(spark, "x")
+    assert first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -1,7 +1,8 @@
 """Incremental loads from a watermark that the committed target itself provides.
 
-Watermarks are scalar subqueries: the plan stays lazy, the driver sees nothing, and the
-value reaches the source scan as a filter when the load runs.
+A watermark is one value, so the source scan filters on it like on any constant: a key
+watermark is fetched when the plan is built (there may be none, and then no filter either),
+a time watermark always exists and is a scalar subquery of the load.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ def rows_after(
     source: DataFrame, target: DataFrame, key: str, inclusive: bool = False
 ) -> DataFrame:
     """Source rows whose key lies after the target's watermark, or all without one."""
-    mark = high_watermark(target, key).scalar()
+    mark = high_watermark(target, key).first()["watermark"]
+    if mark is None:
+        return source
     column = F.col(key)
-    return source.where(mark.isNull() | (column >= mark if inclusive else column > mark))
+    return source.where(column >= F.lit(mark) if inclusive else column > F.lit(mark))
 
 
 def rows_between(

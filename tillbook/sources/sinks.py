@@ -55,7 +55,10 @@ def _adaptive(spark: SparkSession) -> bool:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header in every part file; outer spaces of values are kept."""
+    """CSV with a header in every part file; outer spaces of values are kept.
+
+    CSV cannot tell empty text from null: both read back as null.
+    """
     df.write.mode(mode).options(
         header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
