@@ -1,0 +1,271 @@
+"""The reports on small frames, and the shape of their plans."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tillbook import plans
+from tillbook.functions.money import parse_amount
+from tillbook.plans.settlement import HEADER
+from tillbook.plans.terminals import add_current_initials, current_terminals
+
+D = Decimal
+TXN = "wallet STRING, terminal STRING, category STRING, amount STRING, updated_at TIMESTAMP_NTZ"
+AGENT = (
+    "wallet_id STRING, bvn STRING, nin STRING, phone_number STRING, address STRING, state_of_residence STRING"
+)
+STATE = "state STRING, state_initials STRING, region STRING"
+POS = "terminal_id STRING, merchant STRING, merchant_id STRING, amount DECIMAL(18,2), date TIMESTAMP_NTZ"
+
+
+@pytest.fixture
+def agents(frame):
+    return frame(
+        [
+            ("w1", "", "N1", "0", "street", " lagos"), ("w2", "B2", None, "+2", None, "Federal Capital Territory"),
+            ("w2", "B2b", None, "+22", "", "Nowhere"),
+        ],
+        AGENT,
+    )
+
+
+@pytest.fixture
+def states(frame):
+    return frame([("Lagos", "LA", "SW"), ("Abuja", "FC", "NC")], STATE)
+
+
+def test_weekly_agent_activity(frame, agents, rows):
+    txns = frame(
+        [
+            ("w1", "t", "c", "1.10", datetime(2025, 6, 2)), ("w1", "t", "c", "bad", datetime(2025, 6, 2, 9)),
+            ("w2", "t", "c", "3", datetime(2025, 6, 8, 23, 59, 59, 999999)),
+            ("w3", None, "c", "4", datetime(2025, 6, 5)), ("w1", "t", "c", "9", datetime(2025, 6, 9)),
+        ],
+        TXN,
+    )
+    out = plans.weekly_agent_activity(txns, agents, date(2025, 6, 11))
+    assert out.columns == [
+        "wallet", "updated_at", "category", "terminal", "bvn", "phone_number", "address", "volume", "value",
+        "report_date",
+    ]
+    picked = out.select("wallet", "bvn", "phone_number", "address", "volume", "value", "report_date")
+    assert rows(picked) == [
+        ("w1", "N1", "", "street", 2, D("1.10"), "2025-06-08"),
+        ("w2", "B2", "+2", "", 1, D("3.00"), "2025-06-08"),
+        ("w2", "B2b", "+22", "", 1, D("3.00"), "2025-06-08"),
+        ("w3", "", "", "", 1, D("4.00"), "2025-06-08"),
+    ]
+    history = plans.weekly_agent_activity_history(txns, agents)
+    assert rows(history.where("report_date = '2025-06-08'")) == rows(out)
+    assert plans.weekly_agent_activity(txns, agents, date(2030, 1, 1)).isEmpty()
+
+
+def test_monthly_state_equals_joining_every_transaction(frame, agents, states, rows):
+    txns = frame(
+        [
+            (f"w{i % 5}", "t", "c", "x" if i == 7 else f"{i}.25", datetime(2025, 5 + i % 2, 1 + i % 28))
+            for i in range(120)
+        ] + [(None, "t", "c", "5", datetime(2025, 5, 3))],
+        TXN,
+    )
+    out = plans.monthly_state(txns, agents, states, date(2025, 6, 1))
+    located = agents.withColumn(
+        "k", F.when(F.upper(F.trim("state_of_residence")) == "FEDERAL CAPITAL TERRITORY", "ABUJA")
+        .otherwise(F.upper(F.trim("state_of_residence"))),
+    )
+    direct = (
+        txns.where("updated_at >= '2025-05-01' AND updated_at < '2025-06-01'")
+        .join(located, F.col("wallet") == F.col("wallet_id"), "left")
+        .join(states.withColumn("sk", F.upper("state")), F.col("k") == F.col("sk"), "left")
+        .groupBy("state", "region")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.sum(parse_amount(F.col("amount"))).alias("v"),
+            F.count_distinct("wallet").alias("w"), F.lit("2025-05-31").alias("d"),
+        )
+    )
+    assert rows(out) == rows(direct)
+    history = plans.monthly_state_history(txns, agents, states)
+    assert rows(history.where("report_date = '2025-05-31'").select(*out.columns)) == rows(out)
+
+
+def pos_rows(day):
+    return [
+        ("2.035123456E+10", "NOVA X", "m1", D("100.00"), datetime(2025, 1, day, 8)),
+        ("2.0351239E+10", "NOVA X", "m1", D("50.00"), datetime(2025, 1, day, 9)),
+        ("20351234", "SHOP", "m2", D("10.00"), datetime(2025, 1, day, 23, 59, 59)),
+        ("9999", "SHOP", "m3", None, datetime(2025, 1, day)),
+        (None, "SHOP", "m4", D("1.00"), datetime(2025, 1, day)),
+    ]
+
+
+@pytest.fixture
+def daily(frame, states):
+    return dict(
+        txns=frame(pos_rows(5) + pos_rows(6), POS),
+        roster=frame([("2.035123456E+10", "LA"), ("2.0351231E7", "FC"), ("new", "LA")],
+                     "terminal_id STRING, state STRING"),
+        terminals=frame([("2.035123", "XX"), ("20351234", "FC"), (None, "LA")],
+                        "terminal_id STRING, state_initials STRING"),
+        banks=frame([("2.035", "B1"), ("2035", "B2")], "bank_code STRING, bank STRING"),
+        states=states,
+    )
+
+
+def test_daily_terminal(daily, rows):
+    out = plans.daily_terminal(**daily, as_of=date(2025, 1, 8))
+    assert out.columns == [
+        "terminal_id", "volume", "value", "msc", "merchant_id", "merchant", "date", "bank", "state", "region",
+    ]
+    assert rows(out.drop("date", "merchant_id")) == [
+        (None, 0, D("1.00"), D("0.001300"), "SHOP", None, None, None),
+        ("2.035123", 2, D("150.00"), D("0.195000"), "NOVA X", "NOVA BANK", "Abuja", "NC"),
+        ("20351234", 1, D("10.00"), D("0.013000"), "SHOP", "B2", "Abuja", "NC"),
+        ("9999", 1, None, None, "SHOP", None, None, None),
+    ]
+    history = plans.daily_terminal_history(**daily)
+    assert rows(history.where("day = '2025-01-05'").drop("day")) == rows(out)
+    assert rows(plans.daily_terminal(**daily, as_of=date(2025, 1, 5), lag=0)) == rows(out)
+
+
+def test_lookups_give_what_the_merged_table_gives(daily, frame, rows):
+    facts = frame([("2.035123",), ("20351234",), ("new",), ("absent",), (None,)], "terminal_id STRING")
+    terminals = daily["terminals"].unionByName(
+        frame([("20351234", "LA"), ("new", "ZZ")], "terminal_id STRING, state_initials STRING")
+    )
+    for known in (terminals, None):
+        merged = current_terminals(known, daily["roster"])
+        expected = facts.join(merged, "terminal_id", "left").select("terminal_id", "state_initials")
+        got = add_current_initials(facts, known, daily["roster"])
+        assert rows(got.select("terminal_id", "state_initials")) == rows(expected)
+
+
+def test_monthly_terminal(frame, daily, rows):
+    txns = frame(
+        [("2.035123456", "S", "m1", D("100.00"), datetime(2025, 1, 1)),
+         ("2.0351234", "S", "m1", D("0.01"), datetime(2025, 1, 31, 23)),
+         ("20351", "T", "m2", D("5.00"), datetime(2025, 2, 1))],
+        POS,
+    )
+    out = plans.monthly_terminal(txns, daily["banks"], date(2025, 1, 15))
+    assert rows(out) == [
+        ("2.03512", 2, D("100.01"), D("0.12501250"), "m1", "S", datetime(2025, 1, 1), "B1"),
+    ]
+
+
+def test_terminal_roster_and_sync(frame, rows):
+    registered = frame(
+        [("a", "S1", "x"), ("a", "S0", "y"), ("b", "S2", "z"), (None, "S3", "n")],
+        "terminal_id STRING, state STRING, extra STRING",
+    )
+    ids = frame([("a",), ("a",), ("q",)], "terminal_id STRING")
+    seen = frame([("b", datetime(2025, 1, 1))], "terminal_id STRING, last_transaction_time TIMESTAMP_NTZ")
+    roster = plans.terminal_roster(registered, ids, None, ids, seen, order=["state"])
+    assert rows(roster) == [
+        (None, "S3", "n", 0, 0, 0, None), ("a", "S0", "y", 1, 0, 1, None),
+        ("b", "S2", "z", 0, 0, 0, datetime(2025, 1, 1)),
+    ]
+    assert rows(plans.sync_roster(None, roster)) == rows(roster)
+    target = roster.where("terminal_id = 'a'").withColumns({"state": F.lit("old"), "note": F.lit("kept")})
+    synced = plans.sync_roster(target, roster.where("terminal_id IS NOT NULL"))
+    assert rows(synced.select("terminal_id", "state", "note")) == [("a", "S0", "kept"), ("b", "S2", None)]
+
+
+def test_recent_activity_spans_quarters(spark, frame, tmp_path, rows):
+    journal = frame(
+        [("2.0351239E7", datetime(2024, 11, 1), "journals_24_10_12"),
+         ("2.035123E7", datetime(2025, 2, 1), "journals_25_01_03"),
+         ("007", datetime(2024, 12, 31), "journals_24_10_12"), ("8", datetime(2024, 6, 1), "journals_24_04_06")],
+        "terminalId STRING, transactionTime TIMESTAMP_NTZ, q STRING",
+    ).withColumn("updatedAt", F.col("transactionTime"))
+    journal.write.partitionBy("q").parquet(str(tmp_path / "j"))
+    stored = spark.read.parquet(str(tmp_path / "j"))
+    out = plans.recent_activity(stored, datetime(2025, 2, 10), quarter_column="q")
+    assert rows(out) == [("2.035123", datetime(2025, 2, 1)), ("7", datetime(2024, 12, 31))]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "q#" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_terminal_activity(frame, rows):
+    journal = frame(
+        [("2.0351234E+07", "Purchase", datetime(2025, 1, 1)), ("2.0351234E7", "Purchase", datetime(2025, 5, 1)),
+         ("20351", "Purchase", datetime(2025, 1, 3)), ("20351", "VAS", datetime(2025, 6, 1))],
+        "terminalId STRING, transactionType STRING, transactionTime TIMESTAMP_NTZ",
+    ).withColumn("updatedAt", F.col("transactionTime") + F.expr("INTERVAL 1 DAY"))
+    devices = frame(
+        [("2.0351234E+07", "SN1", "A", "v1", "q1", 3, "s", 1.5, 2.5)],
+        "trm_termid STRING, trm_serialno STRING, trm_model STRING, trm_version STRING, q__version STRING, "
+        "trm_connectcount INT, trm_session STRING, trm_geolong DOUBLE, trm_geolat DOUBLE",
+    )
+    banks = frame([("2.035", "B1"), ("2035", "B2")], "bank_code STRING, bank STRING")
+    out = plans.terminal_activity(journal, devices, banks)
+    assert out.columns == [
+        "terminal_id", "last_transaction_time", "last_connect_date", "serial_number", "terminal_model",
+        "terminal_version", "q_version", "connect_count", "terminal_session", "longitude", "latitude", "bank_name",
+    ]
+    assert rows(out) == [
+        ("2.0351234", datetime(2025, 5, 1), datetime(2025, 5, 2), "SN1", "A", "v1", "q1", 3, "s", 1.5, 2.5, "B1"),
+        ("20351", datetime(2025, 1, 3), datetime(2025, 1, 4), *[None] * 8, "B2"),
+    ]
+    assert plans.terminal_activity(journal, devices, banks, per_journal=True).count() == 3
+
+
+def test_clean_settlement_conforms_the_header(frame, rows):
+    names = [f"c{i}" for i in range(16)]
+    row = ["shop", "t1", "ib", "ab", "bin", "pan", "2025-01-01", "m1", "5.00", "00", "stan", "r1", "acq", "FAILED", "p", "x"]
+    other = row[:13] + ["SUCCESSFUL"] + row[14:]
+    blank = row[:11] + [None] + row[12:]
+    schema = ", ".join(f"{n} STRING" for n in names)
+    out = plans.clean_settlement([frame([row, blank], schema), frame([other, blank], schema)], ["Tran_Status"])
+    assert out.columns == [h for h in HEADER if h not in ("Acquirer_name", "Tran_Status", "PTSP")]
+    assert [r[out.columns.index("RetrievalReferenceNo")] for r in out.collect()].count(None) == 1
+    assert out.count() == 2
+
+
+def test_merchant_dimension(frame, rows):
+    schema = "_id BIGINT, {key} STRING, Name STRING, Balance DECIMAL(5,2)"
+    data = [(10, "m1", "b\x00", D("1.00")), (9, "m1", "c", None), (2, None, "d", None)]
+    out = plans.merchant_dimension(frame(data, schema.format(key="merchant_id")), ["_id"])
+    assert out.columns == ["merchant_id", "name", "balance"]
+    assert rows(out) == [(None, "d", None), ("m1", "b", "1.00")]  # text order: "10" before "9"
+    kept = plans.merchant_dimension(frame(data, schema.format(key="merchantId")), ["_id"])
+    assert kept.count() == 3
+
+
+# Plan shapes
+
+BATCH = sorted(n for n in entry.queries() if not n.startswith(("stream_", "sink_", "stage_", "scan_")))
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_cross_join_and_no_python(spark, sf_dir, name):
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapInPandas"):
+        assert operator not in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "shuffles"),
+    [
+        # One per input: every join lines up on the terminal id.
+        ("report_roster", 5),
+        # Keys to wallets, then the agent lookup.
+        ("report_weekly_agent_activity_all", 3),
+        ("dedup_reference", 1),
+        ("agg_daily_activity", 1),
+        ("agg_last_activity", 1),
+        ("agg_terminal", 2),
+    ],
+)
+def test_shuffle_count(spark, sf_dir, name, shuffles):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == shuffles
+    assert "Exchange SinglePartition" not in plan
