@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tillbook.operators.lookup import (
     add_state_by_name,
     add_state_region,
     flag_membership,
+    heavy_keys,
     lookup,
     match_stats,
     prepare_agent_states,
@@ -43,9 +45,9 @@ def join_agent(spark, sf_dir):
 
 @register("join_agent_salted", with_inputs("service_txn agent", AGENT_SQL))
 def join_agent_salted(spark, sf_dir):
-    joined = salted_lookup(
+    joined = add_agent(
         load(spark, sf_dir, "service_txn"), load(spark, sf_dir, "agent"),
-        F.col("wallet"), "wallet_id", {"bvn": "bvn", "nin": "nin", "address": "address"},
+        {"bvn": "bvn", "nin": "nin", "address": "address"}, join=salted_lookup,
     )
     return joined.select("txn_id", "wallet", "bvn", "nin", "address")
 
@@ -136,22 +138,33 @@ def membership_sql(flag: str) -> str:
     return f"CASE WHEN r.terminal_id IN ({ids}) THEN 1 ELSE 0 END AS {flag}"
 
 
-@register(
-    "join_membership_flags",
-    with_inputs(
-        "registered connected active inactive",
-        f"""SELECT terminal_id, merchant_name, {membership_sql('connected')},
-                   {membership_sql('active')}, {membership_sql('inactive')}
-            FROM (SELECT {sql.normalise('terminal_id')} AS terminal_id, merchant_name FROM registered) r""",
-    ),
+MEMBERSHIP_SQL = with_inputs(
+    "registered connected active inactive",
+    f"""SELECT terminal_id, merchant_name, {membership_sql('connected')},
+               {membership_sql('active')}, {membership_sql('inactive')}
+        FROM (SELECT {sql.normalise('terminal_id')} AS terminal_id, merchant_name FROM registered) r""",
 )
-def join_membership_flags(spark, sf_dir):
-    out = normalised(spark, sf_dir, "registered").select("terminal_id", "merchant_name")
+
+
+def flagged(spark, sf_dir, out, join):
     for flag in ("connected", "active", "inactive"):
-        out = flag_membership(out, normalised(spark, sf_dir, flag), flag)
+        out = flag_membership(out, normalised(spark, sf_dir, flag), flag, join=join)
     return out
 
 
+@register("join_membership_flags", MEMBERSHIP_SQL)
+def join_membership_flags(spark, sf_dir):
+    terminals = normalised(spark, sf_dir, "registered").select("terminal_id", "merchant_name")
+    return flagged(spark, sf_dir, terminals, lookup)
+
+
+@register("join_membership_flags_salted", MEMBERSHIP_SQL)
+def join_membership_flags_salted(spark, sf_dir):
+    terminals = normalised(spark, sf_dir, "registered").select("terminal_id", "merchant_name")
+    hot = heavy_keys(terminals, F.col("terminal_id"))
+    return flagged(spark, sf_dir, terminals, partial(salted_lookup, hot=hot))
+
+
 @register(
     "join_last_activity",
     with_inputs(

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tillbook import plans
+from tillbook.operators.lookup import salted_lookup
 from tillbook.plans.settlement import LEFT_OUT
 from tillbook.sources.sinks import shared_folder, write_report
 
@@ -71,6 +72,16 @@ def report_weekly_agent_activity_all(spark, sf_dir):
     )
 
 
+@register(
+    "report_weekly_agent_activity_salted",
+    weekly_sql("true", "strftime(date_trunc('week', updated_at) + INTERVAL 6 DAY, '%Y-%m-%d')"),
+)
+def report_weekly_agent_activity_salted(spark, sf_dir):
+    return plans.weekly_agent_activity_history(
+        load(spark, sf_dir, "service_txn"), load(spark, sf_dir, "agent"), join=salted_lookup
+    )
+
+
 @register(
     "report_monthly_state",
     with_inputs(
@@ -240,6 +251,29 @@ def report_terminal_activity(spark, sf_dir):
     )
 
 
+@register(
+    "report_terminal_activity_per_journal",
+    with_inputs(
+        "journal terminal_device bank_code",
+        f"""
+WITH last AS (
+  SELECT {sql.clean('terminalId', 9)} AS terminal_id, {sql.quarter_span('transactionTime')} AS journal,
+         max(transactionTime) AS last_transaction_time, max(updatedAt) AS last_connect_date
+  FROM journal WHERE transactionType = 'Purchase' GROUP BY 1, 2),
+device AS (SELECT {sql.clean('trm_termid', 9)} AS id, * FROM terminal_device)
+SELECT journal, terminal_id, last_transaction_time, last_connect_date, trm_serialno AS serial_number,
+       trm_model AS terminal_model, trm_connectcount AS connect_count, bank AS bank_name
+FROM last LEFT JOIN device ON terminal_id = id
+LEFT JOIN bank_code b ON {sql.prefix('terminal_id')} = b.bank_code""",
+    ),
+)
+def report_terminal_activity_per_journal(spark, sf_dir):
+    return plans.terminal_activity(
+        load(spark, sf_dir, "journal"), load(spark, sf_dir, "terminal_device"),
+        load(spark, sf_dir, "bank_code"), per_journal=True,
+    )
+
+
 @register(
     "report_settlement_clean",
     with_inputs(

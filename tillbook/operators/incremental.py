@@ -16,7 +16,11 @@ from ..functions.periods import end_of_previous_month, timestamp
 
 
 def high_watermark(target: DataFrame, key: str) -> DataFrame:
-    """Largest loaded key; null when nothing is loaded."""
+    """Largest loaded key; null when nothing is loaded.
+
+    Only the key column is read.  Where keys grow with time, pass just the newest partition
+    of a partitioned target.
+    """
     return target.agg(F.max(key).alias("watermark"))
 
 

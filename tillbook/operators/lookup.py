@@ -3,12 +3,13 @@
 No broadcast is forced here.  A dimension is broadcast only when Catalyst's estimate or
 the size adaptive execution measures stays under ``spark.sql.autoBroadcastJoinThreshold``;
 beyond it the join is a sort-merge join whose hot partitions adaptive execution splits.
-``salted_lookup`` splits hot keys without adaptive execution.
+``salted_lookup`` splits hot keys without adaptive execution.  The named lookups below take
+either of the two as ``join``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from ..functions.terminals import bank_prefix
 from ..functions.text import canonical_state, match_key
 
 
+Join = Callable[[DataFrame, DataFrame, Column, str, Mapping[str, str]], DataFrame]
+
+
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -65,6 +69,8 @@ def duplicate_guard(df: DataFrame, key: str, like: DataFrame) -> DataFrame:
 
 def heavy_keys(df: DataFrame, key: Column, share: float = 0.01) -> DataFrame:
     """Keys that hold at least ``share`` of the rows: at most ``1/share`` of them."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be in (0, 1]")
     counts = df.groupBy(key.alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
     total = df.agg(F.count(F.lit(1)))
     return counts.where(
@@ -81,17 +87,19 @@ def salted_lookup(
     *,
     share: float = 0.01,
     salts: int = 64,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``lookup`` that spreads each hot key, and null keys, over ``salts`` partitions.
 
     Only hot dimension rows are copied.  The salt is a hash of the row, not random, so a
-    recomputed task sends its rows where the lost one did.  The extra pass reads only the
-    key column of the facts.
+    recomputed task sends its rows where the lost one did.  Finding the hot keys is an extra
+    pass over the key column of the facts; for several lookups in a row on the same key,
+    find them once with ``heavy_keys`` on the first facts and pass them as ``hot``.
     """
-    if not 0 < share <= 1:
-        raise ValueError("share must be in (0, 1]")
+    if hot is None:
+        hot = heavy_keys(facts, fact_key, share)
     # At most 1/share rows, so this broadcast has a fixed bound.
-    hot = F.broadcast(heavy_keys(facts, fact_key, share))
+    hot = F.broadcast(hot)
     row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
     salted_facts = (
         facts.withColumn("__fact_key", fact_key)
@@ -121,9 +129,11 @@ def salted_lookup(
     return joined.drop("__fact_key", "__fact_salt", "__key", "__salt")
 
 
-def add_agent(facts: DataFrame, agents: DataFrame, take: Mapping[str, str]) -> DataFrame:
+def add_agent(
+    facts: DataFrame, agents: DataFrame, take: Mapping[str, str], join: Join = lookup
+) -> DataFrame:
     """Attach agent columns by wallet."""
-    return lookup(facts, agents, F.col("wallet"), "wallet_id", take)
+    return join(facts, agents, F.col("wallet"), "wallet_id", take)
 
 
 def prepare_agent_states(agents: DataFrame) -> DataFrame:
@@ -131,58 +141,68 @@ def prepare_agent_states(agents: DataFrame) -> DataFrame:
     return agents.withColumn("agent_state", canonical_state(F.col("state_of_residence")))
 
 
-def add_state_by_name(facts: DataFrame, states: DataFrame, state: str = "agent_state") -> DataFrame:
+def add_state_by_name(
+    facts: DataFrame, states: DataFrame, state: str = "agent_state", join: Join = lookup
+) -> DataFrame:
     """Attach state and region by state name, ignoring case and outer spaces."""
     keyed = states.withColumn("state_key", match_key(F.col("state")))
-    return lookup(
-        facts, keyed, match_key(F.col(state)), "state_key", {"state": "state", "region": "region"}
-    )
+    taken = {"state": "state", "region": "region"}
+    return join(facts, keyed, match_key(F.col(state)), "state_key", taken)
 
 
-def add_region(facts: DataFrame, states: DataFrame) -> DataFrame:
+def add_region(facts: DataFrame, states: DataFrame, join: Join = lookup) -> DataFrame:
     """State initials to state and region."""
-    return lookup(
-        facts,
-        states,
-        F.col("state_initials"),
-        "state_initials",
-        {"state": "state", "region": "region"},
-    )
+    taken = {"state": "state", "region": "region"}
+    return join(facts, states, F.col("state_initials"), "state_initials", taken)
 
 
-def add_state_region(facts: DataFrame, terminals: DataFrame, states: DataFrame) -> DataFrame:
+def add_state_region(
+    facts: DataFrame, terminals: DataFrame, states: DataFrame, join: Join = lookup
+) -> DataFrame:
     """Terminal to state initials to state and region."""
-    with_initials = lookup(
-        facts, terminals, F.col("terminal_id"), "terminal_id", {"state_initials": "state_initials"}
-    )
-    return add_region(with_initials, states)
+    taken = {"state_initials": "state_initials"}
+    located = join(facts, terminals, F.col("terminal_id"), "terminal_id", taken)
+    return add_region(located, states, join)
 
 
 def add_bank(
-    facts: DataFrame, banks: DataFrame, *, output: str = "bank", dotted: int = 5, plain: int = 4
+    facts: DataFrame,
+    banks: DataFrame,
+    *,
+    output: str = "bank",
+    dotted: int = 5,
+    plain: int = 4,
+    join: Join = lookup,
 ) -> DataFrame:
     """Attach the bank named by the id prefix."""
     prefix = bank_prefix(F.col("terminal_id"), dotted, plain)
-    return lookup(facts, banks, prefix, "bank_code", {output: "bank"})
+    return join(facts, banks, prefix, "bank_code", {output: "bank"})
 
 
-def add_device(facts: DataFrame, devices: DataFrame, take: Mapping[str, str]) -> DataFrame:
+def add_device(
+    facts: DataFrame, devices: DataFrame, take: Mapping[str, str], join: Join = lookup
+) -> DataFrame:
     """Attach device-inventory columns; inventory ids must be cleaned already."""
-    return lookup(facts, devices, F.col("terminal_id"), "trm_termid", take)
+    return join(facts, devices, F.col("terminal_id"), "trm_termid", take)
 
 
 def flag_membership(
-    df: DataFrame, members: DataFrame | None, flag: str, key: str = "terminal_id"
+    df: DataFrame,
+    members: DataFrame | None,
+    flag: str,
+    key: str = "terminal_id",
+    join: Join = lookup,
 ) -> DataFrame:
-    """Column ``flag``: 1 where the key occurs in ``members``, else 0 (0 for all if None)."""
+    """Column ``flag``: 1 where the key occurs in ``members``, else 0 (0 for all if None).
+
+    Adaptive execution cannot split a hot key of ``df`` here, because the other side is
+    aggregated on the way in: deduplicate ``df`` first or pass ``salted_lookup``.
+    """
     if members is None:
         return df.withColumn(flag, F.lit(0))
-    ids = members.select(F.col(key).alias("__key")).distinct().withColumn("__hit", F.lit(1))
-    return (
-        df.join(ids, F.col(key) == F.col("__key"), "left")
-        .withColumn(flag, F.coalesce("__hit", F.lit(0)))
-        .drop("__key", "__hit")
-    )
+    ids = members.select(key).distinct().withColumn("__hit", F.lit(1))
+    flagged = join(df, ids, F.col(key), key, {"__hit": "__hit"})
+    return flagged.withColumn(flag, F.coalesce("__hit", F.lit(0))).drop("__hit")
 
 
 def add_last_activity(
@@ -190,11 +210,12 @@ def add_last_activity(
     activity: DataFrame | None,
     column: str = "last_transaction_time",
     key: str = "terminal_id",
+    join: Join = lookup,
 ) -> DataFrame:
     """Attach the last activity time, or a null text column when there is no activity set."""
     if activity is None:
         return df.withColumn(column, F.lit(None).cast("string"))
-    return lookup(df, activity, F.col(key), key, {column: column})
+    return join(df, activity, F.col(key), key, {column: column})
 
 
 def without_match(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.money import parse_amount
 from ..functions.periods import Period, day_of, previous_month, previous_week, week_of
 from ..functions.text import first_non_empty
-from ..operators.lookup import add_agent, add_state_by_name, prepare_agent_states
+from ..operators.lookup import Join, add_agent, add_state_by_name, lookup, prepare_agent_states
 from ..operators.rollups import daily_activity, state_rollup, wallet_totals
 
 ACTIVITY_COLUMNS = (
@@ -26,10 +26,12 @@ def in_period(txns: DataFrame, period: Period) -> DataFrame:
     )
 
 
-def fill_agent_columns(activity: DataFrame, agents: DataFrame) -> DataFrame:
+def fill_agent_columns(
+    activity: DataFrame, agents: DataFrame, join: Join = lookup
+) -> DataFrame:
     """Fill the empty identity columns of activity rows from their agent."""
     taken = {"__bvn": "bvn", "__nin": "nin", "__phone": "phone_number", "__address": "address"}
-    joined = add_agent(activity, agents, taken)
+    joined = add_agent(activity, agents, taken, join)
     return joined.withColumns(
         {
             "bvn": first_non_empty(F.col("bvn"), F.col("__bvn"), F.col("__nin")),
@@ -39,7 +41,9 @@ def fill_agent_columns(activity: DataFrame, agents: DataFrame) -> DataFrame:
     ).drop(*taken)
 
 
-def weekly_agent_activity(txns: DataFrame, agents: DataFrame, as_of: date) -> DataFrame:
+def weekly_agent_activity(
+    txns: DataFrame, agents: DataFrame, as_of: date, join: Join = lookup
+) -> DataFrame:
     """Daily activity of the previous week, with agent identity and report date.
 
     Transactions are aggregated before the agent lookup, so the join sees one row per
@@ -47,23 +51,25 @@ def weekly_agent_activity(txns: DataFrame, agents: DataFrame, as_of: date) -> Da
     """
     period = previous_week(as_of)
     activity = daily_activity(in_period(txns, period))
-    return _identified(activity, agents).select(
+    return _identified(activity, agents, join).select(
         *ACTIVITY_COLUMNS, F.lit(period.report_date).alias("report_date")
     )
 
 
-def weekly_agent_activity_history(txns: DataFrame, agents: DataFrame) -> DataFrame:
+def weekly_agent_activity_history(
+    txns: DataFrame, agents: DataFrame, join: Join = lookup
+) -> DataFrame:
     """Every week's report in one pass: a day decides its week, so grouping is the same."""
     parsed = txns.withColumn("amount", parse_amount(F.col("amount")))
     sunday = F.date_add(week_of(F.col("day")), 6)
-    return _identified(daily_activity(parsed), agents).select(
+    return _identified(daily_activity(parsed), agents, join).select(
         *ACTIVITY_COLUMNS, sunday.cast("string").alias("report_date")
     )
 
 
-def _identified(activity: DataFrame, agents: DataFrame) -> DataFrame:
+def _identified(activity: DataFrame, agents: DataFrame, join: Join) -> DataFrame:
     empty = {"bvn": F.lit(""), "phone_number": F.lit(""), "address": F.lit("")}
-    return fill_agent_columns(activity.withColumns(empty), agents)
+    return fill_agent_columns(activity.withColumns(empty), agents, join)
 
 
 def rollup_states(
