@@ -182,8 +182,13 @@ def drain(spark, stream, purpose, **options):
     return f"{path}/rows"
 
 
+def table_stream(spark, sf_dir, name, schema):
+    """A driver table as a stream, be it one file or a folder (a plain path must be a folder)."""
+    return file_stream(spark, "parquet", f"{sf_dir}/[{name[0]}]{name[1:]}.parquet", schema)
+
+
 def journal_stream(spark, sf_dir):
-    events = file_stream(spark, "parquet", sf_dir, EVENTS_SCHEMA, pathGlobFilter="events.parquet")
+    events = table_stream(spark, sf_dir, "events", EVENTS_SCHEMA)
     return derive(spark, "journal", events=events)
 
 
@@ -232,7 +237,7 @@ def stream_last_activity(spark, sf_dir):
     ),
 )
 def stream_daily_activity(spark, sf_dir):
-    orders = file_stream(spark, "parquet", sf_dir, ORDERS_SCHEMA, pathGlobFilter="orders.parquet")
+    orders = table_stream(spark, sf_dir, "orders", ORDERS_SCHEMA)
     txns = derive(spark, "service_txn", orders=orders).withColumn(
         "amount", parse_amount(F.col("amount"))
     )
