@@ -19,7 +19,13 @@ from tillbook.plans.activity import purchase_activity
 from tillbook.plans.loads import load_layout
 from tillbook.plans.roster import prepare_roster
 from tillbook.sources.scans import read_csv
-from tillbook.sources.sinks import shared_folder, write_csv, write_report
+from tillbook.sources.sinks import (
+    read_version,
+    shared_folder,
+    write_csv,
+    write_report,
+    write_version,
+)
 from tillbook.streaming.loads import (
     appended_rows,
     current_rows,
@@ -95,6 +101,25 @@ def merge_sync_query(spark, sf_dir):
     return merge_sync(cleaned(spark, sf_dir, "roster_target"), source, "terminal_id")
 
 
+@register(
+    "merge_by_version",
+    with_inputs(
+        "roster_target registered",
+        MERGE_CTES + "SELECT * FROM (" + MERGED + ") WHERE terminal_id IN (SELECT terminal_id FROM source)",
+    ),
+)
+def merge_by_version(spark, sf_dir):
+    """First load replaces, the second syncs with what the first one wrote."""
+    root = shared_folder(spark, "versions")
+    loads = (
+        cleaned(spark, sf_dir, "roster_target"),
+        prepare_roster(load(spark, sf_dir, "registered")),
+    )
+    for number, source in enumerate(loads, start=1):
+        write_version(merge_sync(read_version(spark, root), source, "terminal_id"), root, f"{number:04d}")
+    return read_version(spark, root)
+
+
 # Incremental loads
 
 

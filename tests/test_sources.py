@@ -198,6 +198,27 @@ def test_csv_keeps_values(frame, spark, tmp_path, rows):
     assert rows(scans.read_csv(spark, path, schema=schema)) == rows(expected)
 
 
+def test_nothing_to_write_leaves_the_target(frame, spark, tmp_path):
+    path = str(tmp_path / "t")
+    full, empty = frame([(1,)], "a INT"), frame([], "a INT")
+    assert sinks.write_report(full, path, mode="overwrite", unless_empty=full)
+    assert not sinks.write_report(empty, path, mode="overwrite", unless_empty=empty)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_versions(frame, spark, tmp_path, rows):
+    root = str(tmp_path / "v")
+    assert sinks.read_version(spark, root) is None
+    for version, n in (("2025-06-09", 1), ("2025-06-16", 2)):
+        sinks.write_version(frame([(n,)], "a INT"), root, version)
+        assert rows(sinks.read_version(spark, root)) == [(n,)]
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.write_version(frame([(3,)], "a INT"), root, "2025-06-16")
+    wider = frame([(4, "new")], "a INT, note STRING")
+    sinks.write_version(wider, root, "2025-06-23 b")
+    assert rows(sinks.read_version(spark, root)) == [(4, "new")]
+
+
 def test_writing_an_empty_report(frame, spark, tmp_path):
     path = str(tmp_path / "e")
     sinks.write_report(frame([], "a INT"), path)

@@ -10,7 +10,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,15 +25,22 @@ def write_report(
     mode: str = "append",
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
+    unless_empty: DataFrame | None = None,
     **options: str,
-) -> None:
+) -> bool:
     """Append to or replace a target, given as a path, a catalog table or sink options.
 
     ``mode="overwrite"`` replaces everything; ``mode="overwrite_partitions"`` replaces
     only the partitions present in ``df``, so a rerun of a period is idempotent.
     ``rebalance`` costs a shuffle of the output; it pays when many tasks hold rows of many
     partition values, as in a backfill.
+
+    ``unless_empty`` names the input without which there is nothing to write: when it has no
+    row the target is left as it is and the result is False.  Give a scan rather than the
+    report itself, so that the check reads one row instead of computing the report.
     """
+    if unless_empty is not None and unless_empty.isEmpty():
+        return False
     if mode == "overwrite_partitions":
         if not partition_by:
             raise ValueError("overwrite_partitions needs partition_by")
@@ -47,6 +56,7 @@ def write_report(
         writer.save(path)
     else:
         writer.save()
+    return True
 
 
 def _adaptive(spark: SparkSession) -> bool:
@@ -54,6 +64,28 @@ def _adaptive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
 
 
+def write_version(df: DataFrame, root: str, version: str) -> None:
+    """Write a table as a new version next to the ones before it.
+
+    A merge reads the current version, so its result must not replace those files.  Versions
+    sort as text (dates, padded run numbers); an existing one is never touched.
+    """
+    df.write.mode("errorifexists").parquet(f"{root}/version={version}")
+
+
+def read_version(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest version of a table, or None before its first one."""
+    try:
+        versions = spark.read.parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    # File names alone tell the versions; only the newest is opened, with its own schema.
+    names = {file.rsplit("/version=", 1)[1].split("/")[0] for file in versions.inputFiles()}
+    return spark.read.parquet(f"{root}/version={unquote(max(names))}")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header in every part file; outer spaces of values are kept.
 
