@@ -309,6 +309,27 @@ def report_purchase_increment(spark, sf_dir):
     return plans.purchase_increment(load(spark, sf_dir, "journal"), loaded, LOADED_FIELDS)
 
 
+@register(
+    "report_purchase_load",
+    with_inputs(
+        "journal journal_target",
+        LOADED_SQL.replace(
+            "customdata FROM",
+            "customdata, concat('purchases_', strftime(date_trunc('quarter', transactionTime), '%y_%m')) "
+            "AS target FROM",
+        )
+        + """ WHERE transactionType = 'Purchase'
+              AND _id > (SELECT max(_id) FROM journal_target WHERE event_type = 'purchase')""",
+    ),
+)
+def report_purchase_load(spark, sf_dir):
+    """The increment appended to the tables of its quarters, then read back."""
+    path = shared_folder(spark, "purchases")
+    new = plans.routed(report_purchase_increment(spark, sf_dir))
+    write_report(new, path, partition_by=["target"])
+    return spark.read.parquet(path)
+
+
 @register(
     "report_vas_increment",
     with_inputs(

@@ -4,6 +4,8 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillbook.functions import money, periods, terminals, text
@@ -219,3 +221,45 @@ def test_ordinal_suffix(apply):
     assert apply(periods.ordinal_suffix, days, "INT") == [
         "ST", "ND", "RD", "TH", "TH", "TH", "TH", "TH", "TH", "ST", "ND", "RD", "TH", "ST",
     ]
+
+
+# Properties: the same rules written out in Python
+
+ID_TEXT = st.text(alphabet="0123456789.E+- AB", max_size=14)
+PROPERTY = settings(
+    max_examples=5, deadline=None, database=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+
+
+def plain_clean(value, width):
+    return value.split("E")[0][:width].ljust(width, "0") if "." in value else value
+
+
+def plain_normalise(value, width=8):
+    digits = value.replace(" ", "")
+    body = digits[1:] if digits[:1] in ("+", "-") else digits
+    if body.isdigit() and -(2**63) <= int(digits) < 2**63:
+        return str(int(digits))
+    return plain_clean(value, width)
+
+
+@PROPERTY
+@given(st.lists(ID_TEXT, min_size=50, max_size=200))
+def test_id_rules_hold_for_any_text(apply, values):
+    assert apply(lambda c: terminals.clean_terminal_id(c, 9), values) == [
+        plain_clean(v, 9) for v in values
+    ]
+    assert apply(terminals.normalise_terminal_id, values) == [plain_normalise(v) for v in values]
+
+
+@PROPERTY
+@given(st.lists(st.sampled_from(["", "0", " ", "x", "00", None]), min_size=3, max_size=60))
+def test_first_non_empty_for_any_texts(frame, values):
+    rows = [(i, *values[i:i + 3]) for i in range(len(values) - 2)]
+    df = frame(rows, "i INT, a STRING, b STRING, c STRING")
+    out = df.select("i", text.first_non_empty(F.col("a"), F.col("b"), F.col("c")).alias("r"))
+    expected = [
+        next((v for v in row[1:] if v not in (None, "", "0")), row[1]) for row in rows
+    ]
+    assert [r["r"] for r in out.orderBy("i").collect()] == expected

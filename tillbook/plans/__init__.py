@@ -8,7 +8,7 @@ from .agents import (
     weekly_agent_activity,
     weekly_agent_activity_history,
 )
-from .loads import merchant_dimension, purchase_increment, service_increment
+from .loads import merchant_dimension, purchase_increment, routed, service_increment
 from .roster import prepare_roster, recent_activity, sync_roster, terminal_roster
 from .settlement import clean_settlement
 from .terminals import daily_terminal, daily_terminal_history, monthly_terminal
@@ -25,6 +25,7 @@ __all__ = [
     "prepare_roster",
     "purchase_increment",
     "recent_activity",
+    "routed",
     "service_increment",
     "sync_roster",
     "terminal_activity",

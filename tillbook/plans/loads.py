@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import minor_to_major
+from ..functions.periods import day_of, quarter_start_key
 from ..operators.dedup import dedup_if_present
 from ..operators.incremental import rows_after, rows_between
 from ..sources.columns import (
@@ -62,6 +63,11 @@ def load_layout(journal: DataFrame, fields: Sequence[str] | None) -> DataFrame:
     return strip_nul(rows.withColumn("amount", minor_to_major(F.col("amount"))))
 
 
+def routed(rows: DataFrame, ts: str = "transactiontime", prefix: str = "purchases") -> DataFrame:
+    """Rows with the quarter table they belong to, as a partition column for the sink."""
+    return rows.withColumn("target", quarter_start_key(day_of(F.col(ts)), prefix))
+
+
 def purchase_increment(
     journal: DataFrame, target: DataFrame, fields: Sequence[str] | None = PURCHASE_FIELDS
 ) -> DataFrame:
