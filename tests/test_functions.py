@@ -207,6 +207,14 @@ def test_period_is_half_open(frame):
     assert df.where(periods.single_day(date(2025, 1, 1)).contains(F.col("ts"))).count() == 2
 
 
+def test_periods_stay_pushable_on_zoned_timestamps(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1).select(F.timestamp_seconds("id").alias("ts")).write.parquet(path)
+    df = spark.read.parquet(path).where(periods.single_day(date(2025, 1, 1)).contains(F.col("ts")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+
+
 def test_trailing_days_includes_both_ends(frame):
     as_of = datetime(2025, 5, 1, 12)
     df = frame(

@@ -65,6 +65,39 @@ def test_weekly_agent_activity(frame, agents, rows):
     assert plans.weekly_agent_activity(txns, agents, date(2030, 1, 1)).isEmpty()
 
 
+def test_reports_take_text_timestamps(frame, agents, states, rows):
+    typed = frame(
+        [("w1", "t", "c", "1", datetime(2025, 6, 2, 1)), ("w2", "t", "c", "2", datetime(2025, 6, 8, 23)),
+         ("w1", "t", "c", "4", None)],
+        TXN,
+    )
+    text = frame(
+        [("w1", "t", "c", "1", "2025-06-02T01:00:00.000Z"), ("w2", "t", "c", "2", "2025-06-08T23:00:00Z"),
+         ("w1", "t", "c", "4", "junk")],
+        TXN.replace("TIMESTAMP_NTZ", "STRING"),
+    )
+    as_of = date(2025, 6, 11)
+    weekly = plans.weekly_agent_activity(typed, agents, as_of)
+    assert rows(plans.weekly_agent_activity(text, agents, as_of)) == rows(weekly)
+    monthly = plans.monthly_state(typed, agents, states, date(2025, 7, 1))
+    assert rows(plans.monthly_state(text, agents, states, date(2025, 7, 1))) == rows(monthly)
+
+
+def test_activity_takes_text_timestamps(frame, rows):
+    journal = frame(
+        [("2.0351234E7", "Purchase", "2025-01-02T03:04:05Z", "2025-01-02T03:04:06Z"),
+         ("2.0351234E7", "Purchase", "bad", None)],
+        "terminalId STRING, transactionType STRING, transactionTime STRING, updatedAt STRING",
+    )
+    devices = frame([], "trm_termid STRING, trm_serialno STRING")
+    banks = frame([("2.035", "B1")], "bank_code STRING, bank STRING")
+    seen = datetime(2025, 1, 2, 3, 4, 5)
+    out = plans.terminal_activity(journal, devices, banks)
+    assert rows(out) == [("2.0351234", seen, seen.replace(second=6), None, "B1")]
+    recent = plans.recent_activity(journal, datetime(2025, 2, 1))
+    assert rows(recent) == [("2.035123", seen.replace(second=6))]
+
+
 def test_monthly_state_equals_joining_every_transaction(frame, agents, states, rows):
     txns = frame(
         [

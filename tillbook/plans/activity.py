@@ -9,6 +9,7 @@ from ..functions.periods import quarter_span_key
 from ..functions.terminals import ACTIVITY_WIDTH, clean_terminal_id
 from ..operators.lookup import add_bank, add_device
 from ..operators.rollups import last_activity
+from ..sources.columns import typed_times
 
 PURCHASE = "Purchase"
 
@@ -27,7 +28,8 @@ DEVICE_COLUMNS = {
 
 def purchase_activity(journal: DataFrame, width: int = ACTIVITY_WIDTH) -> DataFrame:
     """Purchases with cleaned id, transaction time and update time."""
-    return journal.where(F.col("transactionType") == PURCHASE).select(
+    typed = typed_times(journal, "transactionTime", "updatedAt")
+    return typed.where(F.col("transactionType") == PURCHASE).select(
         clean_terminal_id(F.col("terminalId").cast("string"), width).alias("terminal_id"),
         F.col("transactionTime").alias("transaction_time"),
         F.col("updatedAt").alias("updated_at"),

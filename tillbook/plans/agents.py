@@ -12,6 +12,7 @@ from ..functions.periods import Period, day_of, previous_month, previous_week, w
 from ..functions.text import first_non_empty
 from ..operators.lookup import Join, add_agent, add_state_by_name, lookup, prepare_agent_states
 from ..operators.rollups import daily_activity, state_rollup, wallet_totals
+from ..sources.columns import typed_times
 
 ACTIVITY_COLUMNS = (
     "wallet", "updated_at", "category", "terminal", "bvn", "phone_number", "address",
@@ -19,11 +20,14 @@ ACTIVITY_COLUMNS = (
 )
 
 
+def parsed(txns: DataFrame) -> DataFrame:
+    """Service transactions with typed time and amount."""
+    return typed_times(txns, "updated_at").withColumn("amount", parse_amount(F.col("amount")))
+
+
 def in_period(txns: DataFrame, period: Period) -> DataFrame:
-    """Transactions of a period with their amount parsed."""
-    return txns.where(period.contains(F.col("updated_at"))).withColumn(
-        "amount", parse_amount(F.col("amount"))
-    )
+    """Parsed transactions of a period."""
+    return parsed(txns).where(period.contains(F.col("updated_at")))
 
 
 def fill_agent_columns(
@@ -60,9 +64,8 @@ def weekly_agent_activity_history(
     txns: DataFrame, agents: DataFrame, join: Join = lookup
 ) -> DataFrame:
     """Every week's report in one pass: a day decides its week, so grouping is the same."""
-    parsed = txns.withColumn("amount", parse_amount(F.col("amount")))
     sunday = F.date_add(week_of(F.col("day")), 6)
-    return _identified(daily_activity(parsed), agents, join).select(
+    return _identified(daily_activity(parsed(txns)), agents, join).select(
         *ACTIVITY_COLUMNS, sunday.cast("string").alias("report_date")
     )
 
@@ -99,13 +102,8 @@ def monthly_state_history(
     txns: DataFrame, agents: DataFrame, states: DataFrame
 ) -> DataFrame:
     """Every month's state rollup in one pass."""
-    parsed = txns.withColumns(
-        {
-            "amount": parse_amount(F.col("amount")),
-            "month_end": F.last_day(day_of(F.col("updated_at"))),
-        }
-    )
-    rolled = rollup_states(wallet_totals(parsed, "month_end"), agents, states, "month_end")
+    by_month = parsed(txns).withColumn("month_end", F.last_day(day_of(F.col("updated_at"))))
+    rolled = rollup_states(wallet_totals(by_month, "month_end"), agents, states, "month_end")
     return rolled.withColumn("report_date", F.col("month_end").cast("string")).drop("month_end")
 
 

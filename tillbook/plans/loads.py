@@ -18,6 +18,7 @@ from ..sources.columns import (
     drop_columns,
     lower_columns,
     strip_nul,
+    typed_times,
 )
 
 PURCHASE = "Purchase"
@@ -84,8 +85,8 @@ def service_increment(
 ) -> DataFrame:
     """Service rows from the last loaded time up to ``as_of`` that are not loaded yet."""
     new = rows_between(
-        journal.where(F.col("transactionType") == SERVICE),
-        target,
+        typed_times(journal, "transactionTime").where(F.col("transactionType") == SERVICE),
+        typed_times(target, "transactiontime"),
         ts="transactionTime",
         target_ts="transactiontime",
         key="_id",

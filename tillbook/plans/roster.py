@@ -13,6 +13,7 @@ from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id, normalise_te
 from ..operators.dedup import dedup, latest_per_key
 from ..operators.lookup import add_last_activity, flag_membership
 from ..operators.merge import merge_sync
+from ..sources.columns import typed_times
 
 KEY = "terminal_id"
 
@@ -42,6 +43,7 @@ def recent_activity(
     if quarter_column:
         quarters = quarters_between(as_of - timedelta(days=days), as_of)
         journal = journal.where(F.col(quarter_column).isin(*quarters))
+    journal = typed_times(journal, "transactionTime", "updatedAt")
     recent = journal.where(trailing_days(F.col("transactionTime"), as_of, days)).select(
         normalise_terminal_id(F.col("terminalId"), width).alias(KEY),
         F.col("updatedAt").alias("last_transaction_time"),

@@ -82,6 +82,16 @@ def declared_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
+def typed_times(df: DataFrame, *names: str) -> DataFrame:
+    """Text timestamps as timestamps, malformed ones as null; typed columns stay as they are.
+
+    Document stores are read with an all-text schema.  ``2025-01-02T03:04:05.678Z`` keeps its
+    wall clock.
+    """
+    text = [n for n in names if isinstance(df.schema[n].dataType, StringType)]
+    return df.withColumns({n: F.col(n).try_cast("timestamp_ntz") for n in text}) if text else df
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
