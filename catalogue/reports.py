@@ -126,10 +126,11 @@ terminals AS (
 """
 
 
-def daily_sql(where: str, keys: str = "") -> str:
+def daily_sql(where: str, key: str = "", of: str = "") -> str:
+    keys = f", {key}" if key else ""
     return with_inputs(
         "pos_txn registered roster_target bank_code state_region",
-        summary_sql("pos_txn", sql.clean("terminal_id"), "0.0013", 4, where, keys)
+        summary_sql("pos_txn", sql.clean("terminal_id"), "0.0013", 4, where, key, of)
         + TERMINAL_SQL
         + f"""
 SELECT y.terminal_id AS terminal_id, volume, value, msc, merchant_id, merchant, date{keys},
@@ -152,7 +153,7 @@ def report_daily_terminal(spark, sf_dir):
     return plans.daily_terminal(*daily_inputs(spark, sf_dir), as_of=DAILY_AS_OF, lag=3)
 
 
-@register("report_daily_terminal_all", daily_sql("true", ", day"))
+@register("report_daily_terminal_all", daily_sql("true", "day", "CAST(date AS DATE)"))
 def report_daily_terminal_all(spark, sf_dir):
     return plans.daily_terminal_history(*daily_inputs(spark, sf_dir))
 
@@ -176,6 +177,25 @@ def report_monthly_terminal(spark, sf_dir):
     )
 
 
+@register(
+    "report_monthly_terminal_all",
+    with_inputs(
+        "terminal_v1 bank_code",
+        summary_sql(
+            "terminal_v1", sql.rounded("terminal_id"), "0.00125", 6,
+            key="month", of="CAST(date_trunc('month', date) AS DATE)",
+        )
+        + """SELECT month, terminal_id, volume, value AS amount, msc, merchant_id,
+                    merchant AS merchant_name, date, b.bank AS bank
+             FROM summary LEFT JOIN bank_code b ON substr(terminal_id, 1, 5) = b.bank_code""",
+    ),
+)
+def report_monthly_terminal_all(spark, sf_dir):
+    return plans.monthly_terminal_history(
+        load(spark, sf_dir, "terminal_v1"), load(spark, sf_dir, "bank_code")
+    )
+
+
 # Roster
 
 

@@ -49,11 +49,15 @@ def agg_daily_activity(spark, sf_dir):
     return daily_activity(parsed_service(spark, sf_dir))
 
 
-def summary_sql(source: str, tid: str, rate: str, scale: int, where: str = "true", keys: str = "") -> str:
-    """Row-wise restatement of the terminal summary; ``keys`` starts with a comma."""
+def summary_sql(
+    source: str, tid: str, rate: str, scale: int, where: str = "true", key: str = "", of: str = ""
+) -> str:
+    """Row-wise restatement of the terminal summary, with a further key ``key`` made ``of`` the row."""
+    keys = f", {key}" if key else ""
+    made = f", {of} AS {key}" if key else ""
     return f"""
 WITH src AS (
-  SELECT {tid} AS terminal_id{keys and keys.replace(", ", ", CAST(date AS DATE) AS ")}, amount,
+  SELECT {tid} AS terminal_id{made}, amount,
          amount * CAST({rate} AS DECIMAL(10,{scale})) AS fee, merchant_id, merchant, date
   FROM {source} WHERE {where}),
 ranked AS (

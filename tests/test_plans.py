@@ -188,6 +188,9 @@ def test_monthly_terminal(frame, daily, rows):
     assert rows(out) == [
         ("2.03512", 2, D("100.01"), D("0.12501250"), "m1", "S", datetime(2025, 1, 1), "B1"),
     ]
+    history = plans.monthly_terminal_history(txns, daily["banks"])
+    assert rows(history.where("month = '2025-01-01'").drop("month")) == rows(out)
+    assert history.count() == 2
 
 
 def test_terminal_roster_and_sync(frame, rows):

@@ -11,17 +11,25 @@ from .agents import (
 from .loads import merchant_dimension, purchase_increment, routed, service_increment
 from .roster import prepare_roster, recent_activity, sync_roster, terminal_roster
 from .settlement import clean_settlement
-from .terminals import daily_terminal, daily_terminal_history, monthly_terminal
+from .terminals import (
+    current_terminals,
+    daily_terminal,
+    daily_terminal_history,
+    monthly_terminal,
+    monthly_terminal_history,
+)
 
 __all__ = [
     "agent_snapshot",
     "clean_settlement",
+    "current_terminals",
     "daily_terminal",
     "daily_terminal_history",
     "merchant_dimension",
     "monthly_state",
     "monthly_state_history",
     "monthly_terminal",
+    "monthly_terminal_history",
     "prepare_roster",
     "purchase_increment",
     "recent_activity",

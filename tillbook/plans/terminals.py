@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import DAILY_RATE_SCALE, MONTHLY_RATE_SCALE, to_amount
-from ..functions.periods import day_of, lagged_day, month_of
+from ..functions.periods import day_of, lagged_day, month_of, month_start
 from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id, round_terminal_id
 from ..operators.lookup import add_bank, add_region, lookup, override_when
 from ..operators.merge import merge_upsert
@@ -107,16 +107,28 @@ def daily_terminal_history(
     return summarise_daily(by_day, roster, terminals, banks, states, "day")
 
 
-def monthly_terminal(txns: DataFrame, banks: DataFrame, as_of: date) -> DataFrame:
-    """Summary of the month of ``as_of``, ids rounded to five places."""
-    month = txns.where(month_of(as_of).contains(F.col("date"))).withColumns(
+def summarise_monthly(txns: DataFrame, banks: DataFrame, *extra_keys: str) -> DataFrame:
+    """Terminal summary with bank, ids rounded to five places."""
+    rounded = txns.withColumns(
         {
             "terminal_id": round_terminal_id(F.col("terminal_id")),
             "amount": to_amount(F.col("amount")),
         }
     )
-    summary = terminal_summary(month, rate_scale=MONTHLY_RATE_SCALE)
+    summary = terminal_summary(rounded, *extra_keys, rate_scale=MONTHLY_RATE_SCALE)
     renamed = summary.withColumnsRenamed({"value": "amount", "merchant": "merchant_name"})
     return add_bank(renamed, banks, dotted=5, plain=5).select(
-        "terminal_id", "volume", "amount", "msc", "merchant_id", "merchant_name", "date", "bank"
+        *extra_keys,
+        "terminal_id", "volume", "amount", "msc", "merchant_id", "merchant_name", "date", "bank",
     )
+
+
+def monthly_terminal(txns: DataFrame, banks: DataFrame, as_of: date) -> DataFrame:
+    """Summary of the month of ``as_of``."""
+    return summarise_monthly(txns.where(month_of(as_of).contains(F.col("date"))), banks)
+
+
+def monthly_terminal_history(txns: DataFrame, banks: DataFrame) -> DataFrame:
+    """Every month's summary in one pass."""
+    by_month = txns.withColumn("month", month_start(F.col("date")))
+    return summarise_monthly(by_month, banks, "month")
