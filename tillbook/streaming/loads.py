@@ -110,5 +110,9 @@ def appended_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest row per key of an update stream's target."""
+    """Newest row per key of an update stream's target.
+
+    The target grows by the changed keys of every batch; write this frame as a version of a
+    table of its own now and then, and start the stream on a fresh target.
+    """
     return dedup(spark.read.parquet(path), keys, [BATCH], keep="last").drop(BATCH)
