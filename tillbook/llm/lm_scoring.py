@@ -35,7 +35,7 @@ class Model:
     """Parameters of the fit; the defaults are those of the registered query."""
 
     #: UTF-8 bytes of text in a block: bounds a task's memory and the n-grams sent per token.
-    block_bytes: int = 16 << 20
+    block_bytes: int = 6 << 20
     #: Tokens of the corpus per range of hashes.
     range_tokens: int = 1 << 21
     deleted: int = 10
