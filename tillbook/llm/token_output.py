@@ -2,10 +2,12 @@
 
 Segment layout, little-endian: magic ``PFR1``; u32 number of ids, of documents and of blocks;
 u32 byte offset of every block, counted from the first; u32 length of every document; blocks.
-A block holds up to 128 ids: u32 minimum, u8 bit width, u8 number of exceptions; the ids less
-the minimum, their low ``width`` bits packed; the exceptions' positions (u8 each), then their
-high parts (u32 each).  The width is chosen so that nine in ten ids of a block fit, or less
-where that is smaller.
+A block holds 128 ids, the last one filled up with its own last id: u32 minimum, u8 bit width,
+u8 number of exceptions; the ids less the minimum, their low ``width`` bits packed; the
+exceptions' positions, u8 each; their high parts, u16 each up to ids of 16 bits over the
+minimum, else u32 each, as a top bit in the width says.  The width is that of one of a few
+percentiles of the block, rounded up so that a few ids fill whole bytes, the one that makes the
+block smallest.
 
 Segments are rows of a Parquet table, so that Spark's committer decides which attempt of a task
 counts and any store Spark writes to will do.
@@ -13,173 +15,308 @@ counts and any store Spark writes to will do.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.sinks import shared_folder
-from .common import with_running
 
 MAGIC = b"PFR1"
 BLOCK = 128
-#: Share of a block's ids that its width must hold.
-PERCENTILE = 0.9
+#: How many of a block's ids a candidate width holds: 90, 95, 98 and 100 percent.
+HELD = np.array([116, 122, 126, 128])
 #: Ids of a segment, roughly; a longer document has a segment of its own.
 SEGMENT = 1 << 20
 END_ID = 2
-#: Pieces of text whose ids a worker remembers.
-CACHE = 1 << 18
+#: Pieces of text whose ids a worker remembers, and the longest of them.
+CACHE, LONGEST = 1 << 18, 64
+WIDE = 0x80
+_HEAD = np.dtype([("low", "<u4"), ("width", "u1"), ("over", "u1")])
 
 
 def encode_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     """One segment from the ids of its documents, end to end, and their lengths."""
-    blocks = [_encode_block(ids[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
-    sizes = np.fromiter(map(len, blocks), np.uint32, len(blocks))
+    n_blocks = -(-len(ids) // BLOCK)
+    filled = np.concatenate([ids, np.repeat(ids[-1:], n_blocks * BLOCK - len(ids))])
+    table = filled.astype(np.uint32).reshape(n_blocks, BLOCK)
+    low = table.min(axis=1) if n_blocks else np.empty(0, np.uint32)
+    rest = table - low[:, None]
+    width, wide = _widths(rest)
+    exact = rest >> width[:, None].astype(np.uint32)
+    exact[width == 32] = 0
+    row, place = np.nonzero(exact)
+    over = np.bincount(row, minlength=n_blocks)
+    head = np.empty(n_blocks, _HEAD)
+    head["low"], head["width"], head["over"] = low, width | np.where(wide, WIDE, 0), over
+    heads, step = head.tobytes(), _HEAD.itemsize
+    places, parts = place.astype(np.uint8).tobytes(), exact[row, place]
+    small, large = parts.astype("<u2").tobytes(), parts.astype("<u4").tobytes()
+    packed = _packed(rest, width)
+    blocks = []
+    past = np.cumsum(over)
+    for k, (bits, stop, n, big) in enumerate(zip(packed, past.tolist(), over.tolist(), wide.tolist())):
+        first = stop - n
+        high = large[4 * first : 4 * stop] if big else small[2 * first : 2 * stop]
+        blocks.append(heads[k * step : k * step + step] + bits + places[first:stop] + high)
+    sizes = np.fromiter(map(len, blocks), np.uint32, n_blocks)
     offsets = np.cumsum(sizes, dtype=np.uint32) - sizes
-    head = MAGIC + struct.pack("<III", len(ids), len(lengths), len(blocks))
-    return b"".join(
-        [head, offsets.astype("<u4").tobytes(), np.asarray(lengths).astype("<u4").tobytes(), *blocks]
-    )
-
-
-def _encode_block(ids: np.ndarray) -> bytes:
-    low = ids.min()
-    rest = (ids - low).astype(np.uint32)
-    ordered = np.sort(rest)
-    width = int(ordered[-(-int(len(rest) * PERCENTILE * 100) // 100) - 1 if len(rest) > 1 else 0]).bit_length()
-    over = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-    bits = (rest[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
     return b"".join(
         [
-            struct.pack("<IBB", int(low), width, len(over)),
-            np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes(),
-            over.astype(np.uint8).tobytes(),
-            (rest[over] >> np.uint32(width)).astype("<u4").tobytes() if len(over) else b"",
+            MAGIC + struct.pack("<III", len(ids), len(lengths), n_blocks),
+            offsets.astype("<u4").tobytes(),
+            np.asarray(lengths).astype("<u4").tobytes(),
+            *blocks,
         ]
     )
 
 
+def _widths(rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cheapest candidate width of each block, and whether its exceptions are u32."""
+    if not len(rest):
+        return np.empty(0, np.uint8), np.empty(0, bool)
+    held = np.partition(rest, HELD - 1, axis=1)[:, HELD - 1]
+    exact = np.ceil(np.log2(held.astype(np.float64) + 1)).astype(np.int64)
+    # Widths at which four ids, above 16 bits two, fill whole bytes of a 64-bit number.
+    widths = np.where(exact <= 16, exact + exact % 2, -(-exact // 4) * 4)
+    wide = widths[:, -1] > 16
+    cost = BLOCK * widths + (BLOCK - HELD) * np.where(wide, 40, 24)[:, None]
+    best = widths[np.arange(len(rest)), cost.argmin(axis=1)]
+    return best.astype(np.uint8), wide
+
+
+def _packed(rest: np.ndarray, width: np.ndarray) -> list[bytes]:
+    out: list[bytes] = [b""] * len(rest)
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        if not w:
+            continue
+        lanes = _lanes(w)
+        mask = np.uint64((1 << int(w)) - 1)
+        values = (rest[rows].astype(np.uint64) & mask).reshape(len(rows), -1, lanes)
+        joined = values[:, :, 0].copy()
+        for lane in range(1, lanes):
+            joined |= values[:, :, lane] << np.uint64(lane * w)
+        raw = joined.view(np.uint8).reshape(*joined.shape, 8)[:, :, : lanes * w // 8]
+        raw = np.ascontiguousarray(raw).reshape(len(rows), -1)
+        size = raw.shape[1]
+        data = raw.tobytes()
+        for i, row in enumerate(rows.tolist()):
+            out[row] = data[i * size : (i + 1) * size]
+    return out
+
+
+def _lanes(width: int) -> int:
+    return 4 if width <= 16 else 2
+
+
 class Segment:
     """A reader of one segment; any run of ids is reached through the block starts."""
 
     def __init__(self, data: bytes) -> None:
         if data[:4] != MAGIC:
             raise ValueError("not a token segment")
-        self.data = data
+        self.data = np.frombuffer(data, np.uint8)
         self.n_ids, n_docs, n_blocks = struct.unpack_from("<III", data, 4)
-        self.offsets = np.frombuffer(data, "<u4", n_blocks, 16)
         self.lengths = np.frombuffer(data, "<u4", n_docs, 16 + 4 * n_blocks).astype(np.int64)
-        self.base = 16 + 4 * (n_blocks + n_docs)
-
-    def block(self, k: int) -> np.ndarray:
-        n = min(BLOCK, self.n_ids - k * BLOCK)
-        at = self.base + int(self.offsets[k])
-        low, width, over = struct.unpack_from("<IBB", self.data, at)
-        size = -(-n * width // 8)
-        raw = np.frombuffer(self.data, np.uint8, size, at + 6)
-        bits = np.unpackbits(raw, count=n * width, bitorder="little").reshape(n, width)
-        # Eight bits at a time become a byte, four bytes a number.
-        bytes_ = np.zeros((n, 4), np.uint8)
-        packed = np.packbits(bits, axis=1, bitorder="little")
-        bytes_[:, : packed.shape[1]] = packed
-        ids = bytes_.view("<u4").ravel().copy()
-        if over:
-            places = np.frombuffer(self.data, np.uint8, over, at + 6 + size)
-            high = np.frombuffer(self.data, "<u4", over, at + 6 + size + over)
-            ids[places] |= high << np.uint32(width)
-        return ids + np.uint32(low)
+        base = 16 + 4 * (n_blocks + n_docs)
+        self.offsets = np.frombuffer(data, "<u4", n_blocks, 16).astype(np.int64) + base
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         if stop <= start:
             return np.empty(0, np.uint32)
-        first, last = start // BLOCK, (stop - 1) // BLOCK
-        run = np.concatenate([self.block(k) for k in range(first, last + 1)])
+        first = start // BLOCK
+        run = self._blocks(np.arange(first, (stop - 1) // BLOCK + 1)).ravel()
         return run[start - first * BLOCK : stop - first * BLOCK]
 
+    def _blocks(self, which: np.ndarray) -> np.ndarray:
+        at = self.offsets[which]
+        head = self.data[at[:, None] + np.arange(_HEAD.itemsize)].copy().view(_HEAD).ravel()
+        width = (head["width"] & ~np.uint8(WIDE)).astype(np.int64)
+        wide = head["width"] >= WIDE
+        out = np.zeros((len(which), BLOCK), np.uint32)
+        for w in np.unique(width):
+            rows = np.flatnonzero(width == w)
+            if w:
+                size = BLOCK * w // 8
+                raw = self.data[at[rows][:, None] + (_HEAD.itemsize + np.arange(size))]
+                lanes = _lanes(w)
+                filled = np.zeros((len(rows) * BLOCK // lanes, 8), np.uint8)
+                filled[:, : lanes * w // 8] = raw.reshape(len(filled), -1)
+                joined = filled.view("<u8").ravel()
+                mask = np.uint64((1 << int(w)) - 1)
+                for lane in range(lanes):
+                    values = (joined >> np.uint64(lane * w)) & mask
+                    out[rows, lane::lanes] = values.reshape(len(rows), -1)
+        over = head["over"].astype(np.int64)
+        places = at + _HEAD.itemsize + BLOCK * width // 8
+        for big, size in ((False, 2), (True, 4)):
+            rows = np.flatnonzero((over > 0) & (wide == big))
+            if len(rows):
+                n = over[rows]
+                each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                row = np.repeat(rows, n)
+                column = self.data[places[row] + each]
+                parts = (places[row] + over[row] + size * each)[:, None] + np.arange(size)
+                high = self.data[parts].copy().view(f"<u{size}").ravel().astype(np.uint32)
+                out[row, column] |= high << width[row].astype(np.uint32)
+        return out + head["low"][:, None]
+
     def documents(self) -> Iterator[np.ndarray]:
-        """The ids of each document, decoding a bounded run of blocks at a time."""
-        at = 0
-        for length in self.lengths:
-            yield self.ids(at, at + int(length))
-            at += int(length)
+        """The ids of each document, decoding about ``SEGMENT`` ids at a time."""
+        ends = np.cumsum(self.lengths)
+        first = at = 0
+        while first < len(ends):
+            last = max(first + 1, int(np.searchsorted(ends, at + SEGMENT, "right")))
+            run = self.ids(at, int(ends[last - 1]))
+            yield from np.split(run, ends[first : last - 1] - at)
+            first, at = last, int(ends[last - 1])
 
 
 class Encoder:
-    """Text to ids, a piece at a time.
+    """Text to ids, a piece at a time, remembering the ids of pieces seen.
 
-    The tokenizer never joins what lies either side of a single space between two other
-    characters, so pieces cut there are encoded alone, and known ones not again.  That bounds
-    the memory of very long texts as well.
+    The byte-level tokenizer never joins what lies either side of a single space between two
+    other characters, so texts are cut there and a cut piece takes the space before it.  Its
+    pre-tokenizer cuts plain words, with punctuation after them, in a known way: these go
+    straight to the tokenizer's BPE model.  All other pieces are encoded in full, many at a
+    time, held apart by the end-of-text token.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer.from_file(path)
         # The strings of special tokens are ordinary text in a document.
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
+        self.plain.encode_special_tokens = True
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.between_id, self.between = next((i, t.content) for i, t in special.items() if t.special)
+        self.specials = [t.content for t in special.values()]
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+        self.short: dict[str, bytes] = {}
+
+    def __call__(self, text: str | None) -> bytes:
+        """The ids as u32 bytes."""
         if not text:
-            return np.empty(0, np.uint32)
-        pieces = pieces_of(text)
+            return b""
+        if any(s in text for s in self.specials):
+            return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.known) > CACHE:
+            self.known.clear()
+        ids = self._cut(text.split(" "))
+        return self._cut(_CUT.split(text)) if ids is None else ids
+
+    def _cut(self, pieces: list[str]) -> bytes | None:
+        """Ids of pieces cut at spaces; None if one of the spaces is not between two others."""
         known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for piece, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                known[piece] = found.ids
-        ids: list[int] = []
-        for piece in pieces:
-            ids += known[piece]
-        return np.array(ids, np.uint32)
+        first = pieces[0]
+        if len(pieces) > 1 and (not first or first[-1].isspace()):
+            return None
+        found = list(map(known.get, pieces))
+        found[0] = b""
+        hard: list[int] = []
+        words, tokenize, short = _WORDS.fullmatch, self.model.tokenize, self.short
+        last = len(pieces) - 1
+        for i in [i for i, f in enumerate(found) if f is None]:
+            piece = pieces[i]
+            match = words(piece)
+            if match:
+                word, marks, below, more = match.groups()
+                ids = known.get(word) if marks or below else None
+                if ids is None:
+                    level = word if word.isascii() else word.translate(_BYTE_LEVEL)
+                    ids = array("I", [t.id for t in tokenize("\u0120" + level)]).tobytes()
+                    if len(word) <= LONGEST:
+                        known[word] = ids
+                if marks:
+                    ids += short.get(marks) or self._remembered(marks)
+                if below:
+                    ids += self._remembered("\n") + self._bpe(below)
+                    if more:
+                        ids += self._remembered(more)
+                elif marks and len(piece) <= LONGEST:
+                    known[piece] = ids
+                found[i] = ids
+            elif not piece or piece[0].isspace() or i < last and piece[-1].isspace():
+                return None
+            else:
+                hard.append(i)
+        rest = list(dict.fromkeys(pieces[i] for i in hard))
+        encoded = self._encoded([first, *(" " + p for p in rest)])
+        found[0] = encoded[0]
+        if rest:
+            full = dict(zip(rest, encoded[1:]))
+            for i in hard:
+                found[i] = full[pieces[i]]
+            known.update((p, f) for p, f in full.items() if len(p) <= LONGEST and not p[-1].isspace())
+        return b"".join(found)
+
+    def _bpe(self, word: str) -> bytes:
+        """Ids of a word, or of characters in byte-level form already, by the model alone."""
+        level = word if word.isascii() or word == "\u010a" else word.translate(_BYTE_LEVEL)
+        return array("I", [t.id for t in self.model.tokenize(level)]).tobytes()
+
+    def _remembered(self, marks: str) -> bytes:
+        if len(marks) > 4:
+            return self._bpe(marks)
+        if marks not in self.short:
+            self.short[marks] = self._bpe("\u010a" if marks == "\n" else marks)
+        return self.short[marks]
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        start = 0
+        while start < len(pieces):
+            stop, size = start, 0
+            while stop < len(pieces) and (size < 1 << 16 or stop == start):
+                size += len(pieces[stop])
+                stop += 1
+            joined = self.between.join(pieces[start:stop])
+            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(ids == self.between_id)
+            data, begin = ids.tobytes(), 0
+            for cut in [*cuts.tolist(), len(ids)]:
+                out.append(data[4 * begin : 4 * cut])
+                begin = cut + 1
+            start = stop
+        return out
+
+
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_MARKS = r"!-/:-@\[-`{-~"
+#: A word with punctuation after it, perhaps followed by a line end and another such word.
+_WORDS = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)(?:\n([{_LETTERS}]+)([{_MARKS}]*))?")
+#: Byte-level BPE writes bytes 0xA1 to 0xAC and 0xAE to 0xFF as themselves and the other bytes
+#: that are not printable ASCII as U+0100 on, in order.
+_OTHER = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_CHARACTER = {b: chr(256 + _OTHER.index(b)) if b in _OTHER else chr(b) for b in range(256)}
+_BYTE_LEVEL = {
+    code: "".join(_CHARACTER[b] for b in chr(code).encode()) for code in range(0xC0, 0x250)
+}
 
 
 def pieces_of(text: str) -> list[str]:
-    """Cut before every single space between two characters that are not white space."""
-    parts = text.split(" ")
-    out = [parts[0]]
-    for part in parts[1:]:
-        before = out[-1]
-        if part and before and not part[0].isspace() and not before[-1].isspace():
-            out.append(" " + part)
-        else:
-            out[-1] = before + " " + part
-    return out
+    """Cut at every single space between two characters that are not white space."""
+    return _CUT.split(text)
 
 
-def tokenized(
-    docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``(id, n_tokens, ids)``: the ids as bytes of u32, with the end id appended."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+_ENCODERS: dict[str, Encoder] = {}
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        encoder = Encoder(tokenizer)
-        for frame in frames:
-            ids = [np.append(encoder(t), np.uint32(END_ID)) for t in frame["text"]]
-            yield pd.DataFrame(
-                {
-                    "id": frame["id"],
-                    "n_tokens": [len(i) for i in ids],
-                    "ids": [i.astype("<u4").tobytes() for i in ids],
-                }
-            )
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
-        encode, f"id {id_type}, n_tokens bigint, ids binary"
-    )
+def encoder(path: str) -> Encoder:
+    """One encoder a worker process, which outlives tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def write_segments(
@@ -187,61 +324,84 @@ def write_segments(
 ) -> None:
     """Tokenize and write segments under ``path`` in ascending order of the id.
 
-    Null ids come first; rows of the same id follow their ids' bytes.  A null text is an empty
-    one: its end id alone.  Each segment row has its documents' ids and the position of its
-    first token in the whole output; an empty table gives an empty one.
+    Null ids come first; rows of the same id follow a hash of their texts, then the texts.  A
+    null text is an empty one: its end id alone.  A segment's row has the range of ids
+    (``part``) it belongs to and the position of its first token in that range, its documents'
+    ids and the bytes; an empty table gives an empty one.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    tokens = tokenized(docs, tokenizer, id_col=id_col, text_col=text_col)
-    placed = with_running(
-        tokens, [F.col("id"), F.xxhash64("ids"), F.col("ids")], "n_tokens", "rank", "start", "token-rows"
+    order = [F.asc_nulls_first(c) for c in ("id", "__hash")]
+    sorted_ = (
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        .withColumn("__hash", F.xxhash64("text"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order, "text")
+        .select("id", "text", F.spark_partition_id().alias("part"))
     )
 
     def segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        size = 0
+        encode = encoder(tokenizer)
+        end = np.array([END_ID], "<u4").tobytes()
+        ids: list[object] = []
+        data: list[bytes] = []
+        part = start = size = 0
         for frame in frames:
-            for row in frame.itertuples(index=False):
-                if held and (size >= SEGMENT or row.rank != held[-1][0] + 1):
-                    yield _segment_row(held)
-                    held, size = [], 0
-                held.append((row.rank, row.id, row.start, row.n_tokens, row.ids))
-                size += row.n_tokens
-        if held:
-            yield _segment_row(held)
-
-    placed.select("rank", "id", "start", "n_tokens", "ids").mapInPandas(
-        segments, f"first_rank bigint, start bigint, ids array<{id_type}>, body binary"
+            for id_, text, part in zip(frame["id"], frame["text"], frame["part"]):
+                if size >= SEGMENT:
+                    yield _segment_row(part, start, ids, data)
+                    ids, data, start, size = [], [], start + size, 0
+                ids.append(id_)
+                data.append(encode(text) + end)
+                size += len(data[-1]) // 4
+        if ids:
+            yield _segment_row(part, start, ids, data)
+
+    sorted_.mapInPandas(
+        segments, f"part int, start bigint, n_ids bigint, ids array<{id_type}>, body binary"
     ).write.parquet(path)
 
 
-def _segment_row(held: list[tuple]) -> pd.DataFrame:
-    ranks, ids, starts, lengths, data = zip(*held)
-    body = encode_segment(np.frombuffer(b"".join(data), "<u4"), np.array(lengths))
-    named = [None if pd.isna(i) else i for i in ids]
+def _segment_row(part: int, start: int, ids: list[object], data: list[bytes]) -> pd.DataFrame:
+    lengths = np.fromiter(map(len, data), np.int64, len(data)) // 4
+    body = encode_segment(np.frombuffer(b"".join(data), "<u4"), lengths)
     return pd.DataFrame(
-        {"first_rank": [ranks[0]], "start": [starts[0]], "ids": [named], "body": [body]}
+        {
+            "part": [part],
+            "start": [start],
+            "n_ids": [int(lengths.sum())],
+            "ids": [[None if pd.isna(i) else i for i in ids]],
+            "body": [body],
+        }
     )
 
 
 def read_segments(spark, path: str, id_type: str = "bigint", id_col: str = "doc_id") -> DataFrame:
-    """Per document from the segments: id, ``start``, ``n_tokens`` and ``ids_crc32``."""
+    """Per document from the segments: id, ``start``, ``n_tokens`` and ``ids_crc32``.
+
+    Ranges are shifted by the tokens of the ranges before them, one row per task that wrote.
+    """
+    table = spark.read.parquet(path)
+    sizes = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shift"))
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for row in frame.itertuples(index=False):
-                segment = Segment(row.body)
+            for ids, start, body in zip(frame["ids"], frame["start"], frame["body"]):
+                segment = Segment(body)
                 yield pd.DataFrame(
                     {
-                        id_col: pd.Series(list(row.ids), dtype=object),
-                        "start": row.start + np.cumsum(segment.lengths) - segment.lengths,
+                        id_col: pd.Series(list(ids), dtype=object),
+                        "start": start + np.cumsum(segment.lengths) - segment.lengths,
                         "n_tokens": segment.lengths,
                         "ids_crc32": [zlib.crc32(d.tobytes()) for d in segment.documents()],
                     }
                 )
 
-    return spark.read.parquet(path).select("start", "ids", "body").mapInPandas(
-        read, f"`{id_col}` {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint"
+    return (
+        table.join(F.broadcast(shift), "part")
+        .select("ids", (F.col("start") + F.col("shift")).alias("start"), "body")
+        .mapInPandas(read, f"`{id_col}` {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
     )
 
 
