@@ -302,12 +302,17 @@ def _article(root: Node) -> list[Node]:
 
 
 def _blocks(root: Node, wrapped: bool = True) -> list[str]:
-    """Texts of the blocks below a node, in page order, without noise and template."""
+    """Texts of the blocks below a node, in page order, without noise and template.
+
+    A block is template if all of its text nodes are; constant words inside a varying
+    paragraph are its own.
+    """
     out: list[str] = []
-    open_: list[str] = []
+    open_: list[Node] = []
 
     def flush() -> None:
-        if text := _SPACE.sub(" ", "".join(open_)).strip():
+        text = _SPACE.sub(" ", "".join(n.text for n in open_)).strip()
+        if text and not (wrapped and all(n.template or not n.text.strip() for n in open_)):
             out.append(text)
         open_.clear()
 
@@ -317,8 +322,7 @@ def _blocks(root: Node, wrapped: bool = True) -> list[str]:
         if done:
             flush()
         elif not node.tag:
-            if not (wrapped and node.template):
-                open_.append(node.text)
+            open_.append(node)
         elif node.noise and wrapped:
             if node.tag not in _INLINE:
                 flush()
