@@ -26,6 +26,10 @@ class Period:
         """Last day of the period as ``yyyy-MM-dd``."""
         return (self.end - timedelta(days=1)).strftime("%Y-%m-%d")
 
+    def months(self, prefix: str = "daily_transactions") -> list[str]:
+        """Keys of the months the period touches."""
+        return months_between(self.start, self.end - timedelta(microseconds=1), prefix)
+
     def contains(self, ts: Column) -> Column:
         return (ts >= timestamp(self.start)) & (ts < timestamp(self.end))
 
@@ -85,6 +89,12 @@ def quarters_between(start: date, end: date, prefix: str = "journals") -> list[s
     return names
 
 
+def months_between(start: date, end: date, prefix: str = "daily_transactions") -> list[str]:
+    """Month keys overlapping ``[start, end]``, as ``month_key`` writes them."""
+    first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
+    return [f"{prefix}_{m // 12}_{m % 12 + 1:02d}" for m in range(first, last + 1)]
+
+
 def _two_digits(number: Column) -> Column:
     return F.lpad(number.cast("string"), 2, "0")
 

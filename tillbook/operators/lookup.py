@@ -68,11 +68,14 @@ def duplicate_guard(df: DataFrame, key: str, like: DataFrame) -> DataFrame:
 
 
 def heavy_keys(df: DataFrame, key: Column, share: float = 0.01) -> DataFrame:
-    """Keys that hold at least ``share`` of the rows: at most ``1/share`` of them."""
+    """Keys that hold at least ``share`` of the rows: at most ``1/share`` of them.
+
+    One pass over the key column; the total is the sum of the counts.
+    """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
     counts = df.groupBy(key.alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1)))
+    total = counts.agg(F.sum("__n"))
     return counts.where(
         F.col("__hot").isNotNull() & (F.col("__n") >= F.lit(share) * total.scalar())
     ).select("__hot")
@@ -88,27 +91,45 @@ def salted_lookup(
     share: float = 0.01,
     salts: int = 64,
     hot: DataFrame | None = None,
+    row_id: Column | None = None,
 ) -> DataFrame:
     """``lookup`` that spreads each hot key, and null keys, over ``salts`` partitions.
 
-    Only hot dimension rows are copied.  The salt is a hash of the row, not random, so a
-    recomputed task sends its rows where the lost one did.  Finding the hot keys is an extra
-    pass over the key column of the facts; for several lookups in a row on the same key,
-    find them once with ``heavy_keys`` on the first facts and pass them as ``hot``.
+    Only hot dimension rows are copied.  The salt is a hash, not random, so a recomputed task
+    sends its rows where the lost one did.  ``row_id`` tells rows apart and is hashed for it.
+    Without one, equal rows are counted first, which costs a shuffle of the facts but combines
+    inside each task; the counts are spread over the salts, joined and written out again, so
+    that a key held by equal rows is split as well.  For several lookups in a row on the same
+    key, find the hot keys once with ``heavy_keys`` and pass them as ``hot``.
     """
     if hot is None:
-        hot = heavy_keys(facts, fact_key, share)
-    # At most 1/share rows, so this broadcast has a fixed bound.
-    hot = F.broadcast(hot)
-    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+        # At most 1/share rows, so this broadcast has a fixed bound.
+        hot = F.broadcast(heavy_keys(facts, fact_key, share))
+    columns = [F.col(_quoted(c)) for c in facts.columns]
+    if row_id is None:
+        rows = facts.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
+        first_salt = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+    else:
+        rows = facts.withColumn("__rows", F.lit(1).cast("long"))
+        first_salt = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+    spread = F.col("__hot").isNotNull() | F.col("__fact_key").isNull()
+    pieces = F.when(spread, F.least("__rows", F.lit(salts).cast("long"))).otherwise(F.lit(1))
     salted_facts = (
-        facts.withColumn("__fact_key", fact_key)
+        rows.withColumn("__fact_key", fact_key)
         .join(hot, F.col("__fact_key") == F.col("__hot"), "left")
-        .withColumn(
-            "__fact_salt",
-            F.when(F.col("__hot").isNotNull() | F.col("__fact_key").isNull(), row_salt).otherwise(0),
+        .withColumns({"__spread": spread, "__pieces": pieces})
+        .withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__pieces") - 1)))
+        .withColumns(
+            {
+                "__fact_salt": F.when(
+                    F.col("__spread"), ((first_salt + F.col("__piece")) % salts).cast("int")
+                ).otherwise(0),
+                # Shares of the count differ by one at most.
+                "__share": F.floor(F.col("__rows") / F.col("__pieces"))
+                + (F.col("__piece") < F.col("__rows") % F.col("__pieces")).cast("long"),
+            }
         )
-        .drop("__hot")
+        .drop("__hot", "__rows", "__spread", "__pieces", "__piece")
     )
     payload = dim.select(
         F.col(dim_key).alias("__key"), *[F.col(src).alias(out) for out, src in take.items()]
@@ -116,17 +137,28 @@ def salted_lookup(
     copies = F.when(
         F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))
     ).otherwise(F.array(F.lit(0)))
+    # A null key matches nothing, but would in a pair.
     salted_dim = (
-        payload.join(hot, F.col("__key") == F.col("__hot"), "left")
+        payload.where(F.col("__key").isNotNull())
+        .join(hot, F.col("__key") == F.col("__hot"), "left")
         .withColumn("__salt", F.explode(copies))
         .drop("__hot")
     )
+    # As one value: two conditions would be met by rows that lie together by the key alone.
     joined = salted_facts.join(
         salted_dim,
-        (F.col("__fact_key") == F.col("__key")) & (F.col("__fact_salt") == F.col("__salt")),
+        F.struct(F.col("__fact_key").alias("k"), F.col("__fact_salt").alias("s"))
+        == F.struct(F.col("__key").alias("k"), F.col("__salt").alias("s")),
         "left",
     )
-    return joined.drop("__fact_key", "__fact_salt", "__key", "__salt")
+    if row_id is None:
+        joined = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__share")))
+        joined = joined.drop("__copy")
+    return joined.drop("__fact_key", "__fact_salt", "__key", "__salt", "__share")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def add_agent(

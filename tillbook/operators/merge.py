@@ -46,14 +46,27 @@ def merge_upsert(
 
 
 def merge_sync(
-    target: DataFrame | None, source: DataFrame, key: str, *, source_unique: bool = False
+    target: DataFrame | None,
+    source: DataFrame,
+    key: str,
+    *,
+    source_unique: bool = False,
+    target_unique: bool = False,
 ) -> DataFrame:
     """Upsert every column, then delete the rows whose key the source lacks.
 
     The delete also takes rows without a key, freshly inserted ones included.
+    ``target_unique`` says that a key is one target row: the merge is then a single join with
+    the source planned once, and a duplicate target key fails it.  Without it a matched key
+    keeps all of its target rows, and adaptive execution can split a hot one.
     """
     if target is None:
         return source
+    if target_unique:
+        _require_columns(target, source)
+        merged = _joined_once(target, source, key)
+        merged = merged.unionByName(duplicate_guard(target, key, target))
+        return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
     updated = [c for c in source.columns if c != key]
     merged = _overwritten(target, source, key, updated, keep_unmatched=False).unionByName(
         _unmatched(target, source, key), allowMissingColumns=True
@@ -61,13 +74,27 @@ def merge_sync(
     return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
 
 
+def _joined_once(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Keyed source rows with what only the target knows of them."""
+    own = [c for c in target.columns if c not in source.columns]
+    keyed = source.where(F.col(key).isNotNull())
+    if not own:
+        return keyed.select(*target.columns)
+    known = target.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), *own)
+    return keyed.join(known, F.col(key) == F.col("__key"), "left").select(*target.columns)
+
+
+def _require_columns(target: DataFrame, source: DataFrame) -> None:
+    missing = [c for c in source.columns if c not in target.columns]
+    if missing:
+        raise ValueError(f"target lacks source columns {missing}")
+
+
 def _overwritten(
     target: DataFrame, source: DataFrame, key: str, updated: Sequence[str], keep_unmatched: bool
 ) -> DataFrame:
     """Keyed target rows, with the updated columns of their source match."""
-    missing = [c for c in source.columns if c not in target.columns]
-    if missing:
-        raise ValueError(f"target lacks source columns {missing}")
+    _require_columns(target, source)
     incoming = source.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in updated]
     )

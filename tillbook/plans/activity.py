@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +44,22 @@ def prepare_devices(devices: DataFrame, width: int = ACTIVITY_WIDTH) -> DataFram
 
 
 def terminal_activity(
-    journal: DataFrame, devices: DataFrame, banks: DataFrame, per_journal: bool = False
+    journal: DataFrame,
+    devices: DataFrame,
+    banks: DataFrame,
+    per_journal: bool = False,
+    *,
+    quarter_column: str | None = None,
+    quarters: Sequence[str] = (),
 ) -> DataFrame:
     """One row per terminal over all journals (or per terminal and quarter).
 
     Ids are cleaned before the one aggregation, so two spellings of an id share a row.
-    Inventory columns the device frame lacks are left out.
+    Inventory columns the device frame lacks are left out.  ``quarter_column`` names a
+    partition column and ``quarters`` the journals to read, as in a rerun of some of them.
     """
+    if quarter_column:
+        journal = journal.where(F.col(quarter_column).isin(*quarters))
     purchases = purchase_activity(journal)
     extra = []
     if per_journal:

@@ -13,6 +13,7 @@ from ..functions.text import first_non_empty
 from ..operators.lookup import Join, add_agent, add_state_by_name, lookup, prepare_agent_states
 from ..operators.rollups import daily_activity, state_rollup, wallet_totals
 from ..sources.columns import typed_times
+from ..sources.scans import within
 
 ACTIVITY_COLUMNS = (
     "wallet", "updated_at", "category", "terminal", "bvn", "phone_number", "address",
@@ -25,9 +26,9 @@ def parsed(txns: DataFrame) -> DataFrame:
     return typed_times(txns, "updated_at").withColumn("amount", parse_amount(F.col("amount")))
 
 
-def in_period(txns: DataFrame, period: Period) -> DataFrame:
-    """Parsed transactions of a period."""
-    return parsed(txns).where(period.contains(F.col("updated_at")))
+def in_period(txns: DataFrame, period: Period, month_column: str | None = None) -> DataFrame:
+    """Parsed transactions of a period; ``month_column`` prunes the other months."""
+    return parsed(within(txns, period, "updated_at", month_column))
 
 
 def fill_agent_columns(
@@ -46,7 +47,12 @@ def fill_agent_columns(
 
 
 def weekly_agent_activity(
-    txns: DataFrame, agents: DataFrame, as_of: date, join: Join = lookup
+    txns: DataFrame,
+    agents: DataFrame,
+    as_of: date,
+    join: Join = lookup,
+    *,
+    month_column: str | None = None,
 ) -> DataFrame:
     """Daily activity of the previous week, with agent identity and report date.
 
@@ -54,7 +60,7 @@ def weekly_agent_activity(
     wallet, terminal, category and day.
     """
     period = previous_week(as_of)
-    activity = daily_activity(in_period(txns, period))
+    activity = daily_activity(in_period(txns, period, month_column))
     return _identified(activity, agents, join).select(
         *ACTIVITY_COLUMNS, F.lit(period.report_date).alias("report_date")
     )
@@ -84,7 +90,12 @@ def rollup_states(
 
 
 def monthly_state(
-    txns: DataFrame, agents: DataFrame, states: DataFrame, as_of: date
+    txns: DataFrame,
+    agents: DataFrame,
+    states: DataFrame,
+    as_of: date,
+    *,
+    month_column: str | None = None,
 ) -> DataFrame:
     """State rollup of the previous month.
 
@@ -92,7 +103,7 @@ def monthly_state(
     sums add up to the same result as joining every transaction.
     """
     period = previous_month(as_of)
-    totals = wallet_totals(in_period(txns, period))
+    totals = wallet_totals(in_period(txns, period, month_column))
     return rollup_states(totals, agents, states).withColumn(
         "report_date", F.lit(period.report_date)
     )

@@ -70,9 +70,20 @@ def routed(rows: DataFrame, ts: str = "transactiontime", prefix: str = "purchase
 
 
 def purchase_increment(
-    journal: DataFrame, target: DataFrame, fields: Sequence[str] | None = PURCHASE_FIELDS
+    journal: DataFrame,
+    target: DataFrame,
+    fields: Sequence[str] | None = PURCHASE_FIELDS,
+    *,
+    quarter_column: str | None = None,
+    quarters: Sequence[str] = (),
 ) -> DataFrame:
-    """Purchases after the last loaded ``_id``, in one pass."""
+    """Purchases after the last loaded ``_id``, in one pass.
+
+    ``quarter_column`` names a partition column and ``quarters`` its values to read
+    (``quarters_between`` lists them): those that may hold rows after the last load.
+    """
+    if quarter_column:
+        journal = journal.where(F.col(quarter_column).isin(*quarters))
     new = rows_after(journal.where(F.col("transactionType") == PURCHASE), target, "_id")
     return load_layout(new, fields)
 
@@ -82,8 +93,16 @@ def service_increment(
     target: DataFrame,
     as_of: datetime,
     fields: Sequence[str] | None = SERVICE_FIELDS,
+    *,
+    quarter_column: str | None = None,
+    quarters: Sequence[str] = (),
 ) -> DataFrame:
-    """Service rows from the last loaded time up to ``as_of`` that are not loaded yet."""
+    """Service rows from the last loaded time up to ``as_of`` that are not loaded yet.
+
+    ``quarter_column`` and ``quarters`` prune as in ``purchase_increment``.
+    """
+    if quarter_column:
+        journal = journal.where(F.col(quarter_column).isin(*quarters))
     new = rows_between(
         typed_times(journal, "transactionTime").where(F.col("transactionType") == SERVICE),
         typed_times(target, "transactiontime"),

@@ -72,5 +72,8 @@ def terminal_roster(
 
 
 def sync_roster(target: DataFrame | None, roster: DataFrame) -> DataFrame:
-    """The roster table after a load: replaced at first, then kept in step."""
-    return merge_sync(target, roster, KEY, source_unique=True)
+    """The roster table after a load: replaced at first, then kept in step.
+
+    Either side has one row per terminal; a loaded table that has not fails the merge.
+    """
+    return merge_sync(target, roster, KEY, source_unique=True, target_unique=True)

@@ -13,6 +13,8 @@ from ..functions.terminals import SUMMARY_WIDTH, clean_terminal_id, round_termin
 from ..operators.lookup import add_bank, add_region, lookup, override_when
 from ..operators.merge import merge_upsert
 from ..operators.rollups import terminal_summary
+from ..sources.columns import typed_times
+from ..sources.scans import within
 from .roster import prepare_roster
 
 # Merchants with this prefix report under this bank.
@@ -86,12 +88,15 @@ def daily_terminal(
     states: DataFrame,
     as_of: date,
     lag: int = 3,
+    *,
+    month_column: str | None = None,
 ) -> DataFrame:
     """Summary of the day ``lag`` days before ``as_of``.
 
     Write ``current_terminals`` next to it to keep the terminal table in step.
+    ``month_column`` names a partition column with the month key: other months are not read.
     """
-    day = txns.where(lagged_day(as_of, lag).contains(F.col("date")))
+    day = within(txns, lagged_day(as_of, lag), "date", month_column)
     return summarise_daily(day, roster, terminals, banks, states)
 
 
@@ -103,7 +108,7 @@ def daily_terminal_history(
     states: DataFrame,
 ) -> DataFrame:
     """Every day's summary in one pass, against the current terminals."""
-    by_day = txns.withColumn("day", day_of(F.col("date")))
+    by_day = typed_times(txns, "date").withColumn("day", day_of(F.col("date")))
     return summarise_daily(by_day, roster, terminals, banks, states, "day")
 
 
@@ -123,12 +128,14 @@ def summarise_monthly(txns: DataFrame, banks: DataFrame, *extra_keys: str) -> Da
     )
 
 
-def monthly_terminal(txns: DataFrame, banks: DataFrame, as_of: date) -> DataFrame:
+def monthly_terminal(
+    txns: DataFrame, banks: DataFrame, as_of: date, *, month_column: str | None = None
+) -> DataFrame:
     """Summary of the month of ``as_of``."""
-    return summarise_monthly(txns.where(month_of(as_of).contains(F.col("date"))), banks)
+    return summarise_monthly(within(txns, month_of(as_of), "date", month_column), banks)
 
 
 def monthly_terminal_history(txns: DataFrame, banks: DataFrame) -> DataFrame:
     """Every month's summary in one pass."""
-    by_month = txns.withColumn("month", month_start(F.col("date")))
+    by_month = typed_times(txns, "date").withColumn("month", month_start(F.col("date")))
     return summarise_monthly(by_month, banks, "month")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +27,26 @@ def lower_columns(df: DataFrame) -> DataFrame:
 
 
 def snake_case(header: str) -> str:
-    """``merchantName``, ``Terminal ID``, ``State-Code`` to snake_case."""
-    split_words = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", header)
-    return re.sub(r"[\s\-]+", "_", split_words).lower()
+    """``merchantName``, ``Terminal ID``, ``State-Code`` to snake_case.
+
+    A word ends at white space or hyphens, of which a run counts once, and where a capital
+    follows a small letter or a digit.
+    """
+    out: list[str] = []
+    last = ""
+    for char in header:
+        gap = char.isspace() or char == "-"
+        if gap and out and out[-1] == "_" and last == "gap":
+            continue
+        if gap:
+            out.append("_")
+        elif char.isascii() and char.isupper() and last == "small":
+            out.append("_" + char.lower())
+        else:
+            out.append(char.lower())
+        small = char.isascii() and (char.islower() or char.isdigit())
+        last = "gap" if gap else "small" if small else ""
+    return "".join(out)
 
 
 def snake_columns(df: DataFrame) -> DataFrame:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.periods import single_day
+from ..functions.periods import Period, single_day
 from ..functions.terminals import SUMMARY_WIDTH, normalise_terminal_id
-from .columns import snake_columns
+from .columns import snake_columns, typed_times
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,19 @@ def for_day(df: DataFrame, ts: str, day: date) -> DataFrame:
     return df.where(single_day(day).contains(F.col(ts)))
 
 
+def within(
+    df: DataFrame, period: Period, ts: str, month_column: str | None = None
+) -> DataFrame:
+    """Rows of a period, the time typed first where it is text.
+
+    ``month_column`` names a partition column with the month key; months outside the period
+    are then pruned, also where the time is text and the range cannot reach the footers.
+    """
+    if month_column:
+        df = df.where(F.col(month_column).isin(*period.months()))
+    return typed_times(df, ts).where(period.contains(F.col(ts)))
+
+
 def read_sheets(
     spark: SparkSession,
     root: str,
@@ -117,26 +131,35 @@ def read_sheets(
 
 
 def read_typed_sheet(
-    spark: SparkSession, root: str, sheet: str, *, schema: StructType | str | None = None
+    spark: SparkSession,
+    root: str,
+    sheet: str,
+    *,
+    schema: StructType | str | None = None,
+    positional: bool = False,
 ) -> DataFrame:
     """One sheet of every workbook with typed columns; empty cells are null.
 
-    With ``schema`` the files are read once; without it a first pass infers the types.
+    With ``schema`` the files are read once; without it a first pass infers the types.  A
+    workbook whose header differs fails the read, unless ``positional`` says that columns go
+    by their place.
     """
-    reader = (
-        spark.read.option("header", True).option("nullValue", "").option("basePath", root)
-    )
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    reader = _csv(spark, schema, positional).option("nullValue", "").option("basePath", root)
     return reader.csv(f"{root}/workbook=*/sheet={sheet}").drop("workbook", "sheet")
 
 
 def read_csv(
-    spark: SparkSession, path: str, *, schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    schema: StructType | str | None = None,
+    positional: bool = False,
 ) -> DataFrame:
-    """CSV with a header; declare ``schema`` on large files to save the inference pass."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    """CSV with a header; declare ``schema`` on large files to save the inference pass.
+
+    Files whose headers differ fail the read, unless ``positional``.
+    """
+    return _csv(spark, schema, positional).csv(path)
 
 
 def read_drop(
@@ -147,19 +170,30 @@ def read_drop(
     skip: str | None = None,
     schema: StructType | str | None = None,
     source_column: str | None = None,
+    positional: bool = False,
 ) -> DataFrame:
     """Every matching file of a directory as one frame.
 
-    Files whose name contains ``skip`` are pruned from the file listing.  With
-    ``source_column`` each row keeps the name of its file.
+    Files whose name contains ``skip`` are left out before anything is read, so neither the
+    header nor the inferred types come from them; the names are those Spark lists anyway.
+    Files whose headers differ fail the read, unless ``positional``.  With ``source_column``
+    each row keeps the name of its file.
     """
-    reader = spark.read.option("header", True).option("pathGlobFilter", pattern)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(root)
-    columns = df.columns
-    name = F.col("_metadata.file_name")
+    paths: str | list[str] = root
     if skip:
-        df = df.where(~name.contains(skip))
+        files = spark.read.option("pathGlobFilter", pattern).text(root).inputFiles()
+        paths = [f for f in files if skip not in unquote(f.rsplit("/", 1)[1])]
+        if not paths:
+            raise FileNotFoundError(f"no file of {root} matches {pattern} without {skip}")
+        paths = [unquote(f) for f in paths]
+    df = _csv(spark, schema, positional).option("pathGlobFilter", pattern).csv(paths)
     if source_column:
-        return df.select(*columns, name.alias(source_column))
-    return df.select(*columns)
+        return df.select(*df.columns, F.col("_metadata.file_name").alias(source_column))
+    return df
+
+
+def _csv(
+    spark: SparkSession, schema: StructType | str | None, positional: bool
+) -> DataFrameReader:
+    reader = spark.read.option("header", True).option("enforceSchema", positional)
+    return reader.schema(schema) if schema is not None else reader.option("inferSchema", True)

@@ -10,10 +10,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_report(
@@ -67,23 +67,47 @@ def _adaptive(spark: SparkSession) -> bool:
 def write_version(df: DataFrame, root: str, version: str) -> None:
     """Write a table as a new version next to the ones before it.
 
-    A merge reads the current version, so its result must not replace those files.  Versions
-    sort as text (dates, padded run numbers); an existing one is never touched.
+    A merge reads the current version, so its result must not replace those files.  The rows
+    go to a folder of their own; one pointer row, written last, makes them the current
+    version.  A write that died leaves no pointer, so it can be run again under its name; a
+    name that has a pointer is never written again.
     """
-    df.write.mode("errorifexists").parquet(f"{root}/version={version}")
-
-
-def read_version(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest version of a table, or None before its first one."""
+    spark = df.sparkSession
+    pointers = _pointers(spark, root)
+    number = 1
+    if pointers is not None:
+        row = pointers.agg(
+            F.max("number").alias("last"), F.count_if(F.col("version") == version).alias("same")
+        ).first()
+        if row["same"]:
+            raise ValueError(f"version {version} exists already")
+        number = row["last"] + 1
+    folder = f"{root}/versions/{number}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    pointer = spark.createDataFrame([(number, version, folder)], POINTER)
+    pointer.coalesce(1).write.mode("append").json(f"{root}/pointers")
+
+
+POINTER = "number BIGINT, version STRING, folder STRING"
+
+
+def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per finished version; a small file each."""
     try:
-        versions = spark.read.parquet(root)
+        return spark.read.schema(POINTER).json(f"{root}/pointers")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    # File names alone tell the versions; only the newest is opened, with its own schema.
-    names = {file.rsplit("/version=", 1)[1].split("/")[0] for file in versions.inputFiles()}
-    return spark.read.parquet(f"{root}/version={unquote(max(names))}")
+
+
+def read_version(spark: SparkSession, root: str) -> DataFrame | None:
+    """The version written last, or None before the first one."""
+    pointers = _pointers(spark, root)
+    if pointers is None:
+        return None
+    folder = pointers.agg(F.max_by("folder", "number")).first()[0]
+    return None if folder is None else spark.read.parquet(folder)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -97,13 +121,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a local session may do without the setting; it gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh folder under the session's checkpoint folder, which every executor can reach."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tillbook-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ensure_local_root(spark: SparkSession) -> None:
+    """Give a session of one machine without a checkpoint folder one; others are left alone."""
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not known and spark.sparkContext.master.split("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillbook-"))

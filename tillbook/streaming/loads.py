@@ -1,29 +1,30 @@
 """Incremental loads as streams.
 
 Each stream runs with ``availableNow`` (drain what is there, then stop) unless given
-another trigger, so it can be scheduled like the batch loads.  Every micro-batch is written
-to its own ``batch_id`` partition with overwrite: a batch replayed after a failure replaces
-its first attempt, which together with the checkpoint makes the target exactly-once.
+another trigger, so it can be scheduled like the batch loads.  No stream holds state or a
+watermark: a micro-batch is reduced by itself and written as its own folder, and readers
+combine the batches.  Counts and sums add up and a latest time is the latest of latest ones,
+so the result does not depend on how files arrive, in what order, or how late.
 
-State is one row per key.  On a cluster set
-``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider, so that it spills
-to local disk and is backed up to the checkpoint folder.
+A batch folder is named by the query's own id and the batch number.  A batch replayed after a
+failure replaces its first attempt, and a query with another checkpoint adds to the target.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.money import TOTAL
-from ..functions.periods import day_of
-from ..operators.dedup import dedup
+from ..operators.rollups import daily_activity
 
-BATCH = "batch_id"
+STREAM, BATCH = "stream_id", "batch_id"
+ACTIVITY_KEYS = ("wallet", "terminal", "category", "day")
 
 
 def file_stream(
@@ -42,41 +43,22 @@ def file_stream(
     return reader.load(path)
 
 
-def distinct_rows(stream: DataFrame, key: str, ts: str, lateness: str) -> DataFrame:
-    """Drop repeats of a key that arrive within ``lateness`` of each other."""
-    timed = stream.withColumn("__event_time", F.col(ts).cast("timestamp"))
+def latest_activity(activity: DataFrame) -> DataFrame:
+    """Latest transaction and update time per terminal; of batches and of their results."""
+    columns = {"transaction_time": "last_transaction_time", "updated_at": "last_connect_date"}
     return (
-        timed.withWatermark("__event_time", lateness)
-        .dropDuplicatesWithinWatermark([key])
-        .drop("__event_time")
+        activity.withColumnsRenamed(columns)
+        .groupBy("terminal_id")
+        .agg(*[F.max(c).alias(c) for c in columns.values()])
     )
 
 
-def last_activity_stream(activity: DataFrame) -> DataFrame:
-    """Running latest transaction and update time per terminal."""
-    return activity.groupBy("terminal_id").agg(
-        F.max("transaction_time").alias("last_transaction_time"),
-        F.max("updated_at").alias("last_connect_date"),
-    )
-
-
-def daily_activity_stream(txns: DataFrame, lateness: str) -> DataFrame:
-    """Running daily activity; a day's state is dropped once it is ``lateness`` old.
-
-    The event time is the calendar day itself rather than a window over the timestamp, so
-    days follow the data's own clock whatever the session time zone is.
-    """
-    return (
-        txns.withColumn("__event_day", day_of(F.col("updated_at")).cast("timestamp"))
-        .withWatermark("__event_day", lateness)
-        .groupBy("wallet", "terminal", "category", "__event_day")
-        .agg(
-            F.count(F.lit(1)).alias("volume"),
-            F.sum("amount").cast(TOTAL).alias("value"),
-            F.max("updated_at").alias("updated_at"),
-        )
-        .withColumn("day", F.col("__event_day").cast("date"))
-        .drop("__event_day")
+def combined_daily(batches: DataFrame) -> DataFrame:
+    """Daily activity from the daily activities of batches."""
+    return batches.groupBy(*ACTIVITY_KEYS).agg(
+        F.sum("volume").alias("volume"),
+        F.sum("value").cast(TOTAL).alias("value"),
+        F.max("updated_at").alias("updated_at"),
     )
 
 
@@ -85,34 +67,91 @@ def write_batches(
     path: str,
     checkpoint: str,
     *,
-    output_mode: str = "append",
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    key: str | None = None,
+    partition_by: Sequence[str] = (),
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Write each micro-batch to ``path/batch_id=N``, replacing an earlier attempt."""
+    """Write each micro-batch to a folder of its own under ``path``.
+
+    With ``key`` a row is loaded once: repeats go within the batch, and rows whose key earlier
+    batches hold are left out.  ``partition_by`` then names columns that a key determines,
+    such as the quarter of its time: only partitions that the batch touches are read.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # Spark writes the query's id when it creates the checkpoint.
+        stream_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         rows = transform(batch) if transform else batch
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if key:
+            rows = _new_rows(rows, _batches(spark, path), key, partition_by, stream_id, batch_id)
+        writer = rows.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(f"{path}/{STREAM}={stream_id}/{BATCH}={batch_id}")
 
     return (
-        stream.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
+        stream.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(write)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def _new_rows(
+    rows: DataFrame,
+    loaded: DataFrame | None,
+    key: str,
+    partition_by: Sequence[str],
+    stream_id: str,
+    batch_id: int,
+) -> DataFrame:
+    rows = rows.dropDuplicates([key])
+    if loaded is None:
+        return rows
+    # A replay must not take its own first attempt for rows loaded before.
+    own: Column = (F.col(STREAM) == stream_id) & (F.col(BATCH) == batch_id)
+    loaded = loaded.where(~own)
+    for column in partition_by:
+        # One value per partition touched, a handful even in a large batch.
+        touched = [r[0] for r in rows.select(column).distinct().collect()]
+        known = [v for v in touched if v is not None]
+        wanted = F.col(column).isin(known) if known else F.lit(False)
+        loaded = loaded.where(wanted | F.col(column).isNull() if None in touched else wanted)
+    return rows.join(loaded.select(key), key, "left_anti")
+
+
+def _batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """What is loaded, with the columns of the folders; None before the first batch."""
+    try:
+        return spark.read.option("basePath", path).parquet(f"{path}/{STREAM}=*")
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def appended_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of an append stream's target."""
-    return spark.read.parquet(path).drop(BATCH)
+    """The rows of all batches."""
+    return spark.read.parquet(path).drop(STREAM, BATCH)
 
 
-def current_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest row per key of an update stream's target.
+def current_daily(spark: SparkSession, path: str) -> DataFrame:
+    """Daily activity over all batches written with ``daily_activity``.
 
-    The target grows by the changed keys of every batch; write this frame as a version of a
-    table of its own now and then, and start the stream on a fresh target.
+    The target grows by the days of every batch; write this frame as a version of a table of
+    its own now and then, and start the stream on a fresh target.
     """
-    return dedup(spark.read.parquet(path), keys, [BATCH], keep="last").drop(BATCH)
+    return combined_daily(appended_rows(spark, path))
+
+
+def current_latest(spark: SparkSession, path: str) -> DataFrame:
+    """Latest activity over all batches written with ``latest_activity``."""
+    return latest_activity(appended_rows(spark, path))
+
+
+__all__ = [
+    "appended_rows", "combined_daily", "current_daily", "current_latest", "daily_activity",
+    "file_stream", "latest_activity", "write_batches",
+]
