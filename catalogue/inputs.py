@@ -2,8 +2,10 @@
 
 Each derivation is one SQL text in the subset Spark and DuckDB share.  ``{orders}`` and the
 like name driver tables; Spark binds them to frames, the SQL checks to the tables
-themselves.  Derivations keep every row of their tables: unmatched keys, nulls, damaged ids
-and malformed amounts are made by rewriting values, not by leaving rows out.
+themselves.  Derivations keep every row of their tables, and make unmatched keys, nulls, damaged
+ids and malformed amounts by rewriting values, but for these: ``connected`` and ``active`` hold
+the orders of one status and priority, ``inactive`` the customers in debt, as a membership list
+must leave some ids out, and ``journal_target`` the events before a day, as what is loaded.
 """
 
 from __future__ import annotations

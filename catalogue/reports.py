@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from tillbook import plans
 from tillbook.operators.lookup import salted_lookup
-from tillbook.plans.settlement import LEFT_OUT
-from tillbook.sources.sinks import shared_folder, write_report
+from tillbook.plans.loads import PURCHASE_FIELDS, SERVICE_FIELDS
+from tillbook.plans.settlement import FAILED_SHEET, LEFT_OUT, SKIPPED_FILES, SUCCESSFUL_SHEET
+from tillbook.plans.settlement import HEADER as SETTLEMENT_HEADER
+from tillbook.sources.scans import read_csv, read_drop, read_sheets, read_typed_sheet
+from tillbook.sources.sinks import shared_folder, write_csv, write_report
 
 from . import sql
 from .inputs import load, normalised, with_inputs
@@ -23,13 +26,16 @@ from .rollups import (
     first_row_sql,
     summary_sql,
 )
+from .scans import write_sheet
 
 WEEKLY_AS_OF = date(1998, 6, 10)
 MONTHLY_AS_OF = date(1997, 2, 10)
 DAILY_AS_OF = date(1996, 9, 26)
 SUMMARY_MONTH = date(1998, 5, 15)
 SERVICE_AS_OF = datetime(2024, 2, 1)
-ACTIVITY_AS_OF = datetime(2024, 2, 1)
+# 120 days before this cut through the events, all of January 2024.
+ACTIVITY_AS_OF = datetime(2024, 5, 15)
+ACTIVITY_WINDOW = "transactionTime BETWEEN TIMESTAMP '2024-01-16' AND TIMESTAMP '2024-05-15'"
 
 
 def weekly_sql(where: str, report_date: str) -> str:
@@ -207,7 +213,8 @@ one AS (
     SELECT *, row_number() OVER (PARTITION BY terminal_id ORDER BY merchant_name, state) AS rn FROM reg)
   WHERE rn = 1),
 last AS (
-  SELECT {sql.normalise('terminalId')} AS terminal_id, max(updatedAt) AS t FROM journal GROUP BY 1),
+  SELECT {sql.normalise('terminalId')} AS terminal_id, max(updatedAt) AS t FROM journal
+  WHERE {ACTIVITY_WINDOW} GROUP BY 1),
 roster AS (
   SELECT r.terminal_id AS terminal_id, state, merchant_name, {membership_sql('connected')},
          {membership_sql('active')}, {membership_sql('inactive')}, t AS last_transaction_time
@@ -230,6 +237,20 @@ def report_roster(spark, sf_dir):
     return roster(spark, sf_dir)
 
 
+@register("report_roster_sheets", with_inputs(ROSTER_INPUTS, ROSTER_SQL + "SELECT * FROM roster"))
+def report_roster_sheets(spark, sf_dir):
+    """The roster from the four sheets of its workbooks."""
+    root = shared_folder(spark, "roster-books")
+    names = ("registered", "connected", "active", "inactive")
+    for name in names:
+        write_sheet(load(spark, sf_dir, name), root, name, F.lit("book"))
+    return plans.terminal_roster(
+        *[read_sheets(spark, root, name) for name in names],
+        plans.recent_activity(load(spark, sf_dir, "journal"), ACTIVITY_AS_OF),
+        order=["merchant_name", "state"],
+    )
+
+
 @register(
     "report_roster_sync",
     with_inputs(
@@ -271,11 +292,9 @@ def report_terminal_activity(spark, sf_dir):
     )
 
 
-@register(
-    "report_terminal_activity_per_journal",
-    with_inputs(
-        "journal terminal_device bank_code",
-        f"""
+PER_JOURNAL_SQL = with_inputs(
+    "journal terminal_device bank_code",
+    f"""
 WITH last AS (
   SELECT {sql.clean('terminalId', 9)} AS terminal_id, {sql.quarter_span('transactionTime')} AS journal,
          max(transactionTime) AS last_transaction_time, max(updatedAt) AS last_connect_date
@@ -285,8 +304,10 @@ SELECT journal, terminal_id, last_transaction_time, last_connect_date, trm_seria
        trm_model AS terminal_model, trm_connectcount AS connect_count, bank AS bank_name
 FROM last LEFT JOIN device ON terminal_id = id
 LEFT JOIN bank_code b ON {sql.prefix('terminal_id')} = b.bank_code""",
-    ),
 )
+
+
+@register("report_terminal_activity_per_journal", PER_JOURNAL_SQL)
 def report_terminal_activity_per_journal(spark, sf_dir):
     return plans.terminal_activity(
         load(spark, sf_dir, "journal"), load(spark, sf_dir, "terminal_device"),
@@ -294,6 +315,16 @@ def report_terminal_activity_per_journal(spark, sf_dir):
     )
 
 
+@register("report_terminal_activity_written", PER_JOURNAL_SQL)
+def report_terminal_activity_written(spark, sf_dir):
+    """Activity in one partition per quarter; a rerun replaces the quarters it covers."""
+    path = shared_folder(spark, "activity")
+    for _ in range(2):
+        rows = report_terminal_activity_per_journal(spark, sf_dir)
+        write_report(rows, path, mode="overwrite_partitions", partition_by=["journal"])
+    return spark.read.parquet(path)
+
+
 @register(
     "report_settlement_clean",
     with_inputs(
@@ -310,33 +341,78 @@ def report_settlement_clean(spark, sf_dir):
     return plans.clean_settlement(parts, SETTLEMENT_ORDER, header=None, left_out=LEFT_OUT)
 
 
-LOADED_FIELDS = ["_id", "terminalId", "transactionTime", "amount", "customData"]
-LOADED_SQL = f"""SELECT _id, terminalId AS terminalid, transactionTime AS transactiontime,
-       {sql.major('amount')} AS amount, replace(customData, chr(0), '') AS customdata FROM journal"""
+SETTLEMENT_COLUMNS = ["Merchant", "TerminalID", "merchant_id", "Amount", "Date", "RetrievalReferenceNo"]
+
+
+@register(
+    "report_settlement_files",
+    with_inputs(
+        "settlement",
+        first_row_sql(
+            "settlement", "RetrievalReferenceNo", SETTLEMENT_ORDER_SQL, ", ".join(SETTLEMENT_COLUMNS)
+        ),
+    ),
+)
+def report_settlement_files(spark, sf_dir):
+    """Two sheets and a drop folder, with headers of their own, to one clean CSV."""
+    rows = load(spark, sf_dir, "settlement")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    laid = rows.select(
+        *[F.col(n) if n in kinds else F.lit("-").alias(n) for n in SETTLEMENT_HEADER]
+    )
+    layout = ", ".join(f"`{n}` {kinds.get(n, 'string')}" for n in SETTLEMENT_HEADER)
+    root = shared_folder(spark, "settlement")
+    failed, late = F.col("Tran_Status") == "FAILED", F.col("PTSP") == "O"
+    write_sheet(laid.where(failed), f"{root}/books", FAILED_SHEET, F.lit("book"))
+    write_sheet(laid.where(~failed & ~late), f"{root}/books", SUCCESSFUL_SHEET, F.lit("book"))
+    other = laid.where(~failed & late).toDF(*[f"column {i}" for i in range(len(SETTLEMENT_HEADER))])
+    write_csv(other, f"{root}/drop")
+    parts = [
+        read_typed_sheet(spark, f"{root}/books", sheet, schema=layout, positional=True)
+        for sheet in (FAILED_SHEET, SUCCESSFUL_SHEET)
+    ]
+    parts.append(
+        read_drop(spark, f"{root}/drop", skip=SKIPPED_FILES, schema=layout, positional=True)
+    )
+    write_csv(plans.clean_settlement(parts, SETTLEMENT_ORDER), f"{root}/clean")
+    clean = ", ".join(f"`{n}` {kinds.get(n, 'string')}" for n in SETTLEMENT_HEADER if n not in LEFT_OUT)
+    return read_csv(spark, f"{root}/clean", schema=clean).select(*SETTLEMENT_COLUMNS)
+
+
+JOURNAL_COLUMNS = {
+    "_id": "_id", "terminalId": "terminalId", "transactionTime": "transactionTime",
+    "updatedAt": "updatedAt", "amount": sql.major("amount"),
+    "customData": "replace(customData, chr(0), '')",
+}
+
+
+def loaded_sql(fields, more: str = "") -> str:
+    """Every declared field of the journal; those it lacks are null text."""
+    listed = [f"{JOURNAL_COLUMNS.get(f, 'CAST(NULL AS VARCHAR)')} AS {f.lower()}" for f in fields]
+    return f"SELECT {', '.join(listed)}{more} FROM journal"
 
 
 @register(
     "report_purchase_increment",
     with_inputs(
         "journal journal_target",
-        LOADED_SQL
+        loaded_sql(PURCHASE_FIELDS)
         + """ WHERE transactionType = 'Purchase'
               AND _id > (SELECT max(_id) FROM journal_target WHERE event_type = 'purchase')""",
     ),
 )
 def report_purchase_increment(spark, sf_dir):
     loaded = load(spark, sf_dir, "journal_target").where("event_type = 'purchase'")
-    return plans.purchase_increment(load(spark, sf_dir, "journal"), loaded, LOADED_FIELDS)
+    return plans.purchase_increment(load(spark, sf_dir, "journal"), loaded)
 
 
 @register(
     "report_purchase_load",
     with_inputs(
         "journal journal_target",
-        LOADED_SQL.replace(
-            "customdata FROM",
-            "customdata, concat('purchases_', strftime(date_trunc('quarter', transactionTime), '%y_%m')) "
-            "AS target FROM",
+        loaded_sql(
+            PURCHASE_FIELDS,
+            ", concat('purchases_', strftime(date_trunc('quarter', transactionTime), '%y_%m')) AS target",
         )
         + """ WHERE transactionType = 'Purchase'
               AND _id > (SELECT max(_id) FROM journal_target WHERE event_type = 'purchase')""",
@@ -354,7 +430,7 @@ def report_purchase_load(spark, sf_dir):
     "report_vas_increment",
     with_inputs(
         "journal journal_target",
-        LOADED_SQL
+        loaded_sql(SERVICE_FIELDS)
         + """ WHERE transactionType = 'VAS' AND transactionTime <= TIMESTAMP '2024-02-01'
               AND transactionTime >= (SELECT max(transactiontime) FROM journal_target WHERE event_type = 'signup')
               AND _id NOT IN (SELECT _id FROM journal_target WHERE event_type = 'signup')""",
@@ -362,9 +438,7 @@ def report_purchase_load(spark, sf_dir):
 )
 def report_vas_increment(spark, sf_dir):
     loaded = load(spark, sf_dir, "journal_target").where("event_type = 'signup'")
-    return plans.service_increment(
-        load(spark, sf_dir, "journal"), loaded, SERVICE_AS_OF, LOADED_FIELDS
-    )
+    return plans.service_increment(load(spark, sf_dir, "journal"), loaded, SERVICE_AS_OF)
 
 
 @register(

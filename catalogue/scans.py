@@ -19,6 +19,7 @@ from tillbook.functions.periods import (
     trailing_days,
 )
 from tillbook.operators.dedup import union_all
+from tillbook.plans.settlement import FAILED_SHEET, SUCCESSFUL_SHEET
 from tillbook.sources.columns import (
     add_constants,
     all_to_string,
@@ -133,19 +134,25 @@ def scan_sheet(spark, sf_dir):
     with_inputs(
         "settlement",
         """SELECT Merchant, merchant_id, CAST(Amount AS DOUBLE) AS amount, CAST(Date AS DATE) AS day,
-                  RetrievalReferenceNo AS reference FROM settlement WHERE Tran_Status = 'FAILED'""",
+                  RetrievalReferenceNo AS reference,
+                  CASE WHEN Tran_Status = 'FAILED' THEN 'POS_FAILED' ELSE 'POS_SUCCESSFULL' END AS sheet
+           FROM settlement""",
     ),
 )
 def scan_sheet_typed(spark, sf_dir):
     root = shared_folder(spark, "typed-sheets")
     rows = load(spark, sf_dir, "settlement")
-    write_sheet(
-        rows.where("Tran_Status = 'FAILED'"), root, "POS_FAILED", F.concat(F.lit("book_"), "PTSP")
-    )
-    return read_typed_sheet(spark, root, "POS_FAILED").select(
-        "Merchant", "merchant_id", F.col("Amount").alias("amount"),
-        F.col("Date").cast("date").alias("day"), F.col("RetrievalReferenceNo").alias("reference"),
-    )
+    failed = F.col("Tran_Status") == "FAILED"
+    sheets = []
+    for name, wanted in ((FAILED_SHEET, failed), (SUCCESSFUL_SHEET, ~failed)):
+        write_sheet(rows.where(wanted), root, name, F.concat(F.lit("book_"), "PTSP"))
+        sheet = read_typed_sheet(spark, root, name).select(
+            "Merchant", "merchant_id", F.col("Amount").alias("amount"),
+            F.col("Date").cast("date").alias("day"),
+            F.col("RetrievalReferenceNo").alias("reference"), F.lit(name).alias("sheet"),
+        )
+        sheets.append(sheet)
+    return sheets[0].unionByName(sheets[1])
 
 
 @register(
@@ -161,17 +168,20 @@ def scan_csv(spark, sf_dir):
 @register(
     "scan_directory",
     with_inputs(
-        "pos_txn", "SELECT retrieval_ref, terminal_id, amount, status FROM pos_txn"
+        "pos_txn",
+        "SELECT retrieval_ref, terminal_id, CAST(amount AS DOUBLE) AS amount, status FROM pos_txn",
     ),
 )
 def scan_directory(spark, sf_dir):
     path = shared_folder(spark, "drop")
     columns = ["retrieval_ref", "terminal_id", "amount", "status"]
-    write_csv(load(spark, sf_dir, "pos_txn").select(*columns), path)
-    return read_drop(
-        spark, path, pattern="*.csv", skip="RCA",
-        schema="retrieval_ref STRING, terminal_id STRING, amount DECIMAL(18,2), status STRING",
-    )
+    rows = load(spark, sf_dir, "pos_txn").select(*columns)
+    # Files of another shape that the read must not look at; Spark names a write's files alike.
+    write_csv(spark.range(5).selectExpr("id AS a", "id AS b"), path)
+    name = spark.read.text(path).inputFiles()[0].rsplit("/", 1)[1]
+    write_csv(rows.where("status = 'FAILED'"), path, mode="append")
+    write_csv(rows.where("status <> 'FAILED'"), path, mode="append")
+    return read_drop(spark, path, pattern="*.csv", skip="-".join(name.split("-")[2:7]))
 
 
 @register(

@@ -16,7 +16,7 @@ from tillbook.operators.incremental import (
 )
 from tillbook.operators.merge import merge_sync, merge_upsert
 from tillbook.plans.activity import purchase_activity
-from tillbook.plans.loads import load_layout
+from tillbook.plans.loads import load_layout, routed
 from tillbook.plans.roster import prepare_roster
 from tillbook.sources.scans import read_csv
 from tillbook.sources.sinks import (
@@ -28,11 +28,11 @@ from tillbook.sources.sinks import (
 )
 from tillbook.streaming.loads import (
     appended_rows,
-    current_rows,
-    daily_activity_stream,
-    distinct_rows,
+    current_daily,
+    current_latest,
+    daily_activity,
     file_stream,
-    last_activity_stream,
+    latest_activity,
     write_batches,
 )
 
@@ -196,20 +196,20 @@ def incremental_by_time(spark, sf_dir):
 
 
 def drain(spark, stream, purpose, **options):
-    """Run a stream over what is there; state partitions follow the cores at hand."""
+    """Run a stream over what is there, in several micro-batches."""
     path = shared_folder(spark, purpose)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    try:
-        write_batches(stream, f"{path}/rows", f"{path}/checkpoint", **options).awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    write_batches(stream, f"{path}/rows", f"{path}/checkpoint", **options).awaitTermination()
     return f"{path}/rows"
 
 
+FILES = 6
+
+
 def table_stream(spark, sf_dir, name, schema):
-    """A driver table as a stream, be it one file or a folder (a plain path must be a folder)."""
-    return file_stream(spark, "parquet", f"{sf_dir}/[{name[0]}]{name[1:]}.parquet", schema)
+    """A driver table as a stream of files in no order of time, two to a micro-batch."""
+    path = shared_folder(spark, f"stream-{name}")
+    spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet").repartition(FILES).write.parquet(path)
+    return file_stream(spark, "parquet", path, schema, max_files=2)
 
 
 def journal_stream(spark, sf_dir):
@@ -230,10 +230,10 @@ def stream_incremental(spark, sf_dir):
     purchases = journal_stream(spark, sf_dir).where("transactionType = 'Purchase'")
     fields = ["_id", "terminalId", "transactionTime", "amount", "customData"]
     rows = drain(
-        spark, distinct_rows(purchases, "_id", "transactionTime", "1 day"), "stream-load",
-        transform=lambda batch: load_layout(batch, fields),
+        spark, purchases, "stream-load", key="_id", partition_by=["target"],
+        transform=lambda batch: routed(load_layout(batch, fields)),
     )
-    return appended_rows(spark, rows)
+    return appended_rows(spark, rows).drop("target")
 
 
 @register(
@@ -246,9 +246,8 @@ def stream_incremental(spark, sf_dir):
     ),
 )
 def stream_last_activity(spark, sf_dir):
-    activity = last_activity_stream(purchase_activity(journal_stream(spark, sf_dir)))
-    rows = drain(spark, activity, "stream-activity", output_mode="update")
-    return current_rows(spark, rows, ["terminal_id"])
+    activity = purchase_activity(journal_stream(spark, sf_dir))
+    return current_latest(spark, drain(spark, activity, "stream-activity", transform=latest_activity))
 
 
 @register(
@@ -266,10 +265,7 @@ def stream_daily_activity(spark, sf_dir):
     txns = derive(spark, "service_txn", orders=orders).withColumn(
         "amount", parse_amount(F.col("amount"))
     )
-    rows = drain(
-        spark, daily_activity_stream(txns, "1 day"), "stream-daily", output_mode="update"
-    )
-    return current_rows(spark, rows, ["wallet", "terminal", "category", "day"])
+    return current_daily(spark, drain(spark, txns, "stream-daily", transform=daily_activity))
 
 
 # Sinks: written, then read back

@@ -6,6 +6,7 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
+from catalogue.registry import QUERIES
 
 ORACLES = entry.oracle_sql()
 
@@ -15,7 +16,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, con, name):
     assert name in ORACLES
     assert compare(entry.queries()[name](spark, sf_dir), con, ORACLES[name]) == []

@@ -129,3 +129,69 @@ def test_merge_with_a_hot_null_and_a_hot_target_key(small_limits, spark):
     counts = {r["v"]: r["count"] for r in merged.groupBy(F.left("v", F.lit(3)).alias("v")).count().collect()}
     assert counts == {"new": ROWS // 3 + 1, "old": 2 * ROWS // 3}
     assert "skew=true" in final_plan(merged)
+
+
+def test_equal_rows_of_a_hot_key_are_split(spark):
+    facts = spark.range(100_000).select(F.lit("hot").alias("k")).repartition(4)
+    dim = spark.createDataFrame([("hot", "found")], "k STRING, v STRING")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = salted_lookup(facts, dim, F.col("k"), "k", {"v": "v"})
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        nulls = salted_lookup(
+            facts.select(F.lit(None).cast("string").alias("k")), dim, F.col("k"), "k", {"v": "v"}
+        )
+        null_sizes = [r["count"] for r in nulls.groupBy(F.spark_partition_id()).count().collect()]
+        scans = salted_lookup(
+            spark.range(10).selectExpr("id AS k"), dim, F.col("k").cast("string"), "k", {"v": "v"},
+            row_id=F.col("k"),
+        )
+        assert scans.count() == 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for found in (sizes, null_sizes):
+        assert sum(found) == 100_000 and len(found) >= 8 and max(found) < 40_000
+    assert out.where("v = 'found'").count() == 100_000
+
+
+def test_sync_with_a_unique_target_is_one_join(spark):
+    from tillbook.operators.merge import merge_sync
+
+    target = spark.createDataFrame([("a", 1, "t"), ("b", 2, "u"), (None, 3, "v")], "k STRING, x INT, note STRING")
+    source = spark.createDataFrame([("a", None), ("c", 9), (None, 7)], "k STRING, x INT")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    once = merge_sync(target, source, "k", target_unique=True)
+    assert rows(once) == rows(merge_sync(target, source, "k")) == [("a", None, "t"), ("c", 9, None)]
+    twice = target.union(target.where("k = 'a'"))
+    with pytest.raises(Exception, match="duplicate k"):
+        merge_sync(twice, source, "k", target_unique=True).collect()
+
+
+@pytest.mark.parametrize("name", ["daily", "daily_history", "monthly", "monthly_history"])
+def test_malformed_text_dates_are_null(spark, name):
+    from datetime import date
+
+    from tillbook.plans import terminals
+
+    txns = spark.createDataFrame(
+        [("2057AB12", "5", "M1", "S", "2025-06-03"), ("2057AB12", "7", "M1", "S", "n/a")],
+        "terminal_id STRING, amount STRING, merchant_id STRING, merchant STRING, date STRING",
+    )
+    roster = spark.createDataFrame([("2057AB12", "LA")], "terminal_id STRING, state STRING")
+    banks = spark.createDataFrame([("2057", "B")], "bank_code STRING, bank STRING")
+    states = spark.createDataFrame([("LA", "Lagos", "SW")], "state_initials STRING, state STRING, region STRING")
+    if name == "daily":
+        out = terminals.daily_terminal(txns, roster, None, banks, states, date(2025, 6, 6))
+    elif name == "daily_history":
+        out = terminals.daily_terminal_history(txns, roster, None, banks, states)
+    elif name == "monthly":
+        out = terminals.monthly_terminal(txns, banks, date(2025, 6, 6))
+    else:
+        out = terminals.monthly_terminal_history(txns, banks)
+    dates = {r["date"] for r in out.collect()}
+    assert "n/a" not in dates and len(dates) == (2 if "history" in name else 1)

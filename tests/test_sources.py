@@ -214,6 +214,15 @@ def test_versions(frame, spark, tmp_path, rows):
         assert rows(sinks.read_version(spark, root)) == [(n,)]
     with pytest.raises(Exception, match="(?i)exists"):
         sinks.write_version(frame([(3,)], "a INT"), root, "2025-06-16")
+    # A write that dies leaves the table as it is and can be run again.
+    bad = frame([(3,)], "a INT").withColumn("a", F.raise_error(F.lit("died")).cast("int"))
+    with pytest.raises(Exception, match="died"):
+        sinks.write_version(bad, root, "2025-06-17")
+    assert rows(sinks.read_version(spark, root)) == [(2,)]
+    sinks.write_version(frame([(5,)], "a INT"), root, "2025-06-17")
+    for version, n in (("9", 9), ("10", 10)):
+        sinks.write_version(frame([(n,)], "a INT"), root, version)
+        assert rows(sinks.read_version(spark, root)) == [(n,)]
     wider = frame([(4, "new")], "a INT, note STRING")
     sinks.write_version(wider, root, "2025-06-23 b")
     assert rows(sinks.read_version(spark, root)) == [(4, "new")]
@@ -229,3 +238,63 @@ def test_shared_folder_follows_the_session(spark):
     first, second = sinks.shared_folder(spark, "x"), sinks.shared_folder(spark, "x")
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_headers_that_differ_fail_unless_positional(frame, spark, tmp_path, rows):
+    root = str(tmp_path / "books")
+    for book, columns in (("one", ["a", "b"]), ("two", ["b", "a"])):
+        frame([("x", 1)], "p STRING, q INT").toDF(*columns).coalesce(1).write.option("header", True).csv(
+            f"{root}/workbook={book}/sheet=s"
+        )
+    schema = "a STRING, b STRING"
+    for read in (
+        lambda **o: scans.read_typed_sheet(spark, root, "s", schema=schema, **o),
+        lambda **o: scans.read_csv(spark, f"{root}/*/*", schema=schema, **o),
+        lambda **o: scans.read_drop(spark, f"{root}/*/*", schema=schema, **o),
+    ):
+        with pytest.raises(Exception, match="(?i)header"):
+            read().collect()
+        assert rows(read(positional=True)) == [("x", "1"), ("x", "1")]
+
+
+def test_skipped_files_give_no_columns(frame, spark, tmp_path, rows):
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    (folder / "a_RCA 1.csv").write_text("x,y\nq,r\n")
+    (folder / "b.csv").write_text("id,amount,ref\n1,2.5,k\n")
+    (folder / "c d.csv").write_text("id,amount,ref\n2,3.5,l\n")
+    out = scans.read_drop(spark, str(folder), skip="RCA", source_column="file")
+    assert out.dtypes == [("id", "int"), ("amount", "double"), ("ref", "string"), ("file", "string")]
+    assert [r[:3] for r in rows(out)] == [(1, 2.5, "k"), (2, 3.5, "l")]
+    with pytest.raises(FileNotFoundError):
+        scans.read_drop(spark, str(folder), skip=".csv")
+
+
+@pytest.mark.parametrize(
+    "header, name",
+    [("merchantName", "merchant_name"), ("Terminal ID", "terminal_id"), ("State-Code", "state_code"),
+     ("a - B2C", "a_b2_c"), (" x", "_x"), ("ABc", "abc"), ("a_B", "a_b"), ("", "")],
+)
+def test_snake_case(header, name):
+    assert cols.snake_case(header) == name
+
+
+def test_periods_prune_month_partitions(frame, spark, tmp_path):
+    from datetime import date
+
+    from tillbook.functions.periods import month_key, months_between, previous_week
+    from tillbook.plans import agents
+
+    path = str(tmp_path / "months")
+    txns = frame(
+        [("w", "t", "c", "1", f"2025-{m:02d}-30T10:00:00") for m in (4, 5, 6)] + [("w", "t", "c", "1", "n/a")],
+        "wallet STRING, terminal STRING, category STRING, amount STRING, updated_at STRING",
+    )
+    keyed = txns.withColumn("month", month_key(F.col("updated_at").try_cast("timestamp_ntz")))
+    keyed.write.partitionBy("month").parquet(path)
+    assert months_between(date(2024, 12, 31), date(2025, 2, 1), "m") == ["m_2024_12", "m_2025_01", "m_2025_02"]
+    assert previous_week(date(2025, 6, 2)).months("m") == ["m_2025_05", "m_2025_06"]
+    week = agents.in_period(spark.read.parquet(path), previous_week(date(2025, 6, 2)), "month")
+    plan = week._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [month" in plan and "2025_05" in plan and "2025_04" not in plan
+    assert week.count() == 1

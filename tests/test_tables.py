@@ -208,7 +208,6 @@ def test_replayed_batch_replaces_its_first_attempt(spark, tmp_path):
     def fail_once(batch):
         if not failed:
             failed.append(True)
-            batch.write.mode("overwrite").parquet(f"{out}/rows/batch_id=0")
             raise RuntimeError("lost")
         return batch
 
@@ -218,45 +217,65 @@ def test_replayed_batch_replaces_its_first_attempt(spark, tmp_path):
     assert loads.appended_rows(spark, f"{out}/rows").count() == 1
 
 
-def test_distinct_rows_across_batches(spark, tmp_path, rows):
+def test_keys_load_once_across_batches(spark, tmp_path, rows):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    events(spark, src, [("a", at(1), 1), ("b", at(1, 1), 2)])
-    events(spark, src, [("a", at(1, 2), 3), ("c", at(1, 3), 4)])
+    events(spark, src, [("a", at(1), 1), ("b", at(1, 1), 2), ("b", at(1, 1), 2)])
+    events(spark, src, [("a", at(1, 2), 1), ("c", at(1, 3), 4)])
     stream = loads.file_stream(spark, "parquet", src, SCHEMA, max_files=1)
-    run(loads.distinct_rows(stream, "k", "ts", "1 day"), out)
+    run(stream, out, key="k", partition_by=["n"])
     assert [r[0] for r in rows(loads.appended_rows(spark, f"{out}/rows"))] == ["a", "b", "c"]
 
 
-def test_daily_stream_equals_batch_and_drops_late_days(spark, tmp_path, rows):
-    from tillbook.operators.rollups import daily_activity
-
+def test_a_new_checkpoint_adds_to_a_used_target(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    schema = "wallet STRING, terminal STRING, category STRING, amount DECIMAL(18,2), updated_at TIMESTAMP_NTZ"
+    events(spark, src, [(str(i), at(1), i) for i in range(5)])
+    run(loads.file_stream(spark, "parquet", src, SCHEMA), out)
+    more = str(tmp_path / "more")
+    events(spark, more, [("x", at(2), 1), ("y", at(2), 2)])
+    loads.write_batches(
+        loads.file_stream(spark, "parquet", more, SCHEMA), f"{out}/rows", f"{out}/second"
+    ).awaitTermination()
+    assert loads.appended_rows(spark, f"{out}/rows").count() == 7
 
-    def arrive(*rows_):
+
+@pytest.mark.parametrize("name", ["daily", "latest", "once"])
+def test_streams_equal_batch_in_any_order_of_files(spark, tmp_path, rows, name):
+    """Four files in no order of time, one to a micro-batch, days apart."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = (
+        "_id INT, wallet STRING, terminal STRING, category STRING, terminal_id STRING, "
+        "amount DECIMAL(18,2), updated_at TIMESTAMP_NTZ, transaction_time TIMESTAMP_NTZ"
+    )
+    for days in ((20, 1), (3, 28), (1, 20), (9,)):
         spark.createDataFrame(
-            [("w", "t", "c", Decimal(n), ts) for n, ts in rows_], schema
+            [(d * 10 + n, "w", f"t{n}", "c", f"t{n}", Decimal(d), at(d, n), at(d, n)) for d in days for n in range(3)],
+            schema,
         ).coalesce(1).write.mode("append").parquet(src)
-
-    def drain():
-        stream = loads.file_stream(spark, "parquet", src, schema)
-        run(loads.daily_activity_stream(stream, "2 days"), out, output_mode="update")
-
-    arrive((1, at(1, 5)), (2, at(2)))
-    drain()
-    arrive((4, at(1, 6)), (8, at(10)))
-    drain()
-    keys = ["wallet", "terminal", "category", "day"]
-    live = loads.current_rows(spark, f"{out}/rows", keys)
-    batch = daily_activity(spark.read.parquet(src))
-    assert rows(live.select(*batch.columns)) == rows(batch)
-
-    arrive((16, at(2, 1)), (32, at(10, 1)))  # day 2 is more than two days behind day 10
-    drain()
-    values = {
-        r["day"].day: r["value"] for r in loads.current_rows(spark, f"{out}/rows", keys).collect()
-    }
-    assert values == {1: Decimal("5.00"), 2: Decimal("2.00"), 10: Decimal("40.00")}
+    stream = loads.file_stream(spark, "parquet", src, schema, max_files=1)
+    batch = spark.read.parquet(src)
+    if name == "daily":
+        run(stream, out, transform=loads.daily_activity)
+        want, got = loads.daily_activity(batch), loads.current_daily(spark, f"{out}/rows")
+    elif name == "latest":
+        run(stream, out, transform=loads.latest_activity)
+        want, got = loads.latest_activity(batch), loads.current_latest(spark, f"{out}/rows")
+    else:
+        run(stream, out, key="_id")
+        want, got = batch.dropDuplicates(["_id"]), loads.appended_rows(spark, f"{out}/rows")
+    assert len(list((tmp_path / "out" / "rows").glob("stream_id=*/batch_id=*"))) == 4
+    assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_a_replay_keeps_what_its_first_attempt_loaded(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events(spark, src, [("a", at(1), 1)])
+    stream = loads.file_stream(spark, "parquet", src, SCHEMA)
+    run(stream, out, key="k")
+    # As after a crash between the write and the commit: the batch runs again.
+    for commit in (tmp_path / "out" / "checkpoint" / "commits").glob("*"):
+        commit.unlink()
+    run(stream, out, key="k")
+    assert loads.appended_rows(spark, f"{out}/rows").count() == 1
 
 
 def test_last_activity_stream(spark, tmp_path, rows):
@@ -267,6 +286,6 @@ def test_last_activity_stream(spark, tmp_path, rows):
         F.col("k").alias("terminal_id"), F.col("ts").alias("transaction_time"),
         F.col("ts").alias("updated_at"),
     )
-    run(loads.last_activity_stream(stream), out, output_mode="update")
-    live = loads.current_rows(spark, f"{out}/rows", ["terminal_id"])
+    run(stream, out, transform=loads.latest_activity)
+    live = loads.current_latest(spark, f"{out}/rows")
     assert rows(live) == [("a", at(2), at(2)), ("b", at(3), at(3))]
