@@ -209,13 +209,13 @@ def near_duplicates(
         docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), width).alias("fp")),
         "fingerprints",
     )
-    return (
-        prints.join(fingerprint_components(prints, radius), "fp", "left")
-        .select(
-            F.col("id").alias(id_col),
-            F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-            "component_id",
-        )
+    # Stored, so that either side of the join is a plain shuffle: a fingerprint of many copies
+    # is then one that adaptive execution can split.
+    parts = stored(fingerprint_components(prints, radius), "fingerprint-components")
+    return prints.join(parts, "fp", "left").select(
+        F.col("id").alias(id_col),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
     )
 
 
@@ -252,7 +252,7 @@ def drop_near_duplicates(
         ),
         "fingerprints",
     )
-    parts = fingerprint_components(prints.select("id", "fp"), radius)
+    parts = stored(fingerprint_components(prints.select("id", "fp"), radius), "fingerprint-components")
     # A group is known by the least of its fingerprints' ids; groups without ids by the print.
     own = F.when(F.col("component_id").isNull(), F.col("fp"))
     rows = prints.groupBy("fp", "id", "__row").agg(F.count(F.lit(1)).alias("__n"))
