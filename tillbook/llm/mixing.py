@@ -26,8 +26,8 @@ class Mix:
     repeats: int = 3
     block: int = 64
     #: Words and documents of a shard, roughly: what one window sorts.
-    shard_words: int = 1 << 24
-    shard_docs: int = 1 << 16
+    shard_words: int = 1 << 20
+    shard_docs: int = 1 << 12
     seed: int = 11
 
 
