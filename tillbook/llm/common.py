@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.sinks import shared_folder
+from ..sources.sinks import ensure_local_root, shared_folder
 
 #: A word is a run of anything but ASCII white space; ``bytes.split()`` cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -74,11 +74,13 @@ def importable(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Let Python workers of this session import the library from where the driver has it.
 
     A cluster whose machines do not share that path needs the library installed or shipped
-    with ``--py-files``, like any other.
+    with ``--py-files``, like any other.  A session of one machine gets a folder for the
+    tables that operators store, unless it has one.
     """
 
     @wraps(query)
     def run(spark: SparkSession, *args) -> DataFrame:
+        ensure_local_root(spark)
         home = str(Path(__file__).resolve().parents[2])
         paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
         if home not in paths:
