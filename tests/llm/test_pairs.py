@@ -274,3 +274,10 @@ def test_contamination_of_nothing_and_by_nothing(spark, odd, nothing):
     assert clean.where("contaminated or n_hit > 0").count() == 0 and clean.count() == 12
     left = decontamination.drop_contaminated(odd, bench)
     assert left.columns == odd.columns and left.count() == 11
+
+
+def test_queries_with_sql_equal_it(spark, sf_dir):
+    from compare import compare, connect
+
+    for name, sql in queries.ORACLES.items():
+        assert compare(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), sql) == []

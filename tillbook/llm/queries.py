@@ -109,4 +109,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_BENCH_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    f"'abcdefghijklmnopqrstuvwxyz'), '{decontamination.WORD_CLASS}')"
+)
+
+#: SQL for the queries that it can express; tests hold the others against brute force.
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+WITH item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, {_BENCH_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[k:k + least(13, len(w)) - 1], ' ') AS win
+  FROM item_words, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(k) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+doc_words AS (SELECT doc_id, {_BENCH_WORDS} AS w FROM documents),
+places AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM doc_words, lengths, unnest(range(1, len(w) - n + 2)) AS t(k)),
+found AS (SELECT doc_id, n, k, item FROM places JOIN windows USING (n, win)),
+hits AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + n)) AS word FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed
+  FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
