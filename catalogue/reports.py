@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tillbook import plans
+from tillbook.operators.dedup import dedup
 from tillbook.operators.lookup import salted_lookup
 from tillbook.plans.loads import PURCHASE_FIELDS, SERVICE_FIELDS
 from tillbook.plans.settlement import FAILED_SHEET, LEFT_OUT, SKIPPED_FILES, SUCCESSFUL_SHEET
@@ -258,13 +259,16 @@ def report_roster_sheets(spark, sf_dir):
         ROSTER_SQL
         + f"""SELECT r.*, t.note AS note
               FROM roster r LEFT JOIN (
-                SELECT {sql.normalise('terminal_id')} AS terminal_id, note FROM roster_target) t
+                SELECT {sql.normalise('terminal_id')} AS terminal_id, min(note) AS note
+                FROM roster_target GROUP BY 1) t
                 ON r.terminal_id = t.terminal_id""",
     ),
 )
 def report_roster_sync(spark, sf_dir):
+    """A loaded roster has one row per terminal; the derived one is made so first."""
     new = roster(spark, sf_dir)
-    loaded = normalised(spark, sf_dir, "roster_target").withColumnsRenamed({"state_initials": "state"})
+    target = normalised(spark, sf_dir, "roster_target").withColumnsRenamed({"state_initials": "state"})
+    loaded = dedup(target, ["terminal_id"], ["note"])
     missing = {f.name: F.lit(None).cast(f.dataType) for f in new.schema.fields if f.name not in loaded.columns}
     return plans.sync_roster(loaded.withColumns(missing), new)
 
