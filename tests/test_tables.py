@@ -226,6 +226,16 @@ def test_keys_load_once_across_batches(spark, tmp_path, rows):
     assert [r[0] for r in rows(loads.appended_rows(spark, f"{out}/rows"))] == ["a", "b", "c"]
 
 
+def test_rows_without_a_key_are_all_loaded(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events(spark, src, [(None, at(1), 1), (None, at(1), 1), ("a", at(1), 1)])
+    events(spark, src, [(None, at(2), 2), ("a", at(1), 1)])
+    stream = loads.file_stream(spark, "parquet", src, SCHEMA, max_files=1)
+    run(stream, out, key="k")
+    loaded = [r["k"] for r in loads.appended_rows(spark, f"{out}/rows").collect()]
+    assert sorted(loaded, key=str) == [None, None, None, "a"]
+
+
 def test_a_new_checkpoint_adds_to_a_used_target(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     events(spark, src, [(str(i), at(1), i) for i in range(5)])

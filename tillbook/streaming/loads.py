@@ -75,7 +75,7 @@ def write_batches(
     """Write each micro-batch to a folder of its own under ``path``.
 
     With ``key`` a row is loaded once: repeats go within the batch, and rows whose key earlier
-    batches hold are left out.  ``partition_by`` then names columns that a key determines,
+    batches hold are left out; rows without a key are all loaded.  ``partition_by`` then names columns that a key determines,
     such as the quarter of its time: only partitions that the batch touches are read.
     """
 
@@ -107,9 +107,10 @@ def _new_rows(
     stream_id: str,
     batch_id: int,
 ) -> DataFrame:
-    rows = rows.dropDuplicates([key])
+    keyed = rows.where(F.col(key).isNotNull()).dropDuplicates([key])
+    keyless = rows.where(F.col(key).isNull())
     if loaded is None:
-        return rows
+        return keyed.unionByName(keyless)
     # A replay must not take its own first attempt for rows loaded before.
     own: Column = (F.col(STREAM) == stream_id) & (F.col(BATCH) == batch_id)
     loaded = loaded.where(~own)
@@ -119,7 +120,8 @@ def _new_rows(
         known = [v for v in touched if v is not None]
         wanted = F.col(column).isin(known) if known else F.lit(False)
         loaded = loaded.where(wanted | F.col(column).isNull() if None in touched else wanted)
-    return rows.join(loaded.select(key), key, "left_anti")
+    fresh = keyed.join(loaded.select(key), key, "left_anti").select(*rows.columns)
+    return fresh.unionByName(keyless)
 
 
 def _batches(spark: SparkSession, path: str) -> DataFrame | None:
