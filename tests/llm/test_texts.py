@@ -230,6 +230,19 @@ def test_copies_of_an_article_are_no_template(spark):
     assert all("Body & soul same bold text" in r["text"] for r in html_extract.extracted(pages).collect())
 
 
+@pytest.mark.parametrize("wrapper", ['div class="content no-sidebar"', 'div class="has-menu"', "form action=/x", 'a href="/page?id=comments"',
+                                     'div data-id="menu-3"', 'div title="a hidden gem"', 'div class="widget-body"', "div hidden"])
+@pytest.mark.parametrize("inner", ["<article><p>A story {i}</p></article>", "<div><p>A story {i}</p></div>"])
+def test_wrappers_of_the_text_are_kept(wrapper, inner):
+    page = f"<body><p class='ad-slot'>Buy</p><{wrapper}>{inner.format(i=7)}</{wrapper.split()[0]}><p class=comments>No</p></body>"
+    assert html_extract.main_text(html_extract.parse(page)) == "A story 7"
+
+
+@pytest.mark.parametrize("name", ["class=comment-list", "id='menu'", "ROLE=navigation", "hidden", "style='display: none'", "aria-hidden=true"])
+def test_noise_goes_by_attribute(name):
+    assert html_extract.main_text(html_extract.parse(f"<p>The long text of it</p><p title='x' {name}>No</p>")) == "The long text of it"
+
+
 def plain_matching(a, b):
     if not html_extract._alike(a, b):
         return 0

@@ -53,9 +53,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(
-    r"(class|id|role|hidden|style|aria-hidden)(?=[\s=/>]|\Z)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I
-)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _CLASS_WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -156,7 +154,11 @@ def _close_item(stack: list[Node], tag: str) -> None:
 
 
 def _attributes(tag: str, raw: str) -> tuple[str, bool]:
-    """Class and id words as one key for matching, and whether they mark noise."""
+    """Class and id words as one key for matching, and whether they mark noise.
+
+    A word marks noise by itself or as the head of a compound: ``comment-list`` does,
+    ``no-sidebar`` and ``has-menu`` do not.
+    """
     words: list[str] = []
     noise = False
     for match in _ATTRIBUTE.finditer(raw):
@@ -172,7 +174,8 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool]:
         elif name == "style":
             noise |= "display:none" in value.replace(" ", "")
     if tag not in ("html", "body", "article", "main"):
-        noise |= any(part in _NOISE for w in words for part in _CLASS_WORD.findall(w))
+        heads = (_CLASS_WORD.search(w) for w in words)
+        noise |= any(head[0] in _NOISE for head in heads if head)
     return " ".join(words), noise
 
 
@@ -286,6 +289,35 @@ def induce(pages: list[Node], parameters: Induction) -> None:
                 y.template = _own_text(y) == text
 
 
+def _spare(root: Node) -> None:
+    """Take no element for noise that holds the marked article, where no other one stands
+    outside noise, or most of the page's varying text."""
+    order, above = [], {id(root): root}
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        for child in node.children:
+            above[id(child)] = node
+            stack.append(child)
+    varying: dict[int, int] = defaultdict(int)
+    for node in reversed(order):
+        if not node.tag and not node.template:
+            varying[id(node)] = len(_own_text(node))
+        if node is not root:
+            varying[id(above[id(node)])] += varying[id(node)]
+    for node in order:
+        node.noise &= 2 * varying[id(node)] <= varying[id(root)] or not varying[id(root)]
+    if _article(root)[0] is not root:
+        return
+    marked = [n for n in order if n.tag in ("article", "main") and varying[id(n)]]
+    if marked:
+        node = max(marked, key=lambda n: varying[id(n)])
+        while node is not root:
+            node.noise = False
+            node = above[id(node)]
+
+
 def _article(root: Node) -> list[Node]:
     """The outermost article or main elements, or the whole page."""
     for tag in ("article", "main"):
@@ -337,6 +369,7 @@ def _blocks(root: Node, wrapped: bool = True) -> list[str]:
 
 def main_text(root: Node) -> str:
     """Text of the article; a template node in a marked article is the article's own."""
+    _spare(root)
     parts = _article(root)
     if parts[0] is not root:
         for part in parts:
