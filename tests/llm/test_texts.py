@@ -225,6 +225,31 @@ def test_constant_nodes_are_template_where_no_article_is_marked(spark):
         assert r["text"] == f"Story n{i}\nBody & soul n{i} bold text\nSecond n{i}"
 
 
+ARTICLE = """<html><body><main><article class="post" id="post-{i}"><h1>Story n{i}</h1><p>Body of it {i}</p>
+<div class="box">Read every story by mail</div><p>By the staff of the paper</p></article>
+<section><article class="teaser"><p>Other {i}</p></article><article class="reader"><p>Well said {i}</p></article></section></main></body></html>"""
+
+
+def test_constant_blocks_and_other_articles_go_from_marked_articles(spark):
+    rows = [(i, "http://h/x", ARTICLE.format(i=i)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html_extract.extracted(pages).collect():
+        assert r["text"] == f"Story n{r['page_id']}\nBody of it {r['page_id']}"
+
+
+def test_an_article_of_constant_text_alone_is_whole():
+    pages = [html_extract.parse(f"<p>{i}</p><article><p>All the same</p></article>") for i in range(9)]
+    for page in pages:
+        html_extract.shaped(page)
+    html_extract.induce(pages, html_extract.Induction())
+    assert {html_extract.main_text(p) for p in pages} == {"All the same"}
+
+
+def test_a_main_element_is_not_lost_to_a_comment():
+    page = "<main><p>The story, at its whole length</p><article><p>Nice</p></article></main>"
+    assert html_extract.main_text(html_extract.parse(page)).startswith("The story")
+
+
 def test_copies_of_an_article_are_no_template(spark):
     pages = spark.createDataFrame([(i, "http://h/x", PAGE.format(i="same")) for i in range(40)], "page_id long, url string, html string")
     assert all("Body & soul same bold text" in r["text"] for r in html_extract.extracted(pages).collect())

@@ -4,7 +4,7 @@ Pages of a host are dealt into groups of bounded size.  In each group the DOM tr
 with one page's tree by simple tree matching (Yang, 1991): nodes that keep the same text in
 nearly all pages are the host's template, the varying ones are slots.  The text of a page is
 that of its varying slots, less menus, notices and the like, which vary but are never content,
-and within the article where a page marks one.
+and within the article where a page marks one: of several, that with the most varying text.
 """
 
 from __future__ import annotations
@@ -56,6 +56,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _CLASS_WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_NUMBER = re.compile(r"\d+")
 
 
 @dataclass(frozen=True)
@@ -108,6 +109,9 @@ def parse(html: str) -> Node:
         elif tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
             _close_item(stack, tag)
         kind, noise = _attributes(tag, match[3]) if match[3] else ("", False)
+        if tag == "article":
+            # Posts often carry their number, which sets equal places of two pages apart.
+            kind = _NUMBER.sub("", kind)
         node = Node(tag, kind, noise or tag in _SKIPPED)
         stack[-1].children.append(node)
         if tag in _RAW:
@@ -318,19 +322,49 @@ def _spare(root: Node) -> None:
             node = above[id(node)]
 
 
+def _outermost(root: Node, tag: str) -> list[tuple[tuple[str, ...], Node]]:
+    """The outermost elements of a tag outside noise, each with its path of elements."""
+    found: list[tuple[tuple[str, ...], Node]] = []
+    stack: list[tuple[tuple, Node]] = [((), root)]
+    while stack:
+        path, node = stack.pop()
+        if node.tag == tag and not node.noise:
+            found.append((_flat(path, node), node))
+        elif node is root or not node.noise or node.tag in ("html", "body"):
+            stack += [((path, node), c) for c in reversed(node.children) if c.tag]
+    return found
+
+
+def _flat(path: tuple, node: Node) -> tuple[str, ...]:
+    """Elements from the root down, numbers in their classes and ids left out."""
+    out = []
+    while True:
+        out.append(f"{node.tag} {_NUMBER.sub('', node.kind)}")
+        if not path:
+            return tuple(out)
+        path, node = path
+
+
 def _article(root: Node) -> list[Node]:
-    """The outermost article or main elements, or the whole page."""
-    for tag in ("article", "main"):
-        found, stack = [], [root]
-        while stack:
-            node = stack.pop()
-            if node.tag == tag and not node.noise:
-                found.append(node)
-            elif node is root or not node.noise or node.tag in ("html", "body"):
-                stack += reversed(node.children)
-        if found:
-            return found
-    return [root]
+    """The marked article, or the whole page.
+
+    Of several outermost articles it is the one with the most varying text, with those of the
+    same place and class; a main element with more text outside its articles than that comes
+    before them.
+    """
+    marked = {tag: _outermost(root, tag) for tag in ("article", "main")}
+    length = {id(n): sum(map(len, _blocks(n))) for nodes in marked.values() for _, n in nodes}
+    all_ = sum(length[id(n)] for _, n in marked["article"])
+    chosen: list[Node] = []
+    for tag, nodes in marked.items():
+        if not nodes:
+            continue
+        best, _ = max(nodes, key=lambda found: length[id(found[1])])
+        same = [n for path, n in nodes if path == best]
+        size = sum(length[id(n)] for n in same)
+        if not chosen or size - all_ > sum(length[id(n)] for n in chosen):
+            chosen = same
+    return chosen or [root]
 
 
 def _blocks(root: Node, wrapped: bool = True) -> list[str]:
@@ -368,10 +402,10 @@ def _blocks(root: Node, wrapped: bool = True) -> list[str]:
 
 
 def main_text(root: Node) -> str:
-    """Text of the article; a template node in a marked article is the article's own."""
+    """Text of the article without template; all of the article where nothing else is in it."""
     _spare(root)
     parts = _article(root)
-    if parts[0] is not root:
+    if parts[0] is not root and not any(map(_blocks, parts)):
         for part in parts:
             stack = [part]
             while stack:
