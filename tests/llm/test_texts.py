@@ -268,6 +268,18 @@ def test_noise_goes_by_attribute(name):
     assert html_extract.main_text(html_extract.parse(f"<p>The long text of it</p><p title='x' {name}>No</p>")) == "The long text of it"
 
 
+def test_copies_do_not_crowd_out_the_template(spark):
+    """400 copies of a page among 30 others, some of them twice."""
+    numbers = [0] * 400 + [i for i in range(1, 31) for _ in range(1 + i % 2)]
+    rows = [(k, f"http://h/{k % 7}", PAGE.format(i=f"n{i}")) for k, i in enumerate(numbers)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = html_extract.extracted(pages).collect()
+    assert sorted((r["page_id"], r["url"]) for r in out) == [r[:2] for r in rows]
+    for r in out:
+        i = numbers[r["page_id"]]
+        assert r["text"] == f"Story n{i}\nBody & soul n{i} bold text\nSecond n{i}"
+
+
 def plain_matching(a, b):
     if not html_extract._alike(a, b):
         return 0
@@ -288,6 +300,42 @@ def test_tree_matching_is_the_largest(left, right):
     assert size == len(pairs) == plain_matching(a, b)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "<b>x</b>", "<i>", "<u><b></b></u>", "<hr>"]), max_size=14),
+       st.lists(st.sampled_from(["<p>", "<b>x</b>", "<i>", "<u><i></i></u>", "<hr>"]), max_size=14))
+def test_tree_matching_by_rows_alone_is_the_largest(left, right):
+    a, b = html_extract.parse("".join(left)), html_extract.parse("".join(right))
+    html_extract.shaped(a), html_extract.shaped(b)
+    size, pairs = html_extract.matching(a, b, html_extract.Induction(cells=1))
+    assert size == len(pairs) == len({id(y) for _, y in pairs}) == plain_matching(a, b)
+    assert all(html_extract._alike(x, y) for x, y in pairs)
+
+
+def matched(a, b):
+    a, b = html_extract.parse(a), html_extract.parse(b)
+    html_extract.shaped(a), html_extract.shaped(b)
+    return html_extract.matching(a, b, html_extract.Induction())[0]
+
+
+def test_long_and_deep_trees_are_matched_whole():
+    unlike = [f"<p class=c{'ab'[i % 3 == 0]}>" + "<b></b>" * (i * 7 % 11 + 1) + "</p>" for i in range(1500)]
+    size = matched("".join(unlike), "<div></div>" + "".join(unlike))
+    assert matched("<hr>" + "".join(unlike) + "<hr><br>", "<div></div>" + "".join(unlike) + "<i></i>") >= size
+    deep = "<div>" * 800 + "<p>x</p>"
+    assert matched(deep + "<i>", "<u></u>" + deep + "<b>") == 1 + 800 + 2
+
+
+@pytest.mark.parametrize("place", [0, 5])
+def test_a_page_of_another_kind_does_not_hide_the_template(place):
+    pages = [f"<div>Read our paper</div><p>Story {i}</p>" for i in range(20)]
+    pages.insert(place, "<h1>Not found</h1>")
+    trees = [html_extract.parse(p) for p in pages]
+    for tree in trees:
+        html_extract.shaped(tree)
+    html_extract.induce(trees, html_extract.Induction())
+    assert [html_extract.main_text(t) for t in trees if len(t.children) > 1] == [f"Story {i}" for i in range(20)]
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     rows = [(1, None, None), (1, None, None), (2, "http://a/1", ""), (None, "no url", "<p>x <i>y"), (3, "http://a/1", deep),

@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host are dealt into groups of bounded size.  In each group the DOM trees are aligned
-with one page's tree by simple tree matching (Yang, 1991): nodes that keep the same text in
+The different pages of a host are dealt into groups of bounded size.  In each group the DOM trees
+are aligned with those of several of its pages by simple tree matching (Yang, 1991): nodes that keep the same text in
 nearly all pages are the host's template, the varying ones are slots.  The text of a page is
 that of its varying slots, less menus, notices and the like, which vary but are never content,
 and within the article where a page marks one: of several, that with the most varying text.
@@ -9,12 +9,14 @@ and within the article where a page marks one: of several, that with the most va
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +57,6 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _CLASS_WORD = re.compile(r"[a-z]+")
-_SPACE = re.compile(r"\s+")
 _NUMBER = re.compile(r"\d+")
 
 
@@ -63,14 +64,14 @@ _NUMBER = re.compile(r"\d+")
 class Induction:
     """Parameters of the induction; the defaults are those of the registered query."""
 
-    #: Pages of a host in one group, on average.
+    #: Different pages of a host in one group, on average, and rows of a page that stay apart.
     pages: int = 24
+    copies: int = 4
     #: Least number of different pages, and least share of them, to call a text constant.
     least: int = 4
     share: float = 0.8
-    #: Entries of the table that matches two child lists, and depth of the trees matched.
-    cells: int = 40_000
-    depth: int = 100
+    #: Entries of the table that matches two child lists; larger ones are never held whole.
+    cells: int = 1 << 20
 
 
 @dataclass
@@ -82,7 +83,9 @@ class Node:
     #: Text nodes have no tag.
     text: str = ""
     template: bool = False
+    #: Hash of the subtree's elements and the number of its nodes.
     shape: int = 0
+    size: int = 1
 
 
 def parse(html: str) -> Node:
@@ -190,6 +193,7 @@ def shaped(root: Node) -> None:
         node, done = work.pop()
         if done:
             node.shape = hash((node.tag, node.kind, tuple(c.shape for c in node.children)))
+            node.size = 1 + sum(c.size for c in node.children)
         else:
             work.append((node, True))
             work += [(c, False) for c in node.children]
@@ -199,23 +203,40 @@ def _alike(a: Node, b: Node) -> bool:
     return a.tag == b.tag and a.kind == b.kind
 
 
+Sizes = dict[tuple[int, int], int]
+
+
 def matching(
-    a: Node, b: Node, limits: Induction, depth: int = 0
+    a: Node, b: Node, limits: Induction, sizes: Sizes | None = None
 ) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: the size of the largest matching that keeps order and ancestry,
     and its pairs of nodes.
 
-    Children of equal shape at either end of two lists are paired off first; what remains is
-    matched by dynamic programming.  Lists whose table would exceed ``limits.cells`` are
-    matched place by place, and trees deeper than ``limits.depth`` no deeper: their nodes are
-    then, if anything, taken as varying.
+    Trees of equal shape match whole, children of equal shape at either end of two lists are
+    paired off first, and the size for two other shapes is computed once and kept in ``sizes``.
     """
+    sizes = {} if sizes is None else sizes
     if not _alike(a, b):
         return 0, []
-    pairs = [(a, b)]
-    if depth == limits.depth or not a.children or not b.children:
-        return 1, pairs
-    left, right = a.children, b.children
+    _measured(a, b, sizes)
+    pairs: list[tuple[Node, Node]] = []
+    work = [(a, b)]
+    while work:
+        a, b = work.pop()
+        pairs.append((a, b))
+        if a.shape == b.shape:
+            work += zip(a.children, b.children)
+            continue
+        head, tail = _ends(a.children, b.children)
+        work += zip(a.children[:head], b.children[:head])
+        work += zip(a.children[len(a.children) - tail :], b.children[len(b.children) - tail :])
+        left, right = _between(a, b)
+        work += _paired(left, right, limits.cells, sizes)
+    return len(pairs), pairs
+
+
+def _ends(left: list[Node], right: list[Node]) -> tuple[int, int]:
+    """How many children of two lists have equal shapes from the first on, and to the last."""
     shorter = min(len(left), len(right))
     head = 0
     while head < shorter and left[head].shape == right[head].shape:
@@ -223,74 +244,165 @@ def matching(
     tail = 0
     while tail < shorter - head and left[-1 - tail].shape == right[-1 - tail].shape:
         tail += 1
-    straight = [*zip(left[:head], right[:head])]
-    straight += zip(left[len(left) - tail :], right[len(right) - tail :])
-    left, right = left[head : len(left) - tail], right[head : len(right) - tail]
-    if len(left) * len(right) > limits.cells:
-        straight += zip(left, right)
-        left = right = []
-    size = 1
-    for x, y in straight:
-        n, inner = matching(x, y, limits, depth + 1)
-        size += n
-        pairs += inner
-    found = {}
-    table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    for i, x in enumerate(left, 1):
-        row, above = table[i], table[i - 1]
-        for j, y in enumerate(right, 1):
-            best = max(row[j - 1], above[j])
-            if _alike(x, y):
-                found[i, j] = matching(x, y, limits, depth + 1)
-                best = max(best, above[j - 1] + found[i, j][0])
-            row[j] = best
-    i, j = len(left), len(right)
-    size += table[i][j]
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            pairs += found[i, j][1]
-            i, j = i - 1, j - 1
-    return size, pairs
+    return head, tail
+
+
+def _between(a: Node, b: Node) -> tuple[list[Node], list[Node]]:
+    head, tail = _ends(a.children, b.children)
+    return a.children[head : len(a.children) - tail], b.children[head : len(b.children) - tail]
+
+
+def _measured(a: Node, b: Node, sizes: Sizes) -> None:
+    """Put the sizes for two trees, and for the pairs below that they rest on, into ``sizes``."""
+    work = [(a, b)]
+    while work:
+        a, b = work[-1]
+        if (a.shape, b.shape) in sizes or a.shape == b.shape:
+            work.pop()
+            continue
+        left, right = _between(a, b)
+        kinds = {y.shape: y for y in right}.values()
+        missing = [
+            (x, y)
+            for x in {x.shape: x for x in left}.values()
+            for y in kinds
+            if x.shape != y.shape and (x.shape, y.shape) not in sizes and _alike(x, y)
+        ]
+        if missing:
+            work += missing
+            continue
+        work.pop()
+        head, tail = _ends(a.children, b.children)
+        ends = a.children[:head] + a.children[len(a.children) - tail :]
+        inner = int(_last_row(left, right, sizes)[-1]) if left and right else 0
+        sizes[a.shape, b.shape] = 1 + sum(x.size for x in ends) + inner
+
+
+def _gain(x: Node, y: Node, sizes: Sizes) -> int:
+    if x.shape == y.shape:
+        return x.size
+    return sizes[x.shape, y.shape] if _alike(x, y) else 0
+
+
+def _rows(left: list[Node], right: list[Node], sizes: Sizes) -> Iterator[np.ndarray]:
+    """Rows of the table that matches two lists, after each node of the left one."""
+    kinds = {y.shape: y for y in right}
+    number = {shape: k for k, shape in enumerate(kinds)}
+    place = np.fromiter((number[y.shape] for y in right), np.int64, len(right))
+    gains: dict[int, np.ndarray] = {}
+    row = np.zeros(len(right) + 1, np.int64)
+    for x in left:
+        if x.shape not in gains:
+            each = np.fromiter((_gain(x, y, sizes) for y in kinds.values()), np.int64, len(kinds))
+            gains[x.shape] = each[place]
+        best = row.copy()
+        np.maximum(row[1:], row[:-1] + gains[x.shape], out=best[1:])
+        row = np.maximum.accumulate(best)
+        yield row
+
+
+def _last_row(left: list[Node], right: list[Node], sizes: Sizes) -> np.ndarray:
+    row = np.zeros(len(right) + 1, np.int64)
+    for row in _rows(left, right, sizes):
+        pass
+    return row
+
+
+def _paired(
+    left: list[Node], right: list[Node], cells: int, sizes: Sizes
+) -> list[tuple[Node, Node]]:
+    """Pairs of the best matching of two lists.
+
+    A table of more than ``cells`` entries is cut by Hirschberg's method, which halves the left
+    list and finds where the best matching cuts the right one, from rows alone.
+    """
+    pairs: list[tuple[Node, Node]] = []
+    work = [(left, right)]
+    while work:
+        left, right = work.pop()
+        if not left or not right:
+            continue
+        if len(left) > 1 and len(left) * len(right) > cells:
+            half = len(left) // 2
+            upper = _last_row(left[:half], right, sizes)
+            lower = _last_row(left[half:][::-1], right[::-1], sizes)[::-1]
+            cut = int((upper + lower).argmax())
+            work += [(left[:half], right[:cut]), (left[half:], right[cut:])]
+            continue
+        table = [np.zeros(len(right) + 1, np.int64), *_rows(left, right, sizes)]
+        i, j = len(left), len(right)
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((left[i], right[j]))
+    return pairs
 
 
 def _own_text(node: Node) -> str:
-    return _SPACE.sub(" ", node.text).strip()
+    return " ".join(node.text.split())
+
+
+def _texts(root: Node) -> set[str]:
+    found, stack = set(), [root]
+    while stack:
+        node = stack.pop()
+        stack += node.children
+        if not node.tag:
+            found.add(_own_text(node))
+    return found - {""}
 
 
 def induce(pages: list[Node], parameters: Induction) -> None:
     """Mark the text nodes of each page that belong to the template of the group.
 
-    Every page is aligned with the first one (its base).  A text node of that one is constant if it
-    keeps its text in nearly all of the pages; equal pages count once, so that copies of an
-    article do not make it a template.
+    A text node is constant if it keeps its text in nearly all of the pages; equal pages count
+    once, so that copies of an article do not make it a template.  Every page is aligned with
+    as many different ones (the bases) as a constant text can be missing in, and one more: it
+    is in one of them, whichever pages deviate.  A base without a text that so many pages
+    hold somewhere is passed over.
     """
     if len(pages) < parameters.least:
         return
-    base = pages[0]
-    aligned: dict[int, list[tuple[int, Node]]] = defaultdict(list)
-    distinct: dict[str, int] = {}
+    numbers: dict[str, int] = {}
+    bases: list[Node] = []
+    numbered = []
     for page in pages:
         whole = "\n".join(_blocks(page, False))
-        number = distinct.setdefault(whole, len(distinct))
-        for x, y in matching(base, page, parameters)[1]:
-            if not x.tag:
-                aligned[id(x)].append((number, y))
-    if len(distinct) < parameters.least:
+        if whole not in numbers:
+            bases.append(page)
+        numbered.append((numbers.setdefault(whole, len(numbers)), page))
+    needed = max(parameters.least, math.ceil(parameters.share * len(numbers)))
+    if len(numbers) < needed:
         return
-    stack = [base]
-    while stack:
-        node = stack.pop()
-        stack += node.children
-        if node.tag or not (text := _own_text(node)):
+    bases = bases[: len(numbers) - needed + 1]
+    held: dict[str, set[int]] = defaultdict(set)
+    for number, page in numbered:
+        for text in _texts(page):
+            held[text].add(number)
+    common = {text for text, some in held.items() if len(some) >= needed}
+    sizes: Sizes = {}
+    for base in bases:
+        if not common.intersection(_texts(base)):
             continue
-        same = {number for number, y in aligned[id(node)] if _own_text(y) == text}
-        if len(same) >= parameters.least and len(same) >= parameters.share * len(distinct):
-            for _, y in aligned[id(node)]:
-                y.template = _own_text(y) == text
+        aligned: dict[int, list[tuple[int, Node]]] = defaultdict(list)
+        texts: dict[int, str] = {}
+        for number, page in numbered:
+            for x, y in matching(base, page, parameters, sizes)[1]:
+                if x.tag:
+                    continue
+                if id(x) not in texts:
+                    texts[id(x)] = _own_text(x)
+                text = texts[id(x)]
+                if text in common and (x.text == y.text or text == _own_text(y)):
+                    aligned[id(x)].append((number, y))
+        for same in aligned.values():
+            if len({number for number, _ in same}) >= needed:
+                for _, y in same:
+                    y.template = True
 
 
 def _spare(root: Node) -> None:
@@ -312,7 +424,7 @@ def _spare(root: Node) -> None:
             varying[id(above[id(node)])] += varying[id(node)]
     for node in order:
         node.noise &= 2 * varying[id(node)] <= varying[id(root)] or not varying[id(root)]
-    if _article(root)[0] is not root:
+    if any(_outermost(root, tag) for tag in ("article", "main")):
         return
     marked = [n for n in order if n.tag in ("article", "main") and varying[id(n)]]
     if marked:
@@ -353,6 +465,8 @@ def _article(root: Node) -> list[Node]:
     before them.
     """
     marked = {tag: _outermost(root, tag) for tag in ("article", "main")}
+    if sum(map(len, marked.values())) == 1:
+        return [n for nodes in marked.values() for _, n in nodes]
     length = {id(n): sum(map(len, _blocks(n))) for nodes in marked.values() for _, n in nodes}
     all_ = sum(length[id(n)] for _, n in marked["article"])
     chosen: list[Node] = []
@@ -377,7 +491,7 @@ def _blocks(root: Node, wrapped: bool = True) -> list[str]:
     open_: list[Node] = []
 
     def flush() -> None:
-        text = _SPACE.sub(" ", "".join(n.text for n in open_)).strip()
+        text = " ".join("".join([n.text for n in open_]).split())
         if text and not (wrapped and all(n.template or not n.text.strip() for n in open_)):
             out.append(text)
         open_.clear()
@@ -431,37 +545,63 @@ def extracted(
 ) -> DataFrame:
     """One row per page: id, url, ``text`` and ``n_chars``.
 
-    Pages of a host are dealt by a hash into groups of about ``parameters.pages``, so a hot
-    host is many groups and a page's text does not depend on how Spark cuts its partitions.
-    Pages without a host are a host.  A null html gives an empty text; repeated rows stay.
+    The different pages of a host are dealt by a hash of their html into groups of about
+    ``parameters.pages``, so a hot host is many groups, copies do not crowd out the pages that
+    tell its template, and a page's text does not depend on how Spark cuts its partitions.  Of
+    a page with more than ``parameters.copies`` copies one is worked on and the others take
+    its text.  Pages without a host are a host.  A null html gives an empty text; repeated
+    rows stay.
     """
     types = dict(pages.dtypes)
     rows = pages.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
-        host(url_col).alias("host"), F.xxhash64(id_col, url_col, html_col).alias("draw"),
+        host(url_col).alias("host"), F.coalesce(F.md5(F.col(html_col)), F.lit("")).alias("page"),
     )
+    distinct = stored(rows.groupBy("host", "page").agg(F.count(F.lit(1)).alias("n")), "html-pages")
     sizes = stored(
-        rows.groupBy("host").agg(
-            F.greatest(F.ceil(F.count(F.lit(1)) / parameters.pages), F.lit(1)).alias("groups")
-        ),
+        distinct.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / parameters.pages).alias("groups")),
         "html-hosts",
     )
+    copied = stored(
+        distinct.where(F.col("n") > parameters.copies).select("host", "page"), "html-copied"
+    )
 
     def extract(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("draw", kind="stable")
-        trees = [parse(h) if h else Node("#root") for h in group["html"]]
-        for tree in trees:
+        group = group.sort_values("page", kind="stable")
+        # Rows of the same page share its tree.
+        trees = {page: parse(h) if h else Node("#root") for page, h in zip(group["page"], group["html"])}
+        for tree in trees.values():
             shaped(tree)
-        induce([t for t in trees if t.children], parameters)
-        texts = [main_text(t) for t in trees]
-        return pd.DataFrame({"id": group["id"], "url": group["url"], "text": texts})
-
-    dealt = rows.join(sizes, "host").withColumn("part", F.pmod("draw", "groups"))
-    return (
-        dealt.groupBy("host", "part")
-        .applyInPandas(extract, f"id {types[id_col]}, url string, text string")
-        .select(
-            F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
-            F.length("text").cast("long").alias("n_chars"),
+        induce([t for t in trees.values() if t.children], parameters)
+        texts = {page: main_text(t) for page, t in trees.items()}
+        return pd.DataFrame(
+            {"id": group["id"], "url": group["url"], "host": group["host"], "page": group["page"],
+             "text": group["page"].map(texts)}
+        )
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("page"), "groups")
+        return (
+            some.join(sizes, "host")
+            .withColumn("part", part)
+            .groupBy("host", "part")
+            .applyInPandas(extract, f"id {types[id_col]}, url string, host string, page string, text string")
         )
+
+    if copied.isEmpty():
+        out = texts_of(rows)
+    else:
+        key = ["host", "page"]
+        many = rows.join(copied, key, "left_semi")
+        one = many.groupBy(*key).agg(F.first("html").alias("html")).select(
+            F.lit(None).cast(types[id_col]).alias("id"), F.lit(None).cast("string").alias("url"), "html", *key
+        )
+        some = rows.join(copied, key, "left_anti").select("id", "url", "html", *key)
+        found = stored(texts_of(some.unionByName(one)), "html-texts")
+        single = found.join(copied, key, "left_anti")
+        shared = found.join(copied, key, "left_semi").select(*key, "text")
+        out = single.unionByName(many.select("id", "url", *key).join(shared, key).select(*single.columns))
+    return out.select(
+        F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
+        F.length("text").cast("long").alias("n_chars"),
     )
