@@ -24,9 +24,8 @@ class Limits:
     shortest: int = 5
     #: Greatest share of words in repeated substrings, in percent.
     covered: int = 30
-    #: Longest repeated substring, in words, and its least share of the text, in percent.
+    #: Longest repeated substring, in words, whatever the length of the text.
     longest: int = 50
-    longest_share: int = 20
 
 
 def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -163,8 +162,8 @@ def quality(
     """One row per document: id, the measures, ``base_failed`` and ``kept``.
 
     Kept are texts that pass the base rules and of which repeated substrings cover at most
-    ``limits.covered`` percent of the words, the longest being short or a small share of the
-    text.  A null text has no words and fails.  Repeated rows stay.
+    ``limits.covered`` percent of the words, the longest having at most ``limits.longest``
+    words.  A null text has no words and fails.  Repeated rows stay.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "longest_repeat"]
@@ -187,9 +186,7 @@ def quality(
         measured, f"id {id_type}, " + ", ".join(f"{n} bigint" for n in names)
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    long = (F.col("longest_repeat") > limits.longest) & (
-        100 * F.col("longest_repeat") > limits.longest_share * F.col("n_words")
-    )
+    long = F.col("longest_repeat") > limits.longest
     much = 100 * F.col("n_covered") > limits.covered * F.col("n_words")
     return rows.select(
         F.col("id").alias(id_col), *names, failed.alias("base_failed"),
