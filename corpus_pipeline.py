@@ -38,7 +38,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @importable
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write token segments; per document what the files hold."""
-    return token_output.token_output(docs, tokenizer_path())
+    return token_output.token_output(docs, tokenizer_path(), special_as_text=False)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -63,7 +63,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output.token_output(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    docs = read_table(spark, sf_dir, "documents")
+    return token_output.token_output(docs, tokenizer_path(), special_as_text=False)
 
 
 def op8_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -187,15 +187,18 @@ class Encoder:
     pre-tokenizer cuts plain words, with punctuation after them, in a known way: these go
     straight to the tokenizer's BPE model.  All other pieces are encoded in full, many at a
     time, held apart by the end-of-text token.
+
+    The strings of special tokens in a text are these tokens, as the tokenizer file has it, or
+    ordinary text with ``special_as_text``.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.plain = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text in a document.
-        self.plain.encode_special_tokens = True
+        if special_as_text:
+            self.plain.encode_special_tokens = True
         special = self.tokenizer.get_added_tokens_decoder()
         self.between_id, self.between = next((i, t.content) for i, t in special.items() if t.special)
         self.specials = [t.content for t in special.values()]
@@ -309,18 +312,25 @@ def pieces_of(text: str) -> list[str]:
     return _CUT.split(text)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = True) -> Encoder:
     """One encoder a worker process, which outlives tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    key = path, special_as_text
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 def write_segments(
-    docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    tokenizer: str,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    special_as_text: bool = True,
 ) -> None:
     """Tokenize and write segments under ``path`` in ascending order of the id.
 
@@ -340,7 +350,7 @@ def write_segments(
     )
 
     def segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, special_as_text)
         end = np.array([END_ID], "<u4").tobytes()
         ids: list[object] = []
         data: list[bytes] = []
@@ -406,10 +416,17 @@ def read_segments(spark, path: str, id_type: str = "bigint", id_col: str = "doc_
 
 
 def token_output(
-    docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Write the segments to a fresh shared folder and return what they hold, read back."""
     spark = docs.sparkSession
     path = shared_folder(spark, "token-segments")
-    write_segments(docs, path, tokenizer, id_col=id_col, text_col=text_col)
+    write_segments(
+        docs, path, tokenizer, id_col=id_col, text_col=text_col, special_as_text=special_as_text
+    )
     return read_segments(spark, path, docs.schema[id_col].dataType.simpleString(), id_col)
