@@ -52,20 +52,23 @@ def merge_sync(
     *,
     source_unique: bool = False,
     target_unique: bool = False,
+    one_join: bool = False,
 ) -> DataFrame:
     """Upsert every column, then delete the rows whose key the source lacks.
 
     The delete also takes rows without a key, freshly inserted ones included.
     ``target_unique`` says that a key is one target row: the merge is then a single join with
     the source planned once, and a duplicate target key fails it.  Without it a matched key
-    keeps all of its target rows, and adaptive execution can split a hot one.
+    keeps all of its target rows, and adaptive execution can split a hot one.  ``one_join``
+    keeps them too in a single join, in which a hot target key is not split.
     """
     if target is None:
         return source
-    if target_unique:
+    if target_unique or one_join:
         _require_columns(target, source)
-        merged = _joined_once(target, source, key)
-        merged = merged.unionByName(duplicate_guard(target, key, target))
+        merged = _joined_once(target, source, key, target_unique)
+        if target_unique:
+            merged = merged.unionByName(duplicate_guard(target, key, target))
         return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
     updated = [c for c in source.columns if c != key]
     merged = _overwritten(target, source, key, updated, keep_unmatched=False).unionByName(
@@ -74,11 +77,13 @@ def merge_sync(
     return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
 
 
-def _joined_once(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Keyed source rows with what only the target knows of them."""
+def _joined_once(
+    target: DataFrame, source: DataFrame, key: str, target_unique: bool
+) -> DataFrame:
+    """Keyed source rows, once for each target row, with what only the target knows of them."""
     own = [c for c in target.columns if c not in source.columns]
     keyed = source.where(F.col(key).isNotNull())
-    if not own:
+    if target_unique and not own:
         return keyed.select(*target.columns)
     known = target.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), *own)
     return keyed.join(known, F.col(key) == F.col("__key"), "left").select(*target.columns)

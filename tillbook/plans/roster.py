@@ -74,6 +74,6 @@ def terminal_roster(
 def sync_roster(target: DataFrame | None, roster: DataFrame) -> DataFrame:
     """The roster table after a load: replaced at first, then kept in step.
 
-    Either side has one row per terminal; a loaded table that has not fails the merge.
+    The roster has one row per terminal; of a terminal with several loaded rows all stay.
     """
-    return merge_sync(target, roster, KEY, source_unique=True, target_unique=True)
+    return merge_sync(target, roster, KEY, source_unique=True, one_join=True)
