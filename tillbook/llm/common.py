@@ -23,6 +23,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that ``df`` lacks: the stems, with underscores before them as needed."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in stems:
+        while name.lower() in taken:
+            name = f"_{name}"
+        names.append(name)
+    return names
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    fill_middle,
     html_extract,
     language,
     lm_scoring,
+    merkle,
     mixing,
     near_dedup,
     repetition,
     secret_scan,
+    sharding,
     token_output,
     toxicity,
 )
-from .common import importable, read_table
+from .common import importable, read_table, remainder
+from .sql import FILL_IN_MIDDLE, MERKLE_MANIFEST
 
 
 def tokenizer_path() -> str:
@@ -94,6 +98,41 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(read_table(spark, sf_dir, "pages"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    fields = [lowered if c == "text" else F.col(c) for c in merkle.FIELDS]
+    tampered = F.when(remainder("doc_id", 3) == 0, merkle.leaf_digest(fields))
+    proven = merkle.proofs(merkle.manifest(docs, extra={"tampered": tampered}))
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return proven.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        merkle.siblings_digest(F.col("proof")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.sharded(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        sharding.record_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: importable(f)
     for f in (
@@ -107,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repetition_quality,
         op9_secret_scan,
         op10_html_extraction,
+        op11_fill_in_middle,
+        op12_merkle_manifest,
+        op13_external_shuffle,
     )
 }
 
@@ -117,6 +159,8 @@ _BENCH_WORDS = (
 
 #: SQL for the queries that it can express; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
     "op3_benchmark_decontamination": f"""
 WITH item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, {_BENCH_WORDS} AS w FROM benchmark),
 windows AS (
