@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tillbook.functions.money import parse_amount
-from tillbook.functions.periods import quarter_span_key
+from tillbook.functions.periods import day_of, quarter_span_key
 from tillbook.operators.incremental import (
     high_watermark,
     rows_after,
@@ -26,6 +26,7 @@ from tillbook.sources.sinks import (
     write_report,
     write_version,
 )
+from tillbook.streaming.keyed import Index, keyed_rows, write_keyed
 from tillbook.streaming.loads import (
     appended_rows,
     current_daily,
@@ -35,6 +36,7 @@ from tillbook.streaming.loads import (
     latest_activity,
     write_batches,
 )
+from tillbook.streaming.windows import activity_windows, daily_windows
 
 from . import sql
 from .inputs import EVENTS_SCHEMA, ORDERS_SCHEMA, cleaned, derive, load, with_inputs
@@ -236,38 +238,94 @@ def stream_incremental(spark, sf_dir):
     return appended_rows(spark, rows).drop("target")
 
 
-@register(
-    "stream_last_activity",
-    with_inputs(
-        "journal",
-        f"""SELECT {sql.clean('terminalId', 9)} AS terminal_id,
-                   max(transactionTime) AS last_transaction_time, max(updatedAt) AS last_connect_date
-            FROM journal WHERE transactionType = 'Purchase' GROUP BY 1""",
-    ),
+LAST_ACTIVITY_SQL = with_inputs(
+    "journal",
+    f"""SELECT {sql.clean('terminalId', 9)} AS terminal_id,
+               max(transactionTime) AS last_transaction_time, max(updatedAt) AS last_connect_date
+        FROM journal WHERE transactionType = 'Purchase' GROUP BY 1""",
 )
+
+
+@register("stream_last_activity", LAST_ACTIVITY_SQL)
 def stream_last_activity(spark, sf_dir):
     activity = purchase_activity(journal_stream(spark, sf_dir))
     return current_latest(spark, drain(spark, activity, "stream-activity", transform=latest_activity))
 
 
-@register(
-    "stream_daily_activity",
-    with_inputs(
-        "service_txn",
-        f"""SELECT wallet, terminal, category, CAST(updated_at AS DATE) AS day, count(*) AS volume,
-                   CAST(sum({sql.amount('amount')}) AS DECIMAL(38,2)) AS value,
-                   max(updated_at) AS updated_at
-            FROM service_txn GROUP BY wallet, terminal, category, CAST(updated_at AS DATE)""",
-    ),
+DAILY_ACTIVITY_SQL = with_inputs(
+    "service_txn",
+    f"""SELECT wallet, terminal, category, CAST(updated_at AS DATE) AS day, count(*) AS volume,
+               CAST(sum({sql.amount('amount')}) AS DECIMAL(38,2)) AS value,
+               max(updated_at) AS updated_at
+        FROM service_txn GROUP BY wallet, terminal, category, CAST(updated_at AS DATE)""",
 )
-def stream_daily_activity(spark, sf_dir):
+
+
+def txn_stream(spark, sf_dir):
     orders = table_stream(spark, sf_dir, "orders", ORDERS_SCHEMA)
-    txns = derive(spark, "service_txn", orders=orders).withColumn(
+    return derive(spark, "service_txn", orders=orders).withColumn(
         "amount", parse_amount(F.col("amount"))
     )
+
+
+@register("stream_daily_activity", DAILY_ACTIVITY_SQL)
+def stream_daily_activity(spark, sf_dir):
+    txns = txn_stream(spark, sf_dir)
     return current_daily(spark, drain(spark, txns, "stream-daily", transform=daily_activity))
 
 
+# Streams with state
+
+
+def drain_windows(spark, windows, stream, purpose):
+    path = shared_folder(spark, purpose)
+    place = f"{path}/rows", f"{path}/checkpoint"
+    windows.write(stream, *place).awaitTermination()
+    return place
+
+
+@register("stream_daily_windows", DAILY_ACTIVITY_SQL)
+def stream_daily_windows(spark, sf_dir):
+    """Windows that close 400 days behind the latest order; the files are in no order of time."""
+    txns = txn_stream(spark, sf_dir).withColumn("day", day_of(F.col("updated_at")))
+    windows = daily_windows("400 days")
+    place = drain_windows(spark, windows, txns, "stream-windows")
+    rows = windows.current(spark, *place).drop("window_start")
+    return rows.withColumn("value", F.col("value").cast("decimal(38,2)"))
+
+
+@register(
+    "stream_keyed",
+    with_inputs(
+        "journal",
+        f"""SELECT _id, terminalId AS terminalid, transactionTime AS transactiontime,
+                   {sql.major('amount')} AS amount, replace(customData, chr(0), '') AS customdata
+            FROM journal WHERE transactionType = 'Purchase'""",
+    ),
+)
+def stream_keyed(spark, sf_dir):
+    """The journal twice, each time by a stream of its own into the same target."""
+    path = shared_folder(spark, "stream-keyed")
+    fields = ["_id", "terminalId", "transactionTime", "amount", "customData"]
+    for name in ("first", "second"):
+        purchases = journal_stream(spark, sf_dir).where("transactionType = 'Purchase'")
+        write_keyed(
+            purchases, path, f"{path}/checkpoint-{name}", key="_id", order=["transactiontime"],
+            transform=lambda batch: load_layout(batch, fields), index=Index(16, 16),
+        ).awaitTermination()
+    return keyed_rows(spark, path)
+
+
+@register("stream_last_windows", LAST_ACTIVITY_SQL)
+def stream_last_windows(spark, sf_dir):
+    """Every journal row comes twice; windows of a day close a week behind."""
+    twice = journal_stream(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    activity = purchase_activity(twice, keep=["_id"])
+    windows = activity_windows("7 days", unique=("_id",))
+    place = drain_windows(spark, windows, activity, "stream-last")
+    return windows.totals(spark, *place)
+
+
 # Sinks: written, then read back
 
 

@@ -28,13 +28,16 @@ DEVICE_COLUMNS = {
 }
 
 
-def purchase_activity(journal: DataFrame, width: int = ACTIVITY_WIDTH) -> DataFrame:
-    """Purchases with cleaned id, transaction time and update time."""
+def purchase_activity(
+    journal: DataFrame, width: int = ACTIVITY_WIDTH, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Purchases with cleaned id, transaction time and update time, and the columns to keep."""
     typed = typed_times(journal, "transactionTime", "updatedAt")
     return typed.where(F.col("transactionType") == PURCHASE).select(
         clean_terminal_id(F.col("terminalId").cast("string"), width).alias("terminal_id"),
         F.col("transactionTime").alias("transaction_time"),
         F.col("updatedAt").alias("updated_at"),
+        *keep,
     )
 
 

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.money import TOTAL
+from ..operators.dedup import dedup
 from ..operators.rollups import daily_activity
 
 STREAM, BATCH = "stream_id", "batch_id"
@@ -74,9 +75,11 @@ def write_batches(
 ) -> StreamingQuery:
     """Write each micro-batch to a folder of its own under ``path``.
 
-    With ``key`` a row is loaded once: repeats go within the batch, and rows whose key earlier
-    batches hold are left out; rows without a key are all loaded.  ``partition_by`` then names columns that a key determines,
-    such as the quarter of its time: only partitions that the batch touches are read.
+    With ``key`` a row is loaded once: of repeats within the batch the least row stays, and rows
+    whose key earlier batches hold are left out; rows without a key are all loaded.
+    ``partition_by`` then names columns that a key determines, such as the quarter of its time:
+    only partitions that the batch touches are read.  Where nothing of the kind is known,
+    ``keyed.write_keyed`` reads no more than an index says.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -107,7 +110,7 @@ def _new_rows(
     stream_id: str,
     batch_id: int,
 ) -> DataFrame:
-    keyed = rows.where(F.col(key).isNotNull()).dropDuplicates([key])
+    keyed = dedup(rows.where(F.col(key).isNotNull()), [key])
     keyless = rows.where(F.col(key).isNull())
     if loaded is None:
         return keyed.unionByName(keyless)
