@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillbook.llm import fill_middle, queries
+from tillbook.llm.common import steps
 
 UNIT = re.compile("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
 
@@ -86,13 +88,9 @@ def test_odd_rows(odd, nothing, monkeypatch):
     assert fill_middle.fill_in_middle(nothing).collect() == []
 
 
-def test_long_text_and_small_steps(monkeypatch):
-    monkeypatch.setattr(fill_middle, "STEP", 64)
-    import numpy as np
-
-    sizes = np.array([10, 60, 1000, 0, 0, 5, 70])
-    steps = list(fill_middle._steps(sizes))
-    assert [i for a, b in steps for i in range(a, b)] == list(range(7))
+def test_long_text_and_small_steps():
+    runs = list(steps(np.array([10, 60, 1000, 0, 0, 5, 70]), 64))
+    assert runs == [(0, 1), (1, 2), (2, 3), (3, 6), (6, 7)]
     long = "wort " * 2_000_000
     numbers = (7_654_321, 1_234_567, 3, 90)
     made = fill_middle.rearranged(

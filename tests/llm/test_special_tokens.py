@@ -30,3 +30,37 @@ def test_special_tokens_are_encoded_as_the_file_has_them(spark, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.token_stage(spark, docs, "").collect())) == expected()
     ids = token_output.Encoder(tokenizer_path(), special_as_text=False)(TEXTS[0])
     assert np.frombuffer(ids, "<u4").tolist() == [64, 220, 50256, 275]
+
+
+def test_a_tokenizer_of_another_kind_encodes_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode, whole = token_output.Encoder(path, special_as_text=False), Tokenizer.from_file(path)
+    for text in (*TEXTS, "Don't  stop, ÉTÉ\n42", ""):
+        ids = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), "<u4").tolist() == ids
+
+
+def test_a_tokenizer_without_special_tokens(tmp_path):
+    import json
+
+    file = json.load(open(tokenizer_path()))
+    file["added_tokens"] = []
+    path = tmp_path / "bare.json"
+    path.write_text(json.dumps(file))
+    encode, whole = token_output.Encoder(str(path)), Tokenizer.from_file(str(path))
+    for text in TEXTS:
+        assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_an_id_that_fills_many_ranges_is_cut_by_its_texts(spark):
+    docs = spark.range(4000).selectExpr("IF(id % 2 = 0, NULL, id) AS doc_id", "CAST(id AS STRING) AS text")
+    cuts = token_output.id_ranges(docs, "doc_id", 8)
+    assert cuts == sorted(cuts, key=lambda c: (c[0], c[1] or 0, c[2])) and len(cuts) == 7
+    rows = docs.selectExpr("doc_id", "xxhash64(text) AS h").collect()
+    sizes = [0] * 8
+    for doc_id, h in rows:
+        sizes[token_output._part_of(doc_id is not None, doc_id, h, cuts)] += 1
+    assert max(sizes) < 1000 and sum(sizes) == 4000
+    assert token_output.id_ranges(docs.limit(0), "doc_id", 8) == []

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,16 @@ def free_names(df: DataFrame, *stems: str) -> list[str]:
     return names
 
 
+def steps(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs ``[start, stop)`` of rows whose sizes come to about ``most``, a row at least."""
+    upto = np.cumsum(sizes)
+    start = done = 0
+    while start < len(sizes):
+        stop = max(start + 1, int(np.searchsorted(upto, done + most, "right")))
+        yield start, stop
+        start, done = stop, int(upto[stop - 1])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

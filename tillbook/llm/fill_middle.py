@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import steps
+
 #: Text of one step of the pipeline, unless a single text is longer: bounds what a task holds.
 STEP = 4 << 20
 #: Ends a unit while a batch is cut; UTF-8 has no such byte.
@@ -115,16 +117,6 @@ def _characters(raw: pa.Array) -> pa.Array:
     return pc.utf8_length(_text(raw)).cast(pa.int64())
 
 
-def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of rows that hold about ``STEP`` bytes of text, a row at least."""
-    upto = np.cumsum(sizes)
-    start = done = 0
-    while start < len(sizes):
-        stop = max(start + 1, int(np.searchsorted(upto, done + STEP, "right")))
-        yield start, stop
-        start, done = stop, int(upto[stop - 1])
-
-
 def fill_in_middle(
     docs: DataFrame,
     how: Middle = Middle(),
@@ -150,7 +142,7 @@ def fill_in_middle(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("raw").cast(_RAW)
-            for start, stop in _steps(pc.binary_length(raw).to_numpy()):
+            for start, stop in steps(pc.binary_length(raw).to_numpy(), STEP):
                 part = batch.slice(start, stop - start)
                 texts = raw.slice(start, stop - start)
                 out = rearranged(texts, [part.column(h) for h in _DRAWS], how)

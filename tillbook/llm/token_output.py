@@ -15,18 +15,23 @@ counts and any store Spark writes to will do.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.sinks import shared_folder
+from .common import steps
 
 MAGIC = b"PFR1"
 BLOCK = 128
@@ -35,6 +40,8 @@ HELD = np.array([116, 122, 126, 128])
 #: Ids of a segment, roughly; a longer document has a segment of its own.
 SEGMENT = 1 << 20
 END_ID = 2
+#: Bytes of text of one step of tokenizing.
+STEP = 4 << 20
 #: Pieces of text whose ids a worker remembers, and the longest of them.
 CACHE, LONGEST = 1 << 18, 64
 WIDE = 0x80
@@ -120,7 +127,7 @@ class Segment:
     """A reader of one segment; any run of ids is reached through the block starts."""
 
     def __init__(self, data: bytes) -> None:
-        if data[:4] != MAGIC:
+        if bytes(memoryview(data)[:4]) != MAGIC:
             raise ValueError("not a token segment")
         self.data = np.frombuffer(data, np.uint8)
         self.n_ids, n_docs, n_blocks = struct.unpack_from("<III", data, 4)
@@ -189,7 +196,8 @@ class Encoder:
     time, held apart by the end-of-text token.
 
     The strings of special tokens in a text are these tokens, as the tokenizer file has it, or
-    ordinary text with ``special_as_text``.
+    ordinary text with ``special_as_text``.  A file of another kind, be it another pre-tokenizer,
+    a normalizer or none special token to hold pieces apart, has its texts encoded whole.
     """
 
     def __init__(self, path: str, special_as_text: bool = True) -> None:
@@ -200,7 +208,9 @@ class Encoder:
         if special_as_text:
             self.plain.encode_special_tokens = True
         special = self.tokenizer.get_added_tokens_decoder()
-        self.between_id, self.between = next((i, t.content) for i, t in special.items() if t.special)
+        apart = [(i, t.content) for i, t in special.items() if t.special]
+        self.by_pieces = bool(apart) and _byte_level(self.tokenizer.to_str())
+        self.between_id, self.between = apart[0] if apart else (None, None)
         self.specials = [t.content for t in special.values()]
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
@@ -210,7 +220,7 @@ class Encoder:
         """The ids as u32 bytes."""
         if not text:
             return b""
-        if any(s in text for s in self.specials):
+        if not self.by_pieces or any(s in text for s in self.specials):
             return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.known) > CACHE:
             self.known.clear()
@@ -293,6 +303,22 @@ class Encoder:
         return out
 
 
+def _byte_level(file: str) -> bool:
+    """Whether a tokenizer cuts texts the way that ``Encoder`` relies on."""
+    parts = json.loads(file)
+    cut, model = parts["pre_tokenizer"] or {}, parts["model"]
+    plain = ("continuing_subword_prefix", "end_of_word_suffix", "unk_token", "dropout")
+    return (
+        parts["normalizer"] is None
+        and cut.get("type") == "ByteLevel"
+        and cut.get("use_regex") is True
+        and cut.get("add_prefix_space") is False
+        and model["type"] == "BPE"
+        and not any(model.get(p) for p in plain)
+        and all(t["special"] and not t["lstrip"] and not t["rstrip"] for t in parts["added_tokens"])
+    )
+
+
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _MARKS = r"!-/:-@\[-`{-~"
@@ -312,6 +338,14 @@ def pieces_of(text: str) -> list[str]:
     return _CUT.split(text)
 
 
+@lru_cache
+def vocabulary_size(path: str) -> int:
+    """One more than the greatest id."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0) + 1
+
+
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -323,6 +357,46 @@ def encoder(path: str, special_as_text: bool = True) -> Encoder:
     return _ENCODERS[key]
 
 
+def id_ranges(docs: DataFrame, id_col: str, parts: int, drawn: int = 32) -> list[tuple]:
+    """Where the ranges after the first begin, as ``(known, id, hash)`` in ascending order.
+
+    ``drawn`` ids a range are drawn by a seeded order, so the driver holds ``parts * drawn`` of
+    them at most, and no text is read.  An id that fills several ranges has them cut by equal
+    shares of the hash of the text.
+    """
+    seeded = F.xxhash64(F.lit(17), id_col, F.monotonically_increasing_id())
+    rows = docs.select(F.col(id_col).alias("id")).orderBy(seeded).limit(parts * drawn).collect()
+    ids = sorted((r["id"] is not None, r["id"]) if r["id"] is not None else (False,) for r in rows)
+    cuts = [ids[len(ids) * k // parts] for k in range(1, parts)] if ids else []
+    out = []
+    for key, same in groupby(cuts):
+        n = len(list(same))
+        whole = key if key[0] else (False, None)
+        # One cut begins with the id; more share out the id's own rows.
+        out += [(*whole, (1 << 64) * k // n - (1 << 63)) for k in range(n)]
+    return out
+
+
+def _part_of(known: bool, id_: object, hash_: int, cuts: list[tuple]) -> int:
+    """The range of a row: how many cuts are not beyond it."""
+    low, high = 0, len(cuts)
+    while low < high:
+        middle = (low + high) // 2
+        if _beyond(cuts[middle], known, id_, hash_):
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
+def _beyond(cut: tuple, known: bool, id_: object, hash_: int) -> bool:
+    if cut[0] != known:
+        return cut[0]
+    if known and cut[1] != id_:
+        return cut[1] > id_
+    return cut[2] > hash_
+
+
 def write_segments(
     docs: DataFrame,
     path: str,
@@ -334,57 +408,108 @@ def write_segments(
 ) -> None:
     """Tokenize and write segments under ``path`` in ascending order of the id.
 
-    Null ids come first; rows of the same id follow a hash of their texts, then the texts.  A
-    null text is an empty one: its end id alone.  A segment's row has the range of ids
-    (``part``) it belongs to and the position of its first token in that range, its documents'
-    ids and the bytes; an empty table gives an empty one.
+    Texts are tokenized where they are read; their ids, not the texts, are dealt to ranges of
+    the id, sorted and written.  Null ids come first; rows of the same id follow a hash of their
+    texts, then their ids' bytes.  A null text is an empty one: its end id alone.  A segment's
+    row has the range of ids (``part``) it belongs to and the position of its first token in
+    that range, its documents' ids and the bytes; an empty table gives an empty one.
     """
+    spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    order = [F.asc_nulls_first(c) for c in ("id", "__hash")]
-    sorted_ = (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .withColumn("__hash", F.xxhash64("text"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order, "text")
-        .select("id", "text", F.spark_partition_id().alias("part"))
-    )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = spark.sparkContext.broadcast(id_ranges(docs, id_col, parts))
+    narrow = np.dtype("<u2" if vocabulary_size(tokenizer) <= 1 << 16 else "<u4")
 
-    def segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, special_as_text)
         end = np.array([END_ID], "<u4").tobytes()
-        ids: list[object] = []
-        data: list[bytes] = []
-        part = start = size = 0
-        for frame in frames:
-            for id_, text, part in zip(frame["id"], frame["text"], frame["part"]):
-                if size >= SEGMENT:
-                    yield _segment_row(part, start, ids, data)
-                    ids, data, start, size = [], [], start + size, 0
-                ids.append(id_)
-                data.append(encode(text) + end)
-                size += len(data[-1]) // 4
-        if ids:
-            yield _segment_row(part, start, ids, data)
-
-    sorted_.mapInPandas(
-        segments, f"part int, start bigint, n_ids bigint, ids array<{id_type}>, body binary"
-    ).write.parquet(path)
-
-
-def _segment_row(part: int, start: int, ids: list[object], data: list[bytes]) -> pd.DataFrame:
-    lengths = np.fromiter(map(len, data), np.int64, len(data)) // 4
-    body = encode_segment(np.frombuffer(b"".join(data), "<u4"), lengths)
-    return pd.DataFrame(
-        {
-            "part": [part],
-            "start": [start],
-            "n_ids": [int(lengths.sum())],
-            "ids": [[None if pd.isna(i) else i for i in ids]],
-            "body": [body],
-        }
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("text").cast(pa.large_binary())).fill_null(0)
+            for start, stop in steps(sizes.to_numpy(zero_copy_only=False), STEP):
+                part = batch.slice(start, stop - start)
+                ids = [encode(text) + end for text in part.column("text").to_pylist()]
+                where = [
+                    _part_of(i is not None, i, h, cuts.value)
+                    for i, h in zip(part.column("id").to_pylist(), part.column("hash").to_pylist())
+                ]
+                small = np.frombuffer(b"".join(ids), "<u4").astype(narrow)
+                ends = np.cumsum([0, *map(len, ids)]) // 4 * narrow.itemsize
+                body = pa.Array.from_buffers(
+                    pa.binary(), len(ids),
+                    [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(small.tobytes())],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("hash"), pa.array(where, pa.int32()), body],
+                    names=["id", "hash", "part", "ids"],
+                )
+
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        part, start, size = None, 0, 0
+        for batch in batches:
+            lengths = pc.binary_length(batch.column("ids")).to_numpy() // narrow.itemsize
+            own = batch.column("part").to_numpy()
+            at = 0
+            while at < len(own):
+                if held and (own[at] != part or size >= SEGMENT):
+                    yield _segment(held, part, start, narrow)
+                    start = start + size if own[at] == part else 0
+                    held, size = [], 0
+                part = int(own[at])
+                # Documents up to the one that fills the segment, within the range of ids.
+                same = int(np.searchsorted(own[at:], part, "right"))
+                full = int(np.searchsorted(np.cumsum(lengths[at : at + same]), SEGMENT - size)) + 1
+                stop = at + min(same, full)
+                held.append(batch.slice(at, stop - at))
+                size += int(lengths[at:stop].sum())
+                at = stop
+        if held:
+            yield _segment(held, part, start, narrow)
+
+    read = docs.select(
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("hash"),
+        F.col(text_col).alias("text"),
+    )
+    dealt = read.mapInArrow(tokenized, f"id {id_type}, hash bigint, part int, ids binary")
+    (
+        dealt.repartitionById(parts, F.col("part"))
+        .sortWithinPartitions("part", F.asc_nulls_first("id"), "hash", "ids")
+        .select("id", "part", "ids")
+        .mapInArrow(
+            segments, f"part int, start bigint, n_ids bigint, ids array<{id_type}>, body binary"
+        )
+        .write.parquet(path)
     )
 
 
+def _segment(
+    held: list[pa.RecordBatch], part: int, start: int, narrow: np.dtype
+) -> pa.RecordBatch:
+    bodies = [b.column("ids") for b in held]
+    lengths = np.concatenate([pc.binary_length(b).to_numpy() for b in bodies]) // narrow.itemsize
+    ids = np.concatenate([_numbers(b, narrow) for b in bodies]).astype("<u4")
+    names = pa.concat_arrays([b.column("id") for b in held])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([part], pa.int32()),
+            pa.array([start], pa.int64()),
+            pa.array([len(ids)], pa.int64()),
+            pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
+            pa.array([encode_segment(ids, lengths)], pa.binary()),
+        ],
+        names=["part", "start", "n_ids", "ids", "body"],
+    )
+
+
+def _numbers(column: pa.Array, narrow: np.dtype) -> np.ndarray:
+    """What a binary column holds, end to end, as numbers."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, "<i4")[column.offset : column.offset + len(column) + 1]
+    first, size = int(ends[0]), int(ends[-1] - ends[0])
+    return np.frombuffer(data, narrow, size // narrow.itemsize, first) if size else np.empty(0, narrow)
+
+
 def read_segments(spark, path: str, id_type: str = "bigint", id_col: str = "doc_id") -> DataFrame:
     """Per document from the segments: id, ``start``, ``n_tokens`` and ``ids_crc32``.
 
@@ -395,23 +520,29 @@ def read_segments(spark, path: str, id_type: str = "bigint", id_col: str = "doc_
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shift"))
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for ids, start, body in zip(frame["ids"], frame["start"], frame["body"]):
-                segment = Segment(body)
-                yield pd.DataFrame(
-                    {
-                        id_col: pd.Series(list(ids), dtype=object),
-                        "start": start + np.cumsum(segment.lengths) - segment.lengths,
-                        "n_tokens": segment.lengths,
-                        "ids_crc32": [zlib.crc32(d.tobytes()) for d in segment.documents()],
-                    }
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ids")
+            bodies = zip(batch.column("start").to_pylist(), batch.column("body"))
+            for k, (start, body) in enumerate(bodies):
+                segment = Segment(body.as_buffer())
+                crcs = [zlib.crc32(d.tobytes()) for d in segment.documents()]
+                starts = start + np.cumsum(segment.lengths) - segment.lengths
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        lists[k].values,
+                        pa.array(starts, pa.int64()),
+                        pa.array(segment.lengths, pa.int64()),
+                        pa.array(crcs, pa.int64()),
+                    ],
+                    names=["id", "start", "n_tokens", "ids_crc32"],
                 )
 
     return (
         table.join(F.broadcast(shift), "part")
         .select("ids", (F.col("start") + F.col("shift")).alias("start"), "body")
-        .mapInPandas(read, f"`{id_col}` {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
+        .mapInArrow(read, f"id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
+        .withColumnRenamed("id", id_col)
     )
 
 
