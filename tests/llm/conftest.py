@@ -6,9 +6,14 @@ SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
     # Names that the operators use for columns of their own.
     "id string, fp string, component_id string, size string, target string, score string, "
-    "held_out string, start string, part string, found string, words string"
+    "held_out string, start string, part string, found string, words string, "
 )
-CLASH = ("x",) * 11
+OWN = (
+    "__n", "__id", "__row", "__won", "__src", "__size", "__hash", "__taken", "__span", "__at",
+    "__start", "__p", "__items", "__spans", "__n_words", "row", "won", "copies", "predicted", "rest",
+)
+SCHEMA += ", ".join(f"`{name}` string" for name in OWN)
+CLASH = ("x",) * (11 + len(OWN))
 
 
 @pytest.fixture(scope="session")

@@ -9,6 +9,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillbook.llm import language, lm_scoring, queries, toxicity
@@ -199,3 +201,35 @@ def test_too_many_labels_are_refused(spark):
     docs = spark.createDataFrame([(i, "text", f"l{i}") for i in range(9)], "doc_id long, text string, lang string")
     with pytest.raises(ValueError):
         language.fit(docs, language.Fit(languages=5))
+
+
+def test_only_letters_are_letters(spark):
+    import sys
+    import unicodedata
+
+    kinds: dict[str, str] = {}
+    for code in range(sys.maxunicode + 1):
+        kinds.setdefault(unicodedata.category(chr(code)), "")
+        if len(kinds[unicodedata.category(chr(code))]) < 20 and not 0xD800 <= code < 0xE000:
+            kinds[unicodedata.category(chr(code))] += chr(code)
+    kinds = {k: t for k, t in kinds.items() if t}
+    trees = language.fit(spark.createDataFrame([(1, "hello there", "en"), (2, "hola amigo", "es")], "doc_id long, text string, lang string"))
+    found = dict(zip(kinds, trees.predict(list(kinds.values()))[0]))
+    assert {k for k, lang in found.items() if lang != "und"} == {k for k in kinds if k[0] == "L"}
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.dictionaries(st.integers(0, 60), st.floats(0, 1), max_size=30),
+    st.lists(st.tuples(st.integers(0, 60), st.integers(0, 12)), max_size=8),
+)
+def test_hits_outside_the_exceptions(found, drawn):
+    spans = [(a, a + n) for a, n in drawn]
+    want = {at: w for at, w in found.items() if not any(a <= at < b for a, b in spans)}
+    assert toxicity.without(found, spans) == want
+
+
+def test_many_exceptions_in_a_long_text():
+    lexicon = toxicity.Lexicon({"dog": 1.0}, frozenset({"bad dog"}))
+    words = ["bad", "dog"] * 200_000 + ["dog"]
+    assert len(lexicon.hits(words)) == 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import accumulate
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_names, stored
+
 #: Words after lower-casing A-Z: runs of ASCII letters and digits and of anything not ASCII.
 WORD_CLASS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PLAIN = bytes(
@@ -124,21 +127,47 @@ def automaton_parts(
     ]
 
 
-def benchmark_hits(docs: DataFrame, parts: list[Broadcast], text_col: str = "text") -> DataFrame:
-    """Add ``__n_words``, the character and word ``__spans`` hit and the ``__items`` hit.
+class Hits(NamedTuple):
+    """Names of the added columns."""
+
+    n_words: str = "__n_words"
+    spans: str = "__spans"
+    items: str = "__items"
+
+    @classmethod
+    def beside(cls, docs: DataFrame) -> Hits:
+        return cls(*free_names(docs, *cls()))
+
+    def hit_words(self) -> Column:
+        return F.aggregate(
+            self.spans, F.lit(0).cast("long"), lambda n, s: n + s["past"] - s["first"]
+        )
+
+    def contaminated(self, share: int = 20) -> Column:
+        """True where at least one word in ``share`` is hit."""
+        return (self.hit_words() > 0) & (share * self.hit_words() >= F.col(self.n_words))
+
+
+def benchmark_hits(
+    docs: DataFrame, parts: list[Broadcast], text_col: str, names: Hits
+) -> DataFrame:
+    """Add the number of words, the character and word spans hit and the items hit.
 
-    Each text is scanned once a part, by a worker that holds that part's automaton alone;
-    what a part finds joins what the parts before it have found.
+    Each text is scanned once a part; what a part finds joins what the parts before it have
+    found.  A benchmark of several parts has the table stored in between, so that a task holds
+    one part's automaton at a time.
     """
     out = docs.withColumns(
         {
-            "__n_words": F.lit(0).cast("long"),
-            "__spans": F.array().cast(SPANS),
-            "__items": F.array().cast("array<string>"),
+            names.n_words: F.lit(0).cast("long"),
+            names.spans: F.array().cast(SPANS),
+            names.items: F.array().cast("array<string>"),
         }
     )
-    for rows in parts:
-        out = out.mapInArrow(_scanner(rows, text_col), out.schema)
+    for k, rows in enumerate(parts):
+        if k:
+            out = stored(out, "benchmark-hits")
+        out = out.mapInArrow(_scanner(rows, text_col, names), out.schema)
     return out
 
 
@@ -146,13 +175,13 @@ def benchmark_hits(docs: DataFrame, parts: list[Broadcast], text_col: str = "tex
 SPANS = "array<struct<first:bigint,past:bigint,start:bigint,stop:bigint>>"
 
 
-def _scanner(rows: Broadcast, text_col: str):
+def _scanner(rows: Broadcast, text_col: str, names: Hits):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(rows.value)
         for batch in batches:
             n_words, spans, items = [], [], []
             texts = batch.column(text_col).cast(pa.binary())
-            before = zip(batch.column("__spans").to_pylist(), batch.column("__items").to_pylist())
+            before = zip(batch.column(names.spans).to_pylist(), batch.column(names.items).to_pylist())
             for text, (known, had) in zip(texts, before):
                 data = text.as_py()
                 words = words_of(data)
@@ -168,7 +197,7 @@ def _scanner(rows: Broadcast, text_col: str):
                     had = sorted(found.union(had))
                 spans.append(known)
                 items.append(had)
-            new = {"__n_words": n_words, "__spans": spans, "__items": items}
+            new = {names.n_words: n_words, names.spans: spans, names.items: items}
             columns = [
                 pa.array(new[f.name], f.type) if f.name in new else batch.column(i)
                 for i, f in enumerate(batch.schema)
@@ -178,17 +207,6 @@ def _scanner(rows: Broadcast, text_col: str):
     return scan
 
 
-def hit_words() -> Column:
-    return F.aggregate(
-        "__spans", F.lit(0).cast("long"), lambda n, s: n + s["past"] - s["first"]
-    )
-
-
-def contaminated(share: int = 20) -> Column:
-    """True where at least one word in ``share`` is hit."""
-    return (hit_words() > 0) & (share * hit_words() >= F.col("__n_words"))
-
-
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -208,23 +226,31 @@ def contamination(
     parts = automaton_parts(
         benchmark, id_col=item_col, text_col="text", width=width, part_windows=part_windows
     )
+    names = Hits()
     found = benchmark_hits(
-        docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), parts, "__text"
-    )
+        docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")),
+        parts, "__text", names,
+    )
     return found.select(
         F.col("__id").alias(id_col),
         F.col("__n_words").alias("n_words"),
-        hit_words().alias("n_hit"),
+        names.hit_words().alias("n_hit"),
         F.size("__items").cast("long").alias("n_items"),
         F.col("__items").alias("items"),
         F.col("__spans").alias("spans"),
-        contaminated().alias("contaminated"),
+        names.contaminated().alias("contaminated"),
     )
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", width: int = 13
 ) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    found = benchmark_hits(docs, automaton_parts(benchmark, width=width), text_col)
-    return found.where(~contaminated()).select(*[f"`{c}`" for c in docs.columns])
+    """The documents that are not contaminated, with all their columns.
+
+    Null texts and texts without a word are clean and stay, as do all where the benchmark is
+    empty; texts are scanned whole; repeated rows stay or go together; an empty table gives an
+    empty one; no column's name matters but the text's.
+    """
+    names = Hits.beside(docs)
+    found = benchmark_hits(docs, automaton_parts(benchmark, width=width), text_col, names)
+    return found.where(~names.contaminated()).select(*[f"`{c}`" for c in docs.columns])

@@ -9,19 +9,19 @@ under each language decides.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import free_names, remainder
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: Bytes of one step of scoring: bounds a task's arrays.
 STEP = 1 << 19
 
@@ -248,7 +248,12 @@ def fit_fold(docs: DataFrame, parameters: Fit = Fit()) -> ContextTrees:
 
 
 def drop_unidentified(docs: DataFrame, trees: ContextTrees, text_col: str = "text") -> DataFrame:
-    """The documents with an identified language, with all their columns."""
+    """The documents with an identified language, with all their columns.
+
+    Null texts and texts without a letter go, of any length; repeated rows stay or go together;
+    an empty table gives an empty one; no column's name matters but the text's.
+    """
     names = [f"`{c}`" for c in docs.columns]
-    found = docs.withColumn("__p", predicted(F.col(text_col), trees, docs.sparkSession))
-    return found.where(F.col("__p.lang_pred") != UNKNOWN).select(*names)
+    (own,) = free_names(docs, "predicted")
+    found = docs.withColumn(own, predicted(F.col(text_col), trees, docs.sparkSession))
+    return found.where(F.col(f"{own}.lang_pred") != UNKNOWN).select(*names)

@@ -251,11 +251,17 @@ def mixed(
     """The mix itself: a row for each time a document is taken, with the columns of ``docs``.
 
     Where a quota ends inside a document, the row has the text of the words taken and, in
-    ``length_col``, its length.  Documents of which nothing is taken, blank ones included,
-    are left out.
+    ``length_col``, its length.  Documents of which nothing is taken, blank ones and null texts
+    included, are left out.  Null sources are a source; repeated rows are taken one by one; an
+    empty table gives an empty one; no column's name matters but the four given.
     """
-    names = docs.columns
-    laid = planned(sized(docs, id_col, text_col, mix), source_col, mix)
+    others = [c for c in docs.columns if c not in (id_col, text_col, source_col)]
+    # Other columns travel as one, so that their names meet none of the plan's.
+    carried = [F.struct(*[f"`{c}`" for c in others]).alias("rest")] if others else []
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), *carried
+    )
+    laid = planned(sized(rows, "id", "text", mix), "source", mix)
     whole = F.array_repeat(
         F.struct(F.lit(0).cast("long").alias("lo"), F.col("__size").alias("hi")),
         F.col("__rounds").cast("int"),
@@ -267,13 +273,14 @@ def mixed(
     spans = F.filter(F.concat(whole, parts), lambda s: s["hi"] > s["lo"])
     taken = laid.where("__taken > 0").withColumn("__span", F.explode(spans))
     partial = F.col("__span.hi") - F.col("__span.lo") < F.col("__size")
-    cut = {text_col: F.when(partial, words_between(F.col(text_col))).otherwise(F.col(text_col))}
-    if length_col in names:
-        cut[length_col] = F.when(partial, F.length(text_col)).otherwise(F.col(length_col))
-    taken = taken.withColumn(text_col, cut.pop(text_col))
-    for name, value in cut.items():
-        taken = taken.withColumn(name, value.cast(docs.schema[name].dataType))
-    return taken.select(*[f"`{n}`" for n in names])
+    cut = F.when(partial, words_between(F.col("text"))).otherwise(F.col("text"))
+    taken = taken.withColumn("text", cut).withColumn("__partial", partial)
+    values = {id_col: F.col("id"), text_col: F.col("text"), source_col: F.col("source")}
+    values |= {c: F.col("rest").getField(c) for c in others}
+    if length_col in others:
+        length = F.length("text").cast(docs.schema[length_col].dataType)
+        values[length_col] = F.when(F.col("__partial"), length).otherwise(values[length_col])
+    return taken.select(*[values[c].alias(c) for c in docs.columns])
 
 
 def words_between(text: Column) -> Column:

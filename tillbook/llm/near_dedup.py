@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_names, stored
 from .components import components
 
 SEED = 42
@@ -220,14 +220,20 @@ def near_duplicates(
 
 
 def fingerprint_components(prints: DataFrame, radius: int = 2) -> DataFrame:
-    """``(fp, component_id)`` for the fingerprints of ``prints(id, fp)``."""
+    """``(fp, component_id, root)`` for the fingerprints of ``prints(id, fp)``.
+
+    The root is a fingerprint of the component: components of the same least id, as where an
+    id repeats, differ in it.
+    """
     each = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     roots = stored(linked_fingerprints(each.select("fp"), radius), "fingerprint-roots")
     member = roots.join(each, roots["node"] == each["fp"]).select("node", "root", "least")
     group = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = roots.join(group, "root").select(F.col("node").alias("fp"), "component_id")
+    linked = roots.join(group, "root").select(F.col("node").alias("fp"), "component_id", "root")
     return each.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
+        "fp",
+        F.coalesce("component_id", "least").alias("component_id"),
+        F.coalesce("root", "fp").alias("root"),
     )
 
 
@@ -242,33 +248,34 @@ def drop_near_duplicates(
     """Keep one document of each group, the one of the least id, with all its columns.
 
     Rows of the same id are told apart by a hash of the whole row, the least one staying; of
-    rows equal in every column one stays.  Groups without any id keep one row likewise.
+    rows equal in every column one stays.  Groups without any id keep one row likewise.  Null
+    and blank texts are one group; an empty table gives an empty one; texts count whole; no
+    column's name matters but the two given.
     """
     names = [f"`{c}`" for c in docs.columns]
-    keyed = docs.withColumn("__row", F.xxhash64(*names))
+    row, won, own_id, copies = free_names(docs, "row", "won", "own_id", "copies")
+    keyed = docs.withColumn(row, F.xxhash64(*names))
     prints = stored(
         keyed.select(
-            F.col(id_col).alias("id"), "__row", fingerprint(F.col(text_col), width).alias("fp")
+            F.col(id_col).alias("id"),
+            F.col(row).alias("row"),
+            fingerprint(F.col(text_col), width).alias("fp"),
         ),
         "fingerprints",
     )
     parts = stored(fingerprint_components(prints.select("id", "fp"), radius), "fingerprint-components")
-    # A group is known by the least of its fingerprints' ids; groups without ids by the print.
-    own = F.when(F.col("component_id").isNull(), F.col("fp"))
-    rows = prints.groupBy("fp", "id", "__row").agg(F.count(F.lit(1)).alias("__n"))
-    winner = rows.join(parts, "fp").groupBy("component_id", own.alias("own")).agg(
-        F.min(
-            F.struct(F.col("id").isNull().alias("no_id"), "id", "__row", "__n")
-        ).alias("best")
-    )
+    rows = prints.groupBy("fp", "id", "row").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "n"))
+    winner = rows.join(parts, "fp").groupBy("root").agg(best.alias("best"))
     winner = stored(
-        winner.select(F.col("best.id").alias("__id"), F.col("best.__row").alias("__row"), F.col("best.__n").alias("__n")),
+        winner.select(
+            F.col("best.id").alias(own_id), F.col("best.row").alias(won), F.col("best.n").alias(copies)
+        ),
         "kept-rows",
     )
     kept = keyed.join(
-        winner.withColumnRenamed("__row", "__won"),
-        (F.col("__row") == F.col("__won")) & F.col(id_col).eqNullSafe(F.col("__id")),
+        winner, (F.col(row) == F.col(won)) & F.col(id_col).eqNullSafe(F.col(own_id))
     )
-    once = kept.where("__n = 1")
-    repeated = kept.where("__n > 1").dropDuplicates(["__id", "__row"])
+    once = kept.where(F.col(copies) == 1)
+    repeated = kept.where(F.col(copies) > 1).dropDuplicates([own_id, row])
     return once.unionByName(repeated).select(*names)

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 #: Words of texts worked on at once; a longer text is on its own.
 BATCH = 1 << 18
+#: Beyond this many words the ranks of all doublings are too much to hold: a slower rule, of the
+#: same result, takes one.
+LONG = 1 << 20
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
 
@@ -28,11 +31,12 @@ class Limits:
     longest: int = 50
 
 
-def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def suffix_array(symbols: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list[np.ndarray]]:
     """Suffix array by prefix doubling, and the rank of every position after each doubling.
 
     Equal ranks at level k mean equal runs of 2**k symbols.  Only suffixes that are still tied
-    are sorted again, so the levels are as many as the longest repeat has doublings.
+    are sorted again, so the levels are as many as the longest repeat has doublings.  Without
+    ``keep`` only the last is returned: the place of every position in the array.
     """
     n = len(symbols)
     order = np.argsort(symbols, kind="stable")
@@ -61,6 +65,8 @@ def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
         # Members of a group lie side by side, from the place that is the group's rank on.
         rank[items] = places[first]
+        if not keep:
+            levels.clear()
         levels.append(rank.astype(np.int32))
         step *= 2
 
@@ -87,14 +93,39 @@ def common_prefixes(order: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def neighbour_prefixes(symbols: np.ndarray, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The same from the places of the suffixes alone, by Kasai's rule.
+
+    Going through the text, a suffix shares all but one symbol of what the one before it shared.
+    """
+    n = len(order)
+    out = np.zeros(n, np.int64)
+    text, before, place = symbols.tolist(), order.tolist(), rank.tolist()
+    same = 0
+    for at in range(n):
+        if place[at] == 0:
+            same = 0
+            continue
+        other = before[place[at] - 1]
+        while max(at, other) + same < n and text[at + same] == text[other + same]:
+            same += 1
+        out[place[at]] = same
+        same = max(0, same - 1)
+    return out
+
+
 def repeats(symbols: np.ndarray) -> np.ndarray:
     """For every position the longest run starting there that also starts elsewhere.
 
     That run ends the deepest LCP interval holding the suffix, one maximal repeat; the union of
     these runs is the union of all maximal repeats.
     """
-    order, levels = suffix_array(symbols)
-    before = common_prefixes(order, levels)
+    long = len(symbols) > LONG
+    order, levels = suffix_array(symbols, keep=not long)
+    if long:
+        before = neighbour_prefixes(symbols, order, levels[-1])
+    else:
+        before = common_prefixes(order, levels)
     after = np.r_[before[1:], 0] if len(before) else before
     out = np.empty(len(symbols), np.int64)
     out[order] = np.maximum(before, after)

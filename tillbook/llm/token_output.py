@@ -357,15 +357,18 @@ def encoder(path: str, special_as_text: bool = True) -> Encoder:
     return _ENCODERS[key]
 
 
-def id_ranges(docs: DataFrame, id_col: str, parts: int, drawn: int = 32) -> list[tuple]:
+def id_ranges(docs: DataFrame, id_col: str, parts: int, drawn: int = 16) -> list[tuple]:
     """Where the ranges after the first begin, as ``(known, id, hash)`` in ascending order.
 
-    ``drawn`` ids a range are drawn by a seeded order, so the driver holds ``parts * drawn`` of
-    them at most, and no text is read.  An id that fills several ranges has them cut by equal
-    shares of the hash of the text.
+    About ``drawn`` ids a range are drawn by a hash, so the driver holds some ``parts * drawn``
+    of them, and no text is read.  An id that fills several ranges has them cut by equal shares
+    of the hash of the text.
     """
+    fine = 1 << 40
+    share = min(fine, -(-parts * drawn * fine // max(1, docs.count())))
     seeded = F.xxhash64(F.lit(17), id_col, F.monotonically_increasing_id())
-    rows = docs.select(F.col(id_col).alias("id")).orderBy(seeded).limit(parts * drawn).collect()
+    rows = docs.select(F.col(id_col).alias("id"), F.pmod(seeded, F.lit(fine)).alias("h"))
+    rows = rows.where(F.col("h") < share).select("id").collect()
     ids = sorted((r["id"] is not None, r["id"]) if r["id"] is not None else (False,) for r in rows)
     cuts = [ids[len(ids) * k // parts] for k in range(1, parts)] if ids else []
     out = []

@@ -111,10 +111,7 @@ class Lexicon:
                 found[start] = max(weight, found.get(start, 0.0))
             else:
                 excepted.append((start, last))
-        for start, last in excepted:
-            for at in [a for a in found if start <= a < last]:
-                del found[at]
-        return found
+        return without(found, excepted) if excepted else found
 
     def features(self, words: list[str]) -> tuple[float, float]:
         weight = sum(self.hits(words).values())
@@ -126,6 +123,20 @@ class Lexicon:
         return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, z))))
 
 
+def without(found: dict[int, float], spans: list[tuple[int, int]]) -> dict[int, float]:
+    """What lies in none of the spans ``[start, stop)``, in one pass over both in order."""
+    spans = sorted(spans)
+    out: dict[int, float] = {}
+    k = reach = 0
+    for at in sorted(found):
+        while k < len(spans) and spans[k][0] <= at:
+            reach = max(reach, spans[k][1])
+            k += 1
+        if at >= reach:
+            out[at] = found[at]
+    return out
+
+
 def entries_of(words: Iterable[str], shortest: int, longest: int) -> set[str]:
     out: set[str] = set()
     for word in set(words):
