@@ -212,7 +212,8 @@ def test_only_letters_are_letters(spark):
         kinds.setdefault(unicodedata.category(chr(code)), "")
         if len(kinds[unicodedata.category(chr(code))]) < 20 and not 0xD800 <= code < 0xE000:
             kinds[unicodedata.category(chr(code))] += chr(code)
-    kinds = {k: t for k, t in kinds.items() if t}
+    # Code points that Python does not know yet may be letters to a newer table.
+    kinds = {k: t for k, t in kinds.items() if t and k != "Cn"}
     trees = language.fit(spark.createDataFrame([(1, "hello there", "en"), (2, "hola amigo", "es")], "doc_id long, text string, lang string"))
     found = dict(zip(kinds, trees.predict(list(kinds.values()))[0]))
     assert {k for k, lang in found.items() if lang != "und"} == {k for k in kinds if k[0] == "L"}

@@ -46,6 +46,15 @@ _NOISE = frozenset(
     "login comment comments disqus respond replies share sharing social related recommended "
     "recommendations widget pagination pager skip toolbar copyright legal".split()
 )
+#: What a compound that begins with one of these may end with and still be a box of that kind.
+_BOXES = frozenset(
+    "list box wrap wrapper container area section block slot bar item items link links panel "
+    "group zone unit form button buttons inner outer holder row count message placeholder".split()
+)
+#: Words that on a heading or a paragraph tell its look or its topic.
+_TOPICS = frozenset("header masthead sharing share social promotion legal".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PROSE = _HEADINGS | {"p", "blockquote", "pre", "figcaption"}
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar toolbar dialog alert "
     "alertdialog".split()
@@ -70,6 +79,8 @@ class Induction:
     #: Least number of different pages, and least share of them, to call a text constant.
     least: int = 4
     share: float = 0.8
+    #: Pages that others are aligned with to judge their slots.
+    judges: int = 3
     #: Entries of the table that matches two child lists; larger ones are never held whole.
     cells: int = 1 << 20
 
@@ -163,8 +174,9 @@ def _close_item(stack: list[Node], tag: str) -> None:
 def _attributes(tag: str, raw: str) -> tuple[str, bool]:
     """Class and id words as one key for matching, and whether they mark noise.
 
-    A word marks noise by itself or as the head of a compound: ``comment-list`` does,
-    ``no-sidebar`` and ``has-menu`` do not.
+    A word marks noise by itself or as the head of a compound that ends with another such word
+    or with a kind of box: ``comment-list`` does, ``no-sidebar``, ``has-menu`` and
+    ``header-image-caption`` do not.
     """
     words: list[str] = []
     noise = False
@@ -181,11 +193,17 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool]:
         elif name == "style":
             noise |= "display:none" in value.replace(" ", "")
     if tag not in ("html", "body", "article", "main"):
-        heads = (_CLASS_WORD.search(w) for w in words)
-        noise |= any(head[0] in _NOISE for head in heads if head)
+        noise |= any(_marks_noise(w, tag) for w in words)
     return " ".join(words), noise
 
 
+def _marks_noise(word: str, tag: str) -> bool:
+    parts = _CLASS_WORD.findall(word)
+    if not parts or parts[0] not in _NOISE or tag in _PROSE and parts[0] in _TOPICS:
+        return False
+    return len(parts) == 1 or parts[-1] in _NOISE or parts[-1] in _BOXES
+
+
 def shaped(root: Node) -> None:
     """Give every node a hash of its subtree's elements; texts count as present only."""
     work = [(root, False)]
@@ -405,9 +423,82 @@ def induce(pages: list[Node], parameters: Induction) -> None:
                     y.template = True
 
 
+def judge(pages: list[Node], parameters: Induction) -> None:
+    """Take slots of a site that hold no article for noise, by what they hold on all its pages.
+
+    Pages without a marked article are aligned with a few of them; what is aligned with one
+    element of a base is a slot.  Beside a slot of prose, with paragraphs or headings on most
+    pages, one that is mostly links is a menu; one that never has a paragraph or a heading and
+    comes to less than a quarter of the prose is a notice, an advert or a footer.
+    """
+    bare = [p for p in pages if not any(n.tag in ("article", "main") for n in _nodes(p))]
+    if len(bare) < parameters.least:
+        return
+    held = {id(n): has for p in bare for n, has in _holdings(p)}
+    sizes: Sizes = {}
+    for base in bare[: parameters.judges]:
+        slots: dict[int, list[Node]] = defaultdict(list)
+        for page in bare:
+            for x, y in matching(base, page, parameters, sizes)[1]:
+                if x.tag and x.tag not in _INLINE and x.tag not in _PROSE:
+                    slots[id(x)].append(y)
+        for parent in _nodes(base):
+            own = [c for c in parent.children if id(c) in slots and not c.noise]
+            total = {id(c): np.sum([held[id(y)] for y in slots[id(c)]], axis=0) for c in own}
+            prose = {k: t[0] for k, t in total.items() if 2 * t[2] > len(slots[k]) and 2 * t[1] < t[0]}
+            if not prose or len(own) < 2:
+                continue
+            most = max(prose.values())
+            for c in own:
+                chars, linked, with_prose = total[id(c)]
+                if 5 * linked > 3 * chars or (not with_prose and 4 * chars < most):
+                    for y in slots[id(c)]:
+                        y.noise = True
+
+
+def _nodes(root: Node) -> Iterator[Node]:
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        yield node
+        stack += node.children
+
+
+def _holdings(root: Node) -> Iterator[tuple[Node, np.ndarray]]:
+    """Of every element its characters, those of them in links, and whether it has prose."""
+    found: dict[int, np.ndarray] = {}
+    work = [(root, False)]
+    while work:
+        node, done = work.pop()
+        if not done:
+            work.append((node, True))
+            work += [(c, False) for c in node.children if not c.noise]
+            continue
+        if not node.tag:
+            found[id(node)] = np.array([len(_own_text(node)), 0, 0])
+            continue
+        has = np.zeros(3, np.int64)
+        for child in node.children:
+            if not child.noise:
+                has = has + found[id(child)]
+        if node.tag == "a":
+            has[1] = has[0]
+        has[2] = has[2] > 0 or (node.tag in _PROSE and has[0] > 0)
+        found[id(node)] = has
+        yield node, has
+    # Elements of noise hold nothing that counts.
+    for node in _nodes(root):
+        if node.tag and id(node) not in found:
+            yield node, np.zeros(3, np.int64)
+
+
 def _spare(root: Node) -> None:
-    """Take no element for noise that holds the marked article, where no other one stands
-    outside noise, or most of the page's varying text."""
+    """Take no element for noise that holds the article.
+
+    That is the marked one, where no other stands outside noise.  On a page without a mark it is
+    what holds the only first-level heading and a paragraph; failing that, on a page of noise
+    alone, the element with the most varying text.
+    """
     order, above = [], {id(root): root}
     stack = [root]
     while stack:
@@ -416,23 +507,35 @@ def _spare(root: Node) -> None:
         for child in node.children:
             above[id(child)] = node
             stack.append(child)
+    if any(_outermost(root, tag) for tag in ("article", "main")):
+        return
     varying: dict[int, int] = defaultdict(int)
     for node in reversed(order):
         if not node.tag and not node.template:
             varying[id(node)] = len(_own_text(node))
         if node is not root:
             varying[id(above[id(node)])] += varying[id(node)]
-    for node in order:
-        node.noise &= 2 * varying[id(node)] <= varying[id(root)] or not varying[id(root)]
-    if any(_outermost(root, tag) for tag in ("article", "main")):
-        return
-    marked = [n for n in order if n.tag in ("article", "main") and varying[id(n)]]
-    if marked:
-        node = max(marked, key=lambda n: varying[id(n)])
+
+    def spare(node: Node) -> None:
         while node is not root:
             node.noise = False
             node = above[id(node)]
 
+    marked = [n for n in order if n.tag in ("article", "main") and varying[id(n)]]
+    if marked:
+        spare(max(marked, key=lambda n: varying[id(n)]))
+        return
+    boxes = [n for n in order if n.noise and (n.tag == "form" or n.tag not in _SKIPPED)]
+    if not any(varying[id(n)] for _, n in _outermost(root, "h1")):
+        for box in boxes:
+            tags = {n.tag for n in _nodes(box) if varying[id(n)]}
+            if "h1" in tags and "p" in tags:
+                spare(box)
+                return
+    if boxes and not _blocks(root):
+        # The outermost of equals: it comes first.
+        spare(max(boxes, key=lambda n: varying[id(n)]))
+
 
 def _outermost(root: Node, tag: str) -> list[tuple[tuple[str, ...], Node]]:
     """The outermost elements of a tag outside noise, each with its path of elements."""
@@ -572,7 +675,9 @@ def extracted(
         trees = {page: parse(h) if h else Node("#root") for page, h in zip(group["page"], group["html"])}
         for tree in trees.values():
             shaped(tree)
-        induce([t for t in trees.values() if t.children], parameters)
+        filled = [t for t in trees.values() if t.children]
+        induce(filled, parameters)
+        judge(filled, parameters)
         texts = {page: main_text(t) for page, t in trees.items()}
         return pd.DataFrame(
             {"id": group["id"], "url": group["url"], "host": group["host"], "page": group["page"],
