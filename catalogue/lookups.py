@@ -16,6 +16,7 @@ from tillbook.operators.lookup import (
     add_state_by_name,
     add_state_region,
     flag_membership,
+    flag_memberships,
     heavy_keys,
     lookup,
     match_stats,
@@ -158,6 +159,14 @@ def join_membership_flags(spark, sf_dir):
     return flagged(spark, sf_dir, terminals, lookup)
 
 
+@register("join_membership_flags_once", MEMBERSHIP_SQL)
+def join_membership_flags_once(spark, sf_dir):
+    """All flags from one join."""
+    terminals = normalised(spark, sf_dir, "registered").select("terminal_id", "merchant_name")
+    sets = {name: normalised(spark, sf_dir, name) for name in ("connected", "active", "inactive")}
+    return flag_memberships(terminals, sets)
+
+
 @register("join_membership_flags_salted", MEMBERSHIP_SQL)
 def join_membership_flags_salted(spark, sf_dir):
     terminals = normalised(spark, sf_dir, "registered").select("terminal_id", "merchant_name")

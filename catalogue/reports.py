@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from tillbook import plans
-from tillbook.operators.dedup import dedup
 from tillbook.operators.lookup import salted_lookup
 from tillbook.plans.loads import PURCHASE_FIELDS, SERVICE_FIELDS
 from tillbook.plans.settlement import FAILED_SHEET, LEFT_OUT, SKIPPED_FILES, SUCCESSFUL_SHEET
 from tillbook.plans.settlement import HEADER as SETTLEMENT_HEADER
+from tillbook.sources.buckets import write_bucketed
 from tillbook.sources.scans import read_csv, read_drop, read_sheets, read_typed_sheet
 from tillbook.sources.sinks import shared_folder, write_csv, write_report
 
@@ -238,6 +239,21 @@ def report_roster(spark, sf_dir):
     return roster(spark, sf_dir)
 
 
+@register("report_roster_bucketed", with_inputs(ROSTER_INPUTS, ROSTER_SQL + "SELECT * FROM roster"))
+def report_roster_bucketed(spark, sf_dir):
+    """The roster from catalog tables bucketed by terminal: no input is shuffled."""
+    names = ("registered", "connected", "active", "inactive", "activity")
+    activity = plans.recent_activity(load(spark, sf_dir, "journal"), ACTIVITY_AS_OF)
+    tables = {}
+    for name in names:
+        tables[name] = f"{name}_{uuid.uuid4().hex}"
+        rows = activity if name == "activity" else normalised(spark, sf_dir, name)
+        write_bucketed(rows, tables[name], "terminal_id", 16)
+    return plans.terminal_roster(
+        *[spark.table(tables[name]) for name in names], order=["merchant_name", "state"]
+    )
+
+
 @register("report_roster_sheets", with_inputs(ROSTER_INPUTS, ROSTER_SQL + "SELECT * FROM roster"))
 def report_roster_sheets(spark, sf_dir):
     """The roster from the four sheets of its workbooks."""
@@ -259,16 +275,14 @@ def report_roster_sheets(spark, sf_dir):
         ROSTER_SQL
         + f"""SELECT r.*, t.note AS note
               FROM roster r LEFT JOIN (
-                SELECT {sql.normalise('terminal_id')} AS terminal_id, min(note) AS note
-                FROM roster_target GROUP BY 1) t
+                SELECT {sql.normalise('terminal_id')} AS terminal_id, note FROM roster_target) t
                 ON r.terminal_id = t.terminal_id""",
     ),
 )
 def report_roster_sync(spark, sf_dir):
-    """A loaded roster has one row per terminal; the derived one is made so first."""
+    """Every loaded row of a terminal that the roster still has stays."""
     new = roster(spark, sf_dir)
-    target = normalised(spark, sf_dir, "roster_target").withColumnsRenamed({"state_initials": "state"})
-    loaded = dedup(target, ["terminal_id"], ["note"])
+    loaded = normalised(spark, sf_dir, "roster_target").withColumnsRenamed({"state_initials": "state"})
     missing = {f.name: F.lit(None).cast(f.dataType) for f in new.schema.fields if f.name not in loaded.columns}
     return plans.sync_roster(loaded.withColumns(missing), new)
 

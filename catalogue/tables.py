@@ -18,6 +18,7 @@ from tillbook.operators.merge import merge_sync, merge_upsert
 from tillbook.plans.activity import purchase_activity
 from tillbook.plans.loads import load_layout, routed
 from tillbook.plans.roster import prepare_roster
+from tillbook.sources.buckets import KeyedTable
 from tillbook.sources.scans import read_csv
 from tillbook.sources.sinks import (
     read_version,
@@ -122,6 +123,15 @@ def merge_by_version(spark, sf_dir):
     return read_version(spark, root)
 
 
+@register("merge_by_bucket", with_inputs("roster_target registered", MERGE_CTES + MERGED))
+def merge_by_bucket(spark, sf_dir):
+    """First load replaces, the second merges the buckets that it touches."""
+    table = KeyedTable(shared_folder(spark, "keyed"), "terminal_id", 16)
+    table.upsert(cleaned(spark, sf_dir, "roster_target"), "0001")
+    table.upsert(prepare_roster(load(spark, sf_dir, "registered")), "0002", ["state_initials"])
+    return table.read(spark)
+
+
 # Incremental loads
 
 
@@ -355,6 +365,19 @@ def sink_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register(
+    "sink_unless_empty",
+    with_inputs("agent", "SELECT wallet_id, bvn, state_of_residence FROM agent"),
+)
+def sink_unless_empty(spark, sf_dir):
+    """A load whose input has no row leaves the target as it is."""
+    path = shared_folder(spark, "unless-empty")
+    rows = load(spark, sf_dir, "agent").select("wallet_id", "bvn", "state_of_residence")
+    for scan in (rows, rows.where("wallet_id IS NULL")):
+        write_report(scan, path, mode="overwrite", unless_empty=scan)
+    return spark.read.parquet(path)
+
+
 @register(
     "sink_partition_overwrite",
     with_inputs(

@@ -10,6 +10,7 @@ either of the two as ``join``.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -237,6 +238,28 @@ def flag_membership(
     return flagged.withColumn(flag, F.coalesce("__hit", F.lit(0))).drop("__hit")
 
 
+def flag_memberships(
+    df: DataFrame, sets: Mapping[str, DataFrame | None], key: str = "terminal_id", join: Join = lookup
+) -> DataFrame:
+    """A 0/1 column for each set, all from one join; a set of None flags nothing.
+
+    The ids of all sets become one table with a bit for each set that holds the id, so the
+    rows of ``df`` are joined once however many sets there are.
+    """
+    bits = {flag: 1 << k for k, (flag, ids) in enumerate(sets.items()) if ids is not None}
+    if not bits:
+        return df.withColumns({flag: F.lit(0) for flag in sets})
+    tagged = [sets[flag].select(key, F.lit(bit).cast("long").alias("__sets")) for flag, bit in bits.items()]
+    ids = reduce(DataFrame.unionByName, tagged).groupBy(key).agg(F.bit_or("__sets").alias("__sets"))
+    joined = join(df, ids, F.col(key), key, {"__sets": "__sets"})
+    held = F.coalesce("__sets", F.lit(0).cast("long"))
+    flags = {
+        flag: (held.bitwiseAND(F.lit(bits[flag]).cast("long")) != 0).cast("int") if flag in bits else F.lit(0)
+        for flag in sets
+    }
+    return joined.withColumns(flags).drop("__sets")
+
+
 def add_last_activity(
     df: DataFrame,
     activity: DataFrame | None,

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lookup import duplicate_guard
@@ -37,14 +37,35 @@ def merge_upsert(
         return source
     updated = [c for c in source.columns if c != key] if update is None else list(update)
     merged = (
-        _overwritten(target, source, key, updated, keep_unmatched=True)
+        _full(target, source, key, updated)
         .unionByName(target.where(F.col(key).isNull()))
-        .unionByName(_unmatched(target, source, key), allowMissingColumns=True)
         .unionByName(source.where(F.col(key).isNull()), allowMissingColumns=True)
     )
     return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
 
 
+def _full(target: DataFrame, source: DataFrame, key: str, updated: Sequence[str]) -> DataFrame:
+    """Keyed rows of both sides from one full join: each side is planned and shuffled once."""
+    _require_columns(target, source)
+    incoming = source.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in source.columns if c != key]
+    )
+    known = target.where(F.col(key).isNotNull()).withColumn("__known", F.lit(True))
+    joined = known.join(incoming, F.col(key) == F.col("__key"), "full")
+    matched, fresh = F.col("__key").isNotNull(), F.col("__known").isNull()
+
+    def value(column: str) -> Column:
+        if column == key:
+            return F.coalesce(key, "__key")
+        if column not in source.columns:
+            return F.col(column)
+        # The match decides, not the value: a null in the source overwrites.
+        taken = matched if column in updated else fresh
+        return F.when(taken, F.col(f"__new_{column}")).otherwise(F.col(column))
+
+    return joined.select(*[value(c).alias(c) for c in target.columns])
+
+
 def merge_sync(
     target: DataFrame | None,
     source: DataFrame,
@@ -71,7 +92,7 @@ def merge_sync(
             merged = merged.unionByName(duplicate_guard(target, key, target))
         return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
     updated = [c for c in source.columns if c != key]
-    merged = _overwritten(target, source, key, updated, keep_unmatched=False).unionByName(
+    merged = _overwritten(target, source, key, updated).unionByName(
         _unmatched(target, source, key), allowMissingColumns=True
     )
     return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
@@ -96,25 +117,16 @@ def _require_columns(target: DataFrame, source: DataFrame) -> None:
 
 
 def _overwritten(
-    target: DataFrame, source: DataFrame, key: str, updated: Sequence[str], keep_unmatched: bool
+    target: DataFrame, source: DataFrame, key: str, updated: Sequence[str]
 ) -> DataFrame:
-    """Keyed target rows, with the updated columns of their source match."""
+    """Keyed target rows that have a source match, with its updated columns."""
     _require_columns(target, source)
     incoming = source.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in updated]
     )
-    joined = target.where(F.col(key).isNotNull()).join(
-        incoming, F.col(key) == F.col("__key"), "left" if keep_unmatched else "inner"
-    )
-    # The match decides, not the value: a null in the source overwrites.
-    matched = F.col("__key").isNotNull()
+    joined = target.where(F.col(key).isNotNull()).join(incoming, F.col(key) == F.col("__key"))
     return joined.select(
-        *[
-            F.when(matched, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in updated
-            else F.col(c)
-            for c in target.columns
-        ]
+        *[F.col(f"__new_{c}").alias(c) if c in updated else F.col(c) for c in target.columns]
     )
 
 
