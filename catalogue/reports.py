@@ -13,6 +13,7 @@ from tillbook.plans.loads import PURCHASE_FIELDS, SERVICE_FIELDS
 from tillbook.plans.settlement import FAILED_SHEET, LEFT_OUT, SKIPPED_FILES, SUCCESSFUL_SHEET
 from tillbook.plans.settlement import HEADER as SETTLEMENT_HEADER
 from tillbook.sources.buckets import write_bucketed
+from tillbook.sources.documents import document_columns
 from tillbook.sources.scans import read_csv, read_drop, read_sheets, read_typed_sheet
 from tillbook.sources.sinks import shared_folder, write_csv, write_report
 
@@ -28,7 +29,7 @@ from .rollups import (
     first_row_sql,
     summary_sql,
 )
-from .scans import write_sheet
+from .scans import MERCHANT_TYPES, MIXED_STATE, mixed_documents, write_sheet
 
 WEEKLY_AS_OF = date(1998, 6, 10)
 MONTHLY_AS_OF = date(1997, 2, 10)
@@ -248,7 +249,7 @@ def report_roster_bucketed(spark, sf_dir):
     for name in names:
         tables[name] = f"{name}_{uuid.uuid4().hex}"
         rows = activity if name == "activity" else normalised(spark, sf_dir, name)
-        write_bucketed(rows, tables[name], "terminal_id", 16)
+        write_bucketed(rows, tables[name], "terminal_id", 16, shared_folder(spark, name))
     return plans.terminal_roster(
         *[spark.table(tables[name]) for name in names], order=["merchant_name", "state"]
     )
@@ -474,6 +475,22 @@ def report_merchants(spark, sf_dir):
     return plans.merchant_dimension(load(spark, sf_dir, "merchant_doc"), ["_id"])
 
 
+@register(
+    "report_merchants_documents",
+    with_inputs(
+        "merchant_doc",
+        f"""SELECT merchant_id, replace(merchantName, chr(0), '') AS merchantname,
+                   {MIXED_STATE} AS statecode, CAST(balance AS VARCHAR) AS balance
+            FROM (SELECT *, row_number() OVER (PARTITION BY merchant_id
+                                               ORDER BY CAST(_id AS VARCHAR)) AS rn FROM merchant_doc)
+            WHERE rn = 1""",
+    ),
+)
+def report_merchants_documents(spark, sf_dir):
+    """Merchants from documents of mixed types, read once."""
+    return plans.merchant_dimension(document_columns(mixed_documents(spark, sf_dir), MERCHANT_TYPES), ["_id"])
+
+
 @register("report_agent_snapshot", with_inputs("agent", "SELECT * FROM agent"))
 def report_agent_snapshot(spark, sf_dir):
     path = shared_folder(spark, "agents")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions.periods import (
@@ -29,6 +31,8 @@ from tillbook.sources.columns import (
     rename_positional,
     snake_columns,
 )
+from tillbook.sources.documents import document_columns, read_documents
+from tillbook.sources.pages import read_page, write_pages
 from tillbook.sources.scans import (
     for_day,
     read_csv,
@@ -39,6 +43,7 @@ from tillbook.sources.scans import (
     scan,
 )
 from tillbook.sources.sinks import shared_folder, write_csv
+from tillbook.streaming.loads import appended_rows, drop_stream, write_batches
 
 from . import sql
 from .inputs import load, table, with_inputs
@@ -88,6 +93,80 @@ def scan_inferred(spark, sf_dir):
     )
 
 
+#: Every second document has its state code as text.
+MIXED_STATE = "CASE WHEN _id % 2 = 0 THEN CAST(stateCode AS VARCHAR) ELSE concat('S', stateCode) END"
+
+
+def mixed_documents(spark, sf_dir):
+    """Merchant documents in which the state code is a number here and text there."""
+    path = shared_folder(spark, "documents")
+    docs = load(spark, sf_dir, "merchant_doc")
+    fields = [F.col(c) for c in docs.columns if c != "stateCode"]
+    number = F.to_json(F.struct(*fields, "stateCode"))
+    text = F.to_json(F.struct(*fields, F.concat(F.lit("S"), "stateCode").alias("stateCode")))
+    docs.select(F.when(F.col("_id") % 2 == 0, number).otherwise(text)).write.text(path)
+    return read_documents(spark, path)
+
+
+MERCHANT_TYPES = {
+    "_id": "bigint", "merchant_id": "string", "merchantName": "string", "stateCode": "string",
+    "balance": "decimal(18,2)",
+}
+
+
+@register(
+    "scan_variant",
+    with_inputs(
+        "merchant_doc",
+        f"""SELECT _id, merchant_id, replace(merchantName, chr(0), '') AS merchant_name,
+                   {MIXED_STATE} AS state_code, balance FROM merchant_doc""",
+    ),
+)
+def scan_variant(spark, sf_dir):
+    return document_columns(mixed_documents(spark, sf_dir), MERCHANT_TYPES).select(
+        "_id", "merchant_id",
+        F.replace("merchantName", F.lit("\x00"), F.lit("")).alias("merchant_name"),
+        F.col("stateCode").alias("state_code"), "balance",
+    )
+
+
+@register(
+    "scan_drop_once",
+    with_inputs("merchant_doc", "SELECT _id, merchant_id, 'in' AS folder FROM merchant_doc"),
+)
+def scan_drop_once(spark, sf_dir):
+    """A drop folder drained twice; the second time there is nothing new."""
+    path = shared_folder(spark, "drop")
+    docs = load(spark, sf_dir, "merchant_doc").select("_id", "merchant_id")
+    docs.repartition(4).write.json(f"{path}/in")
+    for _ in range(2):
+        rows = drop_stream(spark, "json", f"{path}/in", f"{path}/done", docs.schema, max_files=2)
+        write_batches(rows, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    folder = F.element_at(F.split("source_file", "/"), -2)
+    return appended_rows(spark, f"{path}/rows").select("_id", "merchant_id", folder.alias("folder"))
+
+
+@register(
+    "page_by_layout",
+    """SELECT o_orderkey, o_custkey, o_orderdate FROM (
+         SELECT *, row_number() OVER (ORDER BY o_orderkey) AS place FROM orders)
+       WHERE place BETWEEN 501 AND 1000""",
+)
+def page_by_layout(spark, sf_dir):
+    """The third page of 250 rows and the one after it, from the files that hold them."""
+    path = shared_folder(spark, "pages")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    write_pages(orders, path, "o_orderkey", 16)
+    pages, after = [], None
+    for _ in range(4):
+        page = read_page(spark, path, "o_orderkey", after, 250)
+        if page is None:
+            break
+        pages.append(page)
+        after = page.agg(F.max("o_orderkey")).first()[0]
+    return reduce(DataFrame.unionByName, pages[2:] or [pages[0].limit(0)])
+
+
 @register("scan_table", "SELECT * FROM customer")
 def scan_table(spark, sf_dir):
     return read_table(spark, "parquet", f"{sf_dir}/customer.parquet")

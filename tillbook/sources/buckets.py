@@ -130,16 +130,15 @@ class KeyedTable:
         return sorted(written)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
+def write_bucketed(
+    df: DataFrame, table: str, key: str, buckets: int = 64, path: str | None = None
+) -> None:
     """Replace a catalog table by ``df``, bucketed and sorted by ``key``, a file a bucket.
 
+    Its files are under ``path``, or in the warehouse.
+
     Tables of the same number of buckets join and aggregate by the key without a shuffle.  Take
     enough buckets that one, with its hottest key, fits a task.
     """
-    (
-        df.repartition(buckets, key)
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .saveAsTable(table)
-    )
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)

@@ -44,6 +44,32 @@ def file_stream(
     return reader.load(path)
 
 
+def drop_stream(
+    spark: SparkSession,
+    fmt: str,
+    path: str,
+    archive: str,
+    schema: StructType | str,
+    *,
+    max_files: int | None = None,
+    **options: str,
+) -> DataFrame:
+    """A drop folder as a stream, each row with its file's path and time of change.
+
+    A file is read once, also when it stays: the checkpoint knows it.  Files that are done move
+    to ``archive``, a folder outside ``path``, so that the drop folder is not listed at length.
+    """
+    rows = file_stream(
+        spark, fmt, path, schema, max_files=max_files,
+        cleanSource="archive", sourceArchiveDir=archive, **options,
+    )
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("source_time"),
+    )
+
+
 def latest_activity(activity: DataFrame) -> DataFrame:
     """Latest transaction and update time per terminal; of batches and of their results."""
     columns = {"transaction_time": "last_transaction_time", "updated_at": "last_connect_date"}
@@ -158,5 +184,5 @@ def current_latest(spark: SparkSession, path: str) -> DataFrame:
 
 __all__ = [
     "appended_rows", "combined_daily", "current_daily", "current_latest", "daily_activity",
-    "file_stream", "latest_activity", "write_batches",
+    "drop_stream", "file_stream", "latest_activity", "write_batches",
 ]
