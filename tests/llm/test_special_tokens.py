@@ -5,6 +5,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -54,6 +58,33 @@ def test_a_tokenizer_without_special_tokens(tmp_path):
         assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("special_as_text", [True, False])
+def test_batches_give_the_ids_of_the_whole_texts(file, special_as_text):
+    import public_tokenizers
+
+    path = public_tokenizers.path(file)
+    encode, whole = token_output.Encoder(path, special_as_text), Tokenizer.from_file(path)
+    whole.encode_special_tokens = special_as_text
+
+    @settings(max_examples=60 if file[0] == "w" else 300, deadline=None)
+    @given(
+        st.lists(
+            st.none()
+            | st.text(st.sampled_from(list("abcDé'ßñ 　   \n\t.,!12中Ł<|>")), max_size=30)
+            | st.sampled_from(["one two", "two one ", " one", "a<|endoftext|> b", "a  b", "two\none, two"]),
+            max_size=6,
+        )
+    )
+    def same(texts):
+        ids, counts = encode.batch(pa.array(texts, pa.string()))
+        want = [whole.encode(t or "", add_special_tokens=False).ids + [token_output.END_ID] for t in texts]
+        assert ids.tolist() == [i for some in want for i in some]
+        assert counts.tolist() == list(map(len, want))
+
+    same()
+
+
 def test_an_id_that_fills_many_ranges_is_cut_by_its_texts(spark):
     docs = spark.range(4000).selectExpr("IF(id % 2 = 0, NULL, id) AS doc_id", "CAST(id AS STRING) AS text")
     cuts = token_output.id_ranges(docs, "doc_id", 8)
