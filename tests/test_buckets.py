@@ -79,10 +79,19 @@ def test_upsert_reads_each_side_once(spark, tmp_path):
     for path in paths:
         spark.range(50).selectExpr("CAST(id AS STRING) AS k", "'s' AS state").write.parquet(path)
     target, source = (spark.read.parquet(p) for p in paths)
-    plan = merge_upsert(target, source, "k", source_unique=True)._jdf.queryExecution().optimizedPlan().toString()
+    plan = merge_upsert(target, source, "k", source_unique=True, one_join=True)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
 
 
+def test_one_join_gives_the_rows_of_two(frame, rows):
+    target = frame([("a", "1", "x"), ("a", "2", "y"), ("b", "1", None), (None, "1", "z")], SCHEMA)
+    source = frame([("a", None), ("c", "9"), (None, "8")], "k STRING, state STRING")
+    for update in (None, ["state"], []):
+        assert rows(merge_upsert(target, source, "k", update, one_join=True)) == rows(
+            merge_upsert(target, source, "k", update)
+        )
+
+
 def exchanges(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return plan.count("Exchange")

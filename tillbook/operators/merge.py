@@ -25,21 +25,27 @@ def merge_upsert(
     update: Sequence[str] | None = None,
     *,
     source_unique: bool = False,
+    one_join: bool = False,
 ) -> DataFrame:
     """Update matched target rows, insert unmatched source rows, keep the rest.
 
     ``update`` names the columns a match overwrites (all non-key source columns if None);
     a null in the source overwrites too.  Target-only columns survive; inserted rows have
     null there.  Without a target the result is the source.  ``source_unique`` skips the
-    duplicate check for a source that was just aggregated by key.
+    duplicate check for a source that was just aggregated by key.  ``one_join`` plans either
+    side once, in a full join, in which adaptive execution cannot split a hot target key.
     """
     if target is None:
         return source
     updated = [c for c in source.columns if c != key] if update is None else list(update)
-    merged = (
-        _full(target, source, key, updated)
-        .unionByName(target.where(F.col(key).isNull()))
-        .unionByName(source.where(F.col(key).isNull()), allowMissingColumns=True)
+    if one_join:
+        keyed = _full(target, source, key, updated)
+    else:
+        keyed = _overwritten(target, source, key, updated, keep_unmatched=True).unionByName(
+            _unmatched(target, source, key), allowMissingColumns=True
+        )
+    merged = keyed.unionByName(target.where(F.col(key).isNull())).unionByName(
+        source.where(F.col(key).isNull()), allowMissingColumns=True
     )
     return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
 
@@ -92,7 +98,7 @@ def merge_sync(
             merged = merged.unionByName(duplicate_guard(target, key, target))
         return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
     updated = [c for c in source.columns if c != key]
-    merged = _overwritten(target, source, key, updated).unionByName(
+    merged = _overwritten(target, source, key, updated, keep_unmatched=False).unionByName(
         _unmatched(target, source, key), allowMissingColumns=True
     )
     return merged if source_unique else merged.unionByName(duplicate_guard(source, key, target))
@@ -117,16 +123,25 @@ def _require_columns(target: DataFrame, source: DataFrame) -> None:
 
 
 def _overwritten(
-    target: DataFrame, source: DataFrame, key: str, updated: Sequence[str]
+    target: DataFrame, source: DataFrame, key: str, updated: Sequence[str], keep_unmatched: bool
 ) -> DataFrame:
-    """Keyed target rows that have a source match, with its updated columns."""
+    """Keyed target rows, with the updated columns of their source match."""
     _require_columns(target, source)
     incoming = source.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in updated]
     )
-    joined = target.where(F.col(key).isNotNull()).join(incoming, F.col(key) == F.col("__key"))
+    joined = target.where(F.col(key).isNotNull()).join(
+        incoming, F.col(key) == F.col("__key"), "left" if keep_unmatched else "inner"
+    )
+    # The match decides, not the value: a null in the source overwrites.
+    matched = F.col("__key").isNotNull()
     return joined.select(
-        *[F.col(f"__new_{c}").alias(c) if c in updated else F.col(c) for c in target.columns]
+        *[
+            F.when(matched, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
+            if c in updated
+            else F.col(c)
+            for c in target.columns
+        ]
     )
 
 

@@ -118,8 +118,9 @@ class KeyedTable:
         touched = {r[0] for r in source.select(self._bucket()).distinct().collect()}
         parts = [r for r in held if r["bucket"] in touched and r["bucket"] != KEYLESS]
         merged = merge_upsert(
-            self._parts(spark, parts), source, self.key, update, source_unique=source_unique
-        )
+            self._parts(spark, parts), source, self.key, update,
+            source_unique=source_unique, one_join=True,
+        )
         written = self._write(merged, folder)
         rest = [
             (r["bucket"], r["folder"])
