@@ -27,9 +27,13 @@ from tillbook.sources.sinks import (
     write_report,
     write_version,
 )
+from tillbook.streaming.compaction import compact, compacted
 from tillbook.streaming.keyed import Index, keyed_rows, write_keyed
+from tillbook.streaming.ledger import Ledger, counted, ledger_rows, reconcile
 from tillbook.streaming.loads import (
     appended_rows,
+    batch_rows,
+    combined_daily,
     current_daily,
     current_latest,
     daily_activity,
@@ -284,6 +288,61 @@ def stream_daily_activity(spark, sf_dir):
     return current_daily(spark, drain(spark, txns, "stream-daily", transform=daily_activity))
 
 
+@register("stream_daily_compacted", DAILY_ACTIVITY_SQL)
+def stream_daily_compacted(spark, sf_dir):
+    """All but the newest batch read from the table they were folded into."""
+    place = shared_folder(spark, "stream-compacted")
+    rows = drain(spark, txn_stream(spark, sf_dir), "stream-daily", transform=daily_activity)
+    compact(spark, rows, place, combined_daily)
+    return compacted(spark, rows, place, combined_daily)
+
+
+@register(
+    "stream_reconciled",
+    with_inputs(
+        "service_txn",
+        f"""SELECT 'rows read' AS measure, CAST(count(*) AS DECIMAL(38,2)) AS amount FROM service_txn
+            UNION ALL SELECT 'rows kept', count({sql.amount('amount')}) FROM service_txn
+            UNION ALL SELECT 'amount kept', sum({sql.amount('amount')}) FROM service_txn
+            UNION ALL SELECT 'rows stored', count({sql.amount('amount')}) FROM service_txn
+            UNION ALL SELECT 'batches that differ', 0""",
+    ),
+)
+def stream_reconciled(spark, sf_dir):
+    """Rows counted on their way through a stream, and held against the rows it wrote."""
+    place = shared_folder(spark, "stream-ledger")
+    ledger = Ledger(spark, f"{place}/ledger", place.rsplit("/", 1)[-1])
+    spark.streams.addListener(ledger)
+    try:
+        read = counted(txn_stream(spark, sf_dir), "read")
+        kept = counted(read.where("amount IS NOT NULL"), "kept", "amount")
+        ledger.settle(
+            write_batches(kept, f"{place}/rows", f"{place}/checkpoint", name=ledger.name)
+        )
+    finally:
+        spark.streams.removeListener(ledger)
+    entries = ledger_rows(spark, ledger.path)
+    batches = reconcile(entries, batch_rows(spark, f"{place}/rows"), "kept", ["amount"])
+    at_stage = {stage: F.when(F.col("stage") == stage, F.col("rows")) for stage in ("read", "kept")}
+    said = entries.agg(
+        *[F.sum(rows).alias(f"rows {stage}") for stage, rows in at_stage.items()],
+        F.sum(F.when(F.col("stage") == "kept", F.col("totals")["amount"])).alias("amount kept"),
+    )
+    found = batches.agg(
+        F.sum("rows_stored").alias("rows stored"), F.count_if(~F.col("agrees")).alias("batches that differ")
+    )
+    return long_form(said).unionByName(long_form(found))
+
+
+def long_form(one_row):
+    """A row of measures as one row each."""
+    pairs = [
+        F.struct(F.lit(c).alias("measure"), F.col(f"`{c}`").cast("decimal(38,2)").alias("amount"))
+        for c in one_row.columns
+    ]
+    return one_row.select(F.inline(F.array(*pairs)))
+
+
 # Streams with state
 
 

@@ -1,0 +1,118 @@
+"""Batches of a stream folded into a table while it runs on."""
+
+from __future__ import annotations
+
+import shutil
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tillbook.sources.sinks import read_version
+from tillbook.streaming import loads
+from tillbook.streaming.compaction import compact, compacted, covered
+
+SCHEMA = "k STRING, n BIGINT"
+
+
+def summed(rows):
+    return rows.groupBy("k").agg(F.sum("n").cast("bigint").alias("n"))
+
+
+def batch(spark, path, stream, number, rows):
+    """A batch folder as ``write_batches`` leaves it."""
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/stream_id={stream}/batch_id={number}"
+    )
+
+
+def result(spark, path, place):
+    return {r["k"]: r["n"] for r in compacted(spark, path, place, summed).collect()}
+
+
+def test_all_but_the_newest_batches_are_folded(spark, tmp_path):
+    path, place = str(tmp_path / "rows"), str(tmp_path / "table")
+    assert not compact(spark, path, place, summed)
+    with pytest.raises(ValueError, match="no batch"):
+        compacted(spark, path, place, summed)
+    for n in range(4):
+        batch(spark, path, "x", n, [("a", 1), (None, n)])
+    batch(spark, path, "y", 0, [("a", 10)])
+    want = {"a": 14, None: 6}
+    assert result(spark, path, place) == want
+    assert compact(spark, path, place, summed)
+    assert covered(spark, place) == {"x": 2}
+    assert {r["k"]: r["n"] for r in read_version(spark, place).collect()} == {"a": 3, None: 3}
+    assert result(spark, path, place) == want
+    assert not compact(spark, path, place, summed)
+    # The newest batch is written again, and others follow.
+    batch(spark, path, "x", 3, [("a", 5)])
+    batch(spark, path, "y", 1, [("b", 7)])
+    assert result(spark, path, place) == {"a": 18, None: 3, "b": 7}
+    assert compact(spark, path, place, summed)
+    assert covered(spark, place) == {"x": 2, "y": 0}
+    assert result(spark, path, place) == {"a": 18, None: 3, "b": 7}
+
+
+def test_covered_batches_are_not_opened(spark, tmp_path):
+    path, place = str(tmp_path / "rows"), str(tmp_path / "table")
+    for n in range(3):
+        batch(spark, path, "x", n, [("a", 1)])
+    compact(spark, path, place, summed)
+    read = [f for f in compacted(spark, path, place, summed).inputFiles() if "stream_id=x" in f]
+    plan = compacted(spark, path, place, summed)._jdf.queryExecution().executedPlan().toString()
+    assert len(read) == 3 and "PartitionFilters: [" in plan and "batch_id" in plan
+    # Only the newest folder is needed any more.
+    shutil.rmtree(tmp_path / "rows" / "stream_id=x" / "batch_id=0")
+    shutil.rmtree(tmp_path / "rows" / "stream_id=x" / "batch_id=1")
+    assert result(spark, path, place) == {"a": 3}
+
+
+def test_a_compaction_that_died_changes_nothing(spark, tmp_path):
+    path, place = str(tmp_path / "rows"), str(tmp_path / "table")
+    for n in range(3):
+        batch(spark, path, "x", n, [("a", 1)])
+
+    def failing(rows):
+        return summed(rows).withColumn("n", F.raise_error(F.lit("lost")).cast("bigint"))
+
+    with pytest.raises(Exception, match="lost"):
+        compact(spark, path, place, failing)
+    assert covered(spark, place) == {} and result(spark, path, place) == {"a": 3}
+    assert compact(spark, path, place, summed) and result(spark, path, place) == {"a": 3}
+
+
+def test_a_running_stream_is_compacted(spark, tmp_path):
+    path, place, source = (str(tmp_path / n) for n in ("rows", "table", "in"))
+    for step in range(3):
+        for n in range(2):
+            spark.createDataFrame([("a", step), ("b", n)], SCHEMA).coalesce(1).write.mode(
+                "append"
+            ).parquet(source)
+        stream = loads.file_stream(spark, "parquet", source, SCHEMA, max_files=1)
+        loads.write_batches(
+            stream, path, str(tmp_path / "checkpoint"), transform=summed
+        ).awaitTermination()
+        assert compact(spark, path, place, summed)
+    assert list(covered(spark, place).values()) == [4]
+    assert result(spark, path, place) == {"a": 6, "b": 3}
+
+
+ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(-9, 9)), max_size=3)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from("xy"), ROWS, st.booleans()), min_size=1, max_size=5))
+def test_results_do_not_depend_on_when_batches_are_folded(spark, tmp_path_factory, steps):
+    folder = tmp_path_factory.mktemp("steps")
+    path, place = str(folder / "rows"), str(folder / "table")
+    numbers, want = {"x": 0, "y": 0}, {}
+    for stream, rows, fold in steps:
+        batch(spark, path, stream, numbers[stream], rows)
+        numbers[stream] += 1
+        for k, n in rows:
+            want[k] = want.get(k, 0) + n
+        if fold:
+            compact(spark, path, place, summed)
+        assert result(spark, path, place) == want

@@ -110,6 +110,12 @@ def read_version(spark: SparkSession, root: str) -> DataFrame | None:
     return None if folder is None else spark.read.parquet(folder)
 
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The name of the version written last, or None before the first one."""
+    pointers = _pointers(spark, root)
+    return None if pointers is None else pointers.agg(F.max_by("version", "number")).first()[0]
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header in every part file; outer spaces of values are kept.
 

@@ -98,6 +98,7 @@ def write_batches(
     key: str | None = None,
     partition_by: Sequence[str] = (),
     trigger: dict[str, object] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch to a folder of its own under ``path``.
 
@@ -114,18 +115,16 @@ def write_batches(
         stream_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         rows = transform(batch) if transform else batch
         if key:
-            rows = _new_rows(rows, _batches(spark, path), key, partition_by, stream_id, batch_id)
+            rows = _new_rows(rows, done_batches(spark, path), key, partition_by, stream_id, batch_id)
         writer = rows.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{path}/{STREAM}={stream_id}/{BATCH}={batch_id}")
 
-    return (
-        stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    if name is not None:
+        writer = writer.queryName(name)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def _new_rows(
@@ -153,7 +152,7 @@ def _new_rows(
     return fresh.unionByName(keyless)
 
 
-def _batches(spark: SparkSession, path: str) -> DataFrame | None:
+def done_batches(spark: SparkSession, path: str) -> DataFrame | None:
     """What is loaded, with the columns of the folders; None before the first batch."""
     try:
         return spark.read.option("basePath", path).parquet(f"{path}/{STREAM}=*")
@@ -163,16 +162,21 @@ def _batches(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def batch_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches with the stream and the number of their batch."""
+    return spark.read.parquet(path)
+
+
 def appended_rows(spark: SparkSession, path: str) -> DataFrame:
     """The rows of all batches."""
-    return spark.read.parquet(path).drop(STREAM, BATCH)
+    return batch_rows(spark, path).drop(STREAM, BATCH)
 
 
 def current_daily(spark: SparkSession, path: str) -> DataFrame:
     """Daily activity over all batches written with ``daily_activity``.
 
-    The target grows by the days of every batch; write this frame as a version of a table of
-    its own now and then, and start the stream on a fresh target.
+    The target grows by the days of every batch, and all are read; where they are many,
+    ``compaction.compact`` folds them and ``compaction.compacted`` reads the result.
     """
     return combined_daily(appended_rows(spark, path))
 
@@ -183,6 +187,6 @@ def current_latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 __all__ = [
-    "appended_rows", "combined_daily", "current_daily", "current_latest", "daily_activity",
-    "drop_stream", "file_stream", "latest_activity", "write_batches",
+    "appended_rows", "batch_rows", "combined_daily", "current_daily", "current_latest",
+    "daily_activity", "done_batches", "drop_stream", "file_stream", "latest_activity", "write_batches",
 ]
