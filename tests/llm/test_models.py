@@ -53,14 +53,12 @@ def test_scores_have_the_base_and_beat_it(spark, sf_dir, docs, texts, block):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_bigram_probabilities_add_up_to_one(spark):
-    """With one word left, the probabilities of all continuations of a context sum to 1."""
+def test_a_context_prefers_what_followed_it(spark):
     train = [(i, "a b a c a b", False) for i in range(12)]
     tries = [(100 + i, f"a {w}".strip(), True) for i, w in enumerate(["a", "b", "c", "unseen", ""])]
     docs = spark.createDataFrame(train + tries, "doc_id long, text string, out boolean")
     rows = lm_scoring.score_texts(docs, F.col("out")).collect()
     score = {r["doc_id"]: r["score"] for r in rows}
-    # P(a) P(w|a) P(end|w) over P(a) P(end|a): compare against a direct evaluation.
     assert score[101] > score[100] and score[102] > score[103]
     assert all(s < 0 for s in score.values())
 
