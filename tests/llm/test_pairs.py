@@ -183,6 +183,22 @@ def test_apportionment_takes_the_highest_quotients(spark, seed):
         assert all(found[g, p] <= most for _, p, _, most, _ in own)
 
 
+@pytest.mark.parametrize("group_shards", (1, 3, 1 << 12))
+def test_shards_in_groups_share_all_seats(spark, group_shards):
+    rng = random.Random(group_shards)
+    rows = [(s, k, rng.randrange(20_000), 0, 700) for s in range(2) for k in range(40)]
+    rows = [(s, k, ring, 3 * ring // 64, seats) for s, k, ring, _, seats in rows] + [(2, 0, 0, 0, 0)]
+    rings = spark.createDataFrame(rows, "__src int, __shard long, __ring long, most long, seats long")
+    got = mixing.shard_quotas(rings, mixing.Mix(group_shards=group_shards)).collect()
+    quota = {(r["__src"], r["__shard"]): r["quota"] for r in got}
+    assert quota.keys() == {r[:2] for r in rows} and len(got) == len(rows)
+    for source in (0, 1):
+        own = {r[1]: r for r in rows if r[0] == source}
+        assert sum(quota[source, k] for k in own) == 700
+        total = sum(r[2] for r in own.values())
+        assert all(abs(quota[source, k] - 700 * r[2] / total) <= 2 for k, r in own.items())
+
+
 def test_mixed_documents_hold_the_words_taken(spark, docs):
     mix = mixing.Mix(shard_docs=16)
     plan = {r["doc_id"]: r for r in mixing.mix_plan(docs, mix).collect()}

@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 Only DataFrame functions run here.  Sizes are words.  The sources' targets are paid out in
-blocks of ``block`` words.  The blocks go to the sources, and a source's blocks to its shards,
-by the highest quotients ``share / (2k + 1)``.  A shard's documents lie end to end in a seeded
+blocks of ``block`` words.  The blocks go to the sources, and a source's blocks to groups of its
+shards and on to the shards, by the highest quotients ``share / (2k + 1)``.  A shard's documents lie end to end in a seeded
 order, closed to a ring that is cut into blocks from a seeded start on; the shard takes as
 many of these as its quota says, going round again when the quota exceeds the ring.
 """
@@ -28,6 +28,8 @@ class Mix:
     #: Words and documents of a shard, roughly: what one window sorts.
     shard_words: int = 1 << 20
     shard_docs: int = 1 << 12
+    #: Shards of a source that are apportioned at once; more of them form groups.
+    group_shards: int = 1 << 12
     seed: int = 11
 
 
@@ -108,6 +110,34 @@ def apportioned(parts: DataFrame) -> DataFrame:
     )
 
 
+def shard_quotas(rings: DataFrame, mix: Mix) -> DataFrame:
+    """``(__src, __shard, quota)`` from ``rings(__src, __shard, __ring, most, seats)``.
+
+    The seats of a source go to groups of its shards, then those of a group to its shards, so
+    that no window holds more than ``group_shards`` rows or a source's number of groups.
+    """
+    rings = rings.withColumn("team", F.floor(F.col("__shard") / mix.group_shards))
+    teams = apportioned(
+        rings.groupBy(F.col("__src").alias("group"), F.col("team").alias("part")).agg(
+            F.sum("__ring").cast("double").alias("share"),
+            F.sum("most").alias("most"),
+            F.first("seats").alias("seats"),
+        )
+    ).select(F.col("group").alias("__src"), F.col("part").alias("team"), F.col("quota").alias("seats"))
+    quotas = apportioned(
+        rings.drop("seats")
+        .join(teams, ["__src", "team"])
+        .select(
+            F.struct("__src", "team").alias("group"),
+            F.col("__shard").alias("part"),
+            F.col("__ring").cast("double").alias("share"),
+            "most",
+            "seats",
+        )
+    )
+    return quotas.select(F.col("group.__src").alias("__src"), F.col("part").alias("__shard"), "quota")
+
+
 def sized(docs: DataFrame, id_col: str, text_col: str, mix: Mix) -> DataFrame:
     """Add ``__size`` in words and the seeded ``__hash`` that shards and orders documents."""
     return docs.withColumns(
@@ -151,27 +181,16 @@ def planned(rows: DataFrame, source_col: str, mix: Mix) -> DataFrame:
     dealt = rows.join(targets, F.col(source_col).eqNullSafe(F.col("__source"))).withColumn(
         "__shard", F.pmod("__hash", "__shards")
     )
-    rings = dealt.groupBy("__src", "__shard").agg(
-        F.sum("__size").alias("__ring"), F.first("__seats").alias("seats")
-    )
-    taken = apportioned(
-        rings.select(
-            F.col("__src").alias("group"),
-            F.col("__shard").alias("part"),
-            F.col("__ring").cast("double").alias("share"),
-            _most("__ring", mix).alias("most"),
-            "seats",
-        )
-    )
     rings = stored(
-        rings.join(
-            taken.select(
-                F.col("group").alias("__src"),
-                F.col("part").alias("__shard"),
-                (F.col("quota") * mix.block).alias("__words"),
-            ),
-            ["__src", "__shard"],
-        ).drop("seats"),
+        dealt.groupBy("__src", "__shard").agg(
+            F.sum("__size").alias("__ring"), F.first("__seats").alias("seats")
+        ),
+        "mix-rings",
+    ).withColumn("most", _most("__ring", mix))
+    rings = stored(
+        rings.join(shard_quotas(rings, mix), ["__src", "__shard"])
+        .withColumn("__words", F.col("quota") * mix.block)
+        .drop("seats", "most", "quota"),
         "mix-shards",
     )
 
