@@ -53,6 +53,19 @@ def test_scores_have_the_base_and_beat_it(spark, sf_dir, docs, texts, block):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+@pytest.mark.parametrize("fan_in", (1, 4))
+def test_scores_are_the_same_however_blocks_are_summed(docs, fan_in):
+    """Many crowds of few blocks, one block a crowd, and all blocks at once."""
+    columns = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+    def scores(**model):
+        model = lm_scoring.Model(block_bytes=60_000, range_tokens=20_000, **model)
+        return sorted(lm_scoring.fold_scores(docs, model).select(*columns).collect())
+
+    for got, want in zip(scores(fan_in=fan_in), scores(), strict=True):
+        assert got[:4] == want[:4] and got[4:] == pytest.approx(want[4:])
+
+
 def test_a_context_prefers_what_followed_it(spark):
     train = [(i, "a b a c a b", False) for i in range(12)]
     tries = [(100 + i, f"a {w}".strip(), True) for i, w in enumerate(["a", "b", "c", "unseen", ""])]

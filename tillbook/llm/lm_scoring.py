@@ -3,7 +3,9 @@
 Texts are packed into blocks of a few million tokens: token numbers and the hashes of the
 block's own words.  Each block sends its distinct n-grams with their counts, packed by range of
 hash, to where the corpus totals are summed, and gets the totals back in the same order.  So
-what moves is a block's distinct n-grams, not its tokens, and no task holds the model.
+what moves is a block's distinct n-grams, not its tokens, and no task holds the model.  Common
+n-grams come from every block, so past ``fan_in`` blocks these are dealt to crowds: a crowd's
+counts are summed first, the totals are summed over crowds, and go back by the same way.
 
 P(w | v) = l(v) c(vw)/c(v) + (1 - l(v)) (c(w) + 1)/(N + V + 1).  The weight l depends on the
 bucket of c(v), a power of two.  A tenth of the training texts is deleted from the counts and
@@ -38,6 +40,8 @@ class Model:
     block_bytes: int = 6 << 20
     #: Tokens of the corpus per range of hashes.
     range_tokens: int = 1 << 21
+    #: Blocks whose counts of a range are summed at once.
+    fan_in: int = 1 << 12
     deleted: int = 10
     rounds: int = 12
 
@@ -180,33 +184,96 @@ def _sent(bits: int):
     return sent
 
 
+class _Union:
+    """The n-grams that some blocks, or crowds of them, sent for one range, and their sums."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        with np.errstate(over="ignore"):
+            keys = [np.cumsum(unpack(k, "<u8"), dtype=np.uint64) for k in rows["keys"]]
+        self.cuts = np.cumsum([0, *map(len, keys)])
+        self.keys, self.at = np.unique(np.concatenate(keys), return_inverse=True)
+
+    def summed(self, column: pd.Series) -> np.ndarray:
+        return _summed(self.at, [unpack(c, "<i8") for c in column], len(self.keys))
+
+    def answers(self, rows: pd.DataFrame, every: np.ndarray, kept: np.ndarray) -> pd.DataFrame:
+        """The totals of its n-grams for each row, in the order in which it sent them."""
+        own = [self.at[a:b] for a, b in zip(self.cuts, self.cuts[1:])]
+        return pd.DataFrame(
+            {
+                "block": rows["block"],
+                "range": rows["range"],
+                "deleted": rows["deleted"],
+                "every": [pack(every[a]) for a in own],
+                # Only blocks of deleted texts are asked for the counts without them.
+                "kept": [pack(kept[a]) if d else b"" for a, d in zip(own, rows["deleted"])],
+            }
+        )
+
+
 def _totalled(rows: pd.DataFrame) -> pd.DataFrame:
-    """Sum the counts of one range over all blocks and answer each block."""
-    with np.errstate(over="ignore"):
-        keys = [np.cumsum(unpack(k, "<u8"), dtype=np.uint64) for k in rows["keys"]]
-    cuts = np.cumsum([0, *map(len, keys)])
-    kinds, at = np.unique(np.concatenate(keys), return_inverse=True)
-    kept, gone = (
-        _summed(at, [unpack(c, "<i8") for c in rows[name]], len(kinds)) for name in ("kept", "gone")
-    )
-    every = kept + gone
+    """Sum the counts of one range over all its rows and answer each."""
+    union = _Union(rows)
+    kept = union.summed(rows["kept"])
+    every = kept + union.summed(rows["gone"])
     first_order = rows["range"].iat[0] >> 32 == 0
-    answers = [at[a:b] for a, b in zip(cuts, cuts[1:])]
     zeros = [0] * (len(rows) - 1)
+    return union.answers(rows, every, kept).assign(
+        kinds=[int((every > 0).sum()) if first_order else 0, *zeros],
+        kept_kinds=[int((kept > 0).sum()) if first_order else 0, *zeros],
+    )
+
+
+def _crowded(rows: pd.DataFrame) -> pd.DataFrame:
+    """Sum the counts of one range over a crowd, which then asks like a block."""
+    union = _Union(rows)
     return pd.DataFrame(
         {
-            "block": rows["block"],
-            "range": rows["range"],
-            "deleted": rows["deleted"],
-            "every": [pack(every[a]) for a in answers],
-            # Only blocks of deleted texts are asked for the counts without them.
-            "kept": [pack(kept[a]) if d else b"" for a, d in zip(answers, rows["deleted"])],
-            "kinds": [int((every > 0).sum()) if first_order else 0, *zeros],
-            "kept_kinds": [int((kept > 0).sum()) if first_order else 0, *zeros],
+            "range": [rows["range"].iat[0]],
+            "block": [rows["crowd"].iat[0]],
+            "deleted": [bool(rows["deleted"].any())],
+            "keys": [pack(np.diff(union.keys, prepend=np.uint64(0)))],
+            "kept": [pack(union.summed(rows["kept"]))],
+            "gone": [pack(union.summed(rows["gone"]))],
         }
     )
 
 
+def _passed_on(rows: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
+    """Answer the blocks of a crowd from what the crowd was answered."""
+    every = unpack(totals["every"].iat[0], "<i8")
+    kept = unpack(totals["kept"].iat[0], "<i8") if totals["deleted"].iat[0] else every
+    return _Union(rows).answers(rows, every, kept)
+
+
+SENT = "range bigint, block bigint, deleted boolean, keys binary, kept binary, gone binary"
+ANSWER = "block bigint, range bigint, deleted boolean, every binary, kept binary"
+
+
+def _exchanged(blocks: DataFrame, bits: int, crowds: int) -> tuple[DataFrame, DataFrame]:
+    """Corpus counts for every block and range, and the table that has the number of kinds."""
+
+    def totals(asked: DataFrame, purpose: str) -> DataFrame:
+        kinds = "kinds bigint, kept_kinds bigint"
+        return stored(asked.groupBy("range").applyInPandas(_totalled, f"{ANSWER}, {kinds}"), purpose)
+
+    sent = blocks.mapInPandas(_sent(bits), SENT)
+    if crowds == 1:
+        answers = totals(sent, "lm-answers")
+        return answers, answers
+    # What blocks send is made twice, as it is larger than what makes it.
+    sent = sent.withColumn("crowd", F.pmod(F.xxhash64("block"), F.lit(crowds)))
+    answered = totals(sent.groupBy("range", "crowd").applyInPandas(_crowded, SENT), "lm-totals")
+    back = answered.select("range", F.col("block").alias("crowd"), "deleted", "every", "kept")
+    answers = (
+        sent.drop("kept", "gone")
+        .groupBy("range", "crowd")
+        .cogroup(back.groupBy("range", "crowd"))
+        .applyInPandas(_passed_on, ANSWER)
+    )
+    return stored(answers, "lm-answers"), answered
+
+
 def _summed(at: np.ndarray, parts: list[np.ndarray], n: int) -> np.ndarray:
     out = np.zeros(n, np.int64)
     np.add.at(out, at, np.concatenate(parts))
@@ -298,22 +365,13 @@ def score_texts(
         "lm-blocks",
     )
     size = blocks.agg(
-        *[F.sum(c).alias(c) for c in ("tokens", "train", "starts", "retained", "retained_starts")]
+        F.count(F.lit(1)).alias("blocks"),
+        *[F.sum(c).alias(c) for c in ("tokens", "train", "starts", "retained", "retained_starts")],
     ).first()
     ranges = max(1, (size["tokens"] or 0) // model.range_tokens)
-    sent = blocks.mapInPandas(
-        _sent((ranges - 1).bit_length()),
-        "range bigint, block bigint, deleted boolean, keys binary, kept binary, gone binary",
-    )
-    answers = stored(
-        sent.groupBy("range").applyInPandas(
-            _totalled,
-            "block bigint, range bigint, deleted boolean, every binary, kept binary, "
-            "kinds bigint, kept_kinds bigint",
-        ),
-        "lm-answers",
-    )
-    kinds = answers.agg(F.sum("kinds").alias("every"), F.sum("kept_kinds").alias("kept")).first()
+    crowds = max(1, -(-size["blocks"] // model.fan_in))
+    answers, totals = _exchanged(blocks, (ranges - 1).bit_length(), crowds)
+    kinds = totals.agg(F.sum("kinds").alias("every"), F.sum("kept_kinds").alias("kept")).first()
     train, starts = size["train"] or 0, size["starts"] or 0
     every_kinds = kinds["every"] or 0
     kept_size = (size["retained"] or 0, kinds["kept"] or 0, size["retained_starts"] or 0)
